@@ -3,8 +3,6 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-ROWS_PER_TASK = 2_000_000
-
 
 def running_total(counts, count="cnt"):
     """Running sum of counts by size; equal counts share their sum.
@@ -43,20 +41,14 @@ def group_summary(groups, column="jurisdiction"):
     )
 
 
-def run_in_groups(df, n_groups, transform, column="jurisdiction", rows_per_task=ROWS_PER_TASK):
+def run_in_groups(df, n_groups, transform, column="jurisdiction"):
     """A transform over all groups as one plan, laid out for bounded writes.
 
-    The group number becomes a column and the output is partitioned by it; a
-    group of more than ``rows_per_task`` rows is spread over several tasks.
+    The group number becomes a column. The rebalance hint gathers a group for
+    writing, and lets Spark split a large one by the sizes it measured.
     """
-    groups = balanced_groups(df, n_groups, column)
-    sizes = groups.groupBy("group_number").agg(F.sum("cnt").alias("rows"))
-    slots = groups.join(sizes, "group_number").select(
-        F.col(column).alias("__value"),
-        "group_number",
-        F.ceil(F.col("rows") / rows_per_task).alias("__slots"),
+    groups = balanced_groups(df, n_groups, column).select(
+        F.col(column).alias("__value"), "group_number"
     )
-    placed = df.join(slots, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
-    slot = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("__slots"))
-    result = transform(placed.withColumn("__slot", slot).drop("__slots"))
-    return result.repartition("group_number", "__slot").drop("__slot")
+    placed = df.join(groups, F.col(column).eqNullSafe(F.col("__value")), "left").drop("__value")
+    return transform(placed).hint("rebalance", "group_number")
