@@ -10,7 +10,7 @@ ISIN_LIMIT = 10
 
 def plan_bytes(df):
     """Spark's own size estimate of a frame, from its optimised plan (no job)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def small_side(df, limit=BROADCAST_LIMIT):
