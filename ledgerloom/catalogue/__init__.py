@@ -4,7 +4,7 @@ import importlib
 
 from ledgerloom.catalogue.registry import ORACLES, QUERIES
 
-MODULES = ["vault", "cleaning"]
+MODULES = ["vault", "cleaning", "lookups", "resolution", "marts"]
 
 
 def load_all():

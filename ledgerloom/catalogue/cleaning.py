@@ -341,8 +341,8 @@ def name_split(spark, sf_dir):
 
 def _initcap_sql(value):
     return (
-        f"array_to_string(list_transform(string_split({value}, ' '), "
-        "w -> concat(upper(w[1:1]), lower(w[2:]))), ' ')"
+        "array_to_string([concat(upper(w[1:1]), lower(w[2:])) "
+        f"for w in string_split({value}, ' ')], ' ')"
     )
 
 

@@ -39,8 +39,8 @@ def companies(spark, sf_dir):
             "k",
             "n_name as jurisdiction",
             "r_name as continent",
-            "case when k % 3 <> 0 then concat('R', k % 5) end as registration_number",
-            """concat(segment, ' Trading ', k % 7, case k % 5 when 0 then ' Ltd.' when 1 then ' L.L.C'
+            "case when k % 3 <> 0 then concat('R', k % 4) end as registration_number",
+            """concat(segment, ' Trading ', k % 7, case k % 5 when 0 then ' Ltd.' when 1 then ' L.L.C #'
                when 2 then ' GmbH' when 3 then ' & Inc' else '' end) as name""",
             "segment",
             "cast(balance as decimal(18,2)) as balance",
@@ -52,9 +52,9 @@ def companies(spark, sf_dir):
 COMPANY = """
 company as (
     select s.source, s.k, n.n_name as jurisdiction, r.r_name as continent,
-        case when s.k % 3 <> 0 then concat('R', s.k % 5) end as registration_number,
+        case when s.k % 3 <> 0 then concat('R', s.k % 4) end as registration_number,
         concat(s.segment, ' Trading ', s.k % 7, case s.k % 5 when 0 then ' Ltd.'
-            when 1 then ' L.L.C' when 2 then ' GmbH' when 3 then ' & Inc' else '' end) as name,
+            when 1 then ' L.L.C #' when 2 then ' GmbH' when 3 then ' & Inc' else '' end) as name,
         s.segment, cast(s.balance as decimal(18,2)) as balance, s.label
     from (
         select 'customer' as source, c_custkey as k, c_nationkey as nk, c_mktsegment as segment,
