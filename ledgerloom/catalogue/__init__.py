@@ -4,7 +4,9 @@ import importlib
 
 from ledgerloom.catalogue.registry import ORACLES, QUERIES
 
-MODULES = ["vault", "cleaning", "lookups", "resolution", "marts"]
+MODULES = [
+    "vault", "cleaning", "lookups", "resolution", "marts", "quality", "relational", "tables",
+]
 
 
 def load_all():

@@ -111,11 +111,11 @@ def _result(tagged, value):
 def summarise(results, by=()):
     """Total, successes and percent per run, zero-filled."""
     counts = (
-        results.groupBy(*by).pivot("constraint_status", ["Success", "Failure"]).agg(F.count("*"))
+        results.groupBy(*by).pivot("constraint_status", ["Success", "Failure"]).agg(F.count(F.lit(1)))
         if by
         else results.groupBy(F.lit(1).alias("__all"))
         .pivot("constraint_status", ["Success", "Failure"])
-        .agg(F.count("*"))
+        .agg(F.count(F.lit(1)))
         .drop("__all")
     )
     success = F.coalesce(F.col("Success"), F.lit(0))

@@ -33,7 +33,7 @@ def read_csv(spark, path, schema=None, **options):
 
 def read_json(spark, path, schema=None, **options):
     """Json by path or glob."""
-    return spark.read.json(path, schema=schema, **options)
+    return spark.read.options(**options).json(path, schema=schema)
 
 
 def read_path_sql(spark, path, fmt="parquet"):
