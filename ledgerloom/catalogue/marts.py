@@ -113,7 +113,7 @@ def entity_company_doc(spark, sf_dir):
     industry, links = _industries(spark, sf_dir)
     documents = marts.company_documents(
         resolved_hub(spark, sf_dir), keys,
-        golden_records(spark, sf_dir).drop("category"),
+        golden_records(spark, sf_dir, keys).drop("category"),
         _addresses(spark, sf_dir), _sanctions(spark, sf_dir), industry, links, _lookup(spark, sf_dir),
     )
     line = lambda *fields: lambda x: F.concat_ws("|", *[x[f].cast("string") for f in fields])
@@ -229,11 +229,11 @@ company_link as (select distinct md5(concat_ws(';', f.dv_hashkey_company, t.dv_h
     join party t on t.source = 'customer' and t.k = o_custkey)"""
 
 
-def company_edges(spark, sf_dir):
+def company_edges(spark, sf_dir, keys):
     company, _ = _entities(spark, sf_dir)
     links = marts.edge_links(
         _company_links(spark, sf_dir), "dv_hashkey_l_company_company_relationship",
-        "dv_hashkey_from_company", "dv_hashkey_to_company", bridge(spark, sf_dir),
+        "dv_hashkey_from_company", "dv_hashkey_to_company", keys,
         ["dv_hashkey_from_company", "dv_hashkey_to_company"],
     )
     return marts.entity_edges(links, company, company)
@@ -255,7 +255,7 @@ company_edge as (select l.*, f.name as from_name, t.name as to_name, case when f
 
 @query("entity_edges", f"with {BRIDGE},{PARTY},{COMPANY_LINK},{PLACE},{MOVES},{EDGE} select * from company_edge")
 def entity_edges(spark, sf_dir):
-    return company_edges(spark, sf_dir).select(
+    return company_edges(spark, sf_dir, bridge(spark, sf_dir)).select(
         "id", "from_entity_id", "to_entity_id", "from_jurisdiction", "to_jurisdiction",
         F.col("from_entity.name").alias("from_name"), F.col("to_entity.name").alias("to_name"),
         "continent",
@@ -333,7 +333,7 @@ def edge_union(spark, sf_dir):
     named = [
         edges.select("id", F.lit(kind).alias("kind"), "continent")
         for kind, edges in [
-            ("company_company", company_edges(spark, sf_dir)),
+            ("company_company", company_edges(spark, sf_dir, keys)),
             ("person_company", person_company), ("person_person", person_person),
         ]
     ]
@@ -398,7 +398,8 @@ def company_industry_mart(spark, sf_dir):
         '{LOAD_TS}' as created_at, '{LOAD_TS}' as updated_at from golden""",
 )
 def company_detail_mart(spark, sf_dir):
-    mart = marts.company_detail_mart(golden_records(spark, sf_dir), LOAD_TS)
+    records = golden_records(spark, sf_dir, bridge(spark, sf_dir))
+    mart = marts.company_detail_mart(records, LOAD_TS)
     return mart.select(
         "id", "jurisdiction", "name", "balance", F.col("created_at").cast("string").alias("created_at"),
         F.col("updated_at").cast("string").alias("updated_at"),
@@ -479,15 +480,13 @@ def _merge_ctes(*texts):
 TRADE = _merge_ctes(GOLDEN, SHIPMENT, SANCTION, FLAGS, MOVES)
 
 
-def _flags(spark, sf_dir):
-    return marts.trade_flags(
-        shipment_links(spark, sf_dir), _sanctions(spark, sf_dir), bridge(spark, sf_dir)
-    )
+def _flags(spark, sf_dir, keys):
+    return marts.trade_flags(shipment_links(spark, sf_dir), _sanctions(spark, sf_dir), keys)
 
 
 @query("trade_flags", f"with {TRADE} select * from flags")
 def trade_flags(spark, sf_dir):
-    return _flags(spark, sf_dir)
+    return _flags(spark, sf_dir, bridge(spark, sf_dir))
 
 
 @query(
@@ -502,8 +501,9 @@ def trade_flags(spark, sf_dir):
     left join nation on g.jurisdiction = n_name""",
 )
 def trade_entity(spark, sf_dir):
+    keys = bridge(spark, sf_dir)
     entities = marts.trade_entities(
-        golden_records(spark, sf_dir), _flags(spark, sf_dir), _lookup(spark, sf_dir), LOAD_TS
+        golden_records(spark, sf_dir, keys), _flags(spark, sf_dir, keys), _lookup(spark, sf_dir), LOAD_TS
     )
     return entities.select(
         "id", "name", "jurisdiction", "country_name", "country_code", "is_person", "is_trade", "is_sanction"

@@ -87,8 +87,7 @@ def regex_match_cross(spark, sf_dir):
 
 def name_matches(spark, sf_dir):
     """The name match table, written out as the flow writes its own steps."""
-    hub = staged(resolved_hub(spark, sf_dir), "regex_names")
-    return staged(resolve.match_by_name(hub, stage=staged), "name_matches")
+    return staged(resolve.match_by_name(resolved_hub(spark, sf_dir), stage=staged), "name_matches")
 
 
 @query("regex_match_flow", f"with {MATCHES} select * from flow")
@@ -365,14 +364,14 @@ GOLDEN_COLUMNS = [
 ]
 
 
-def golden_records(spark, sf_dir):
-    record = golden.golden_record(bridge(spark, sf_dir), satellite(spark, sf_dir), GOLDEN_ORDER)
+def golden_records(spark, sf_dir, keys):
+    record = golden.golden_record(keys, satellite(spark, sf_dir), GOLDEN_ORDER)
     return staged(record, "golden")
 
 
 @query("golden_record", f"with {GOLDEN} select {', '.join(GOLDEN_COLUMNS)} from golden")
 def golden_record(spark, sf_dir):
-    record = golden_records(spark, sf_dir)
+    record = golden_records(spark, sf_dir, bridge(spark, sf_dir))
     return record.withColumn("category", F.array_join("category", "|")).select(*GOLDEN_COLUMNS)
 
 
@@ -390,11 +389,12 @@ def golden_record(spark, sf_dir):
 )
 def golden_incremental(spark, sf_dir):
     """Survivors that were consolidated before start from that record."""
-    records = golden_records(spark, sf_dir)
+    keys = bridge(spark, sf_dir)
+    records = golden_records(spark, sf_dir, keys)
     verified = records.where("is_branch").withColumns(
         {"status": F.lit("verified"), "legal_form": F.lit(None).cast("string")}
     )
     again = golden.golden_record(
-        bridge(spark, sf_dir), satellite(spark, sf_dir), GOLDEN_ORDER, verified=verified
+        keys, satellite(spark, sf_dir), GOLDEN_ORDER, verified=verified
     )
     return again.select("dv_hashkey_company", "jurisdiction", "status", "legal_form")

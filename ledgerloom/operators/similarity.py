@@ -5,11 +5,13 @@ in length and word count, and reach a similarity in percent. Comparing every
 pair of a block is quadratic in its size, so candidates come from equi-joins on
 signatures that two strings within the allowed number of edits must share:
 
-* at most one edit: equal after dropping at most one character each, so each
-  name emits itself and its one-character deletions;
+* few edits: equal after dropping at most that many characters each. Each name
+  emits itself and what is left of it after one deletion, or two where the
+  name is short. Such a signature has few owners, whatever the names look like.
 * more edits, say t: of t + 1 consecutive pieces of one name, one survives
-  unedited in the other, shifted by at most t (the partition scheme of
-  Pass-Join, Li et al., VLDB 2011).
+  unedited in the other. The piece numbered i (from 0) need only be sought
+  where at most i edits lie before it and t - i after it (partition scheme and
+  multi-match-aware selection of Pass-Join, Li et al., VLDB 2011).
 
 Both are exact: no match is lost, and the bounded distance settles the rest.
 Names are made distinct first, so copies of a name cost nothing.
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.dedupe import first_per_key
 
+SHORT_REST = 16
+
 
 def blocking_features(df, base="pure_name", first_chars=6):
     """First letters, number of spaces and length of a name."""
@@ -36,22 +40,36 @@ def _edits(length, threshold):
     return f"cast(floor(({length}) * {100 - threshold} / 100.0 + 1e-6) as int)"
 
 
-def _signatures(df, threshold, length_diff, indexed):
+def _deletions(texts):
+    """All texts of an array with one character less."""
+    return f"""array_distinct(flatten(transform({texts}, v ->
+        transform(filter(sequence(0, length(v)), i -> i > 0),
+            i -> concat(substring(v, 1, i - 1), substring(v, i + 1))))))"""
+
+
+def _signatures(df, threshold, length_diff, stripped, indexed):
     """Add ``sig``: one row per signature of a name.
 
-    ``rest`` is the part of the name in which a pair can differ and ``len``
-    the length of the whole name. Indexed names emit their pieces, probing
-    names every place where a piece of a possible partner can stand.
+    ``rest`` is the part of the name in which a pair can differ, ``len`` the
+    length of the whole name, of which ``stripped`` letters are not in the
+    rest. The longer length of a pair decides which signatures count for it,
+    so a name emits those of every length its partners may bring it to.
+    Indexed names emit their pieces, probing names every place where a piece
+    of a possible partner can stand.
     """
-    allowed_low = _edits("len", threshold)
-    allowed_high = _edits(f"len + {length_diff}", threshold)
+    edits = lambda length: _edits(length, threshold)
+    by_deletion = lambda length: (
+        f"({edits(length)} < 2 or ({edits(length)} = 2 and ({length}) - {stripped} <= {SHORT_REST}))"
+    )
+    longest = f"transform(sequence(0, {length_diff}), k -> len + k)"
+    depth = f"""array_max(transform(filter({longest}, n -> {by_deletion('n')}), n -> {edits('n')}))"""
+    one = _deletions("array(rest)")
     drops = f"""
-        case when {allowed_low} > 1 then array()
-             when {allowed_high} < 1 then array(concat('d', rest))
-             else array_distinct(concat(array(concat('d', rest)),
-                 transform(filter(sequence(0, length(rest)), i -> i > 0),
-                     i -> concat('d', substring(rest, 1, i - 1), substring(rest, i + 1)))))
-        end"""
+        transform(case {depth}
+             when 0 then array(rest)
+             when 1 then concat(array(rest), {one})
+             when 2 then concat(array(rest), {one}, {_deletions(one)})
+             else array() end, v -> concat('d', v))"""
 
     size = lambda length, t: f"cast(floor(({length}) / ({t} + 1)) as int)"
     plain = lambda length, t: f"({t} + 1 - ({length}) % ({t} + 1))"
@@ -64,23 +82,23 @@ def _signatures(df, threshold, length_diff, indexed):
     if indexed:
         pieces = f"""
             flatten(transform(
-                filter(array_distinct(transform(sequence(0, {length_diff}),
-                    k -> {_edits('len + k', threshold)})), t -> t > 1),
+                array_distinct(transform(filter({longest}, n -> not {by_deletion('n')}),
+                    n -> {edits('n')})),
                 t -> transform(sequence(0, t), i -> concat_ws('|', t, len, i,
                     substring(rest, {start('length(rest)', 't', 'i')} + 1,
                               {width('length(rest)', 't', 'i')})))))"""
     else:
         pieces = f"""
             flatten(transform(
-                filter(transform(
-                        filter(sequence(len - {length_diff}, len + {length_diff}),
-                               m -> m >= 0 and length(rest) + m - len >= 0),
-                        m -> named_struct('m', m,
-                                          't', {_edits('greatest(len, m)', threshold)})),
-                    p -> p.t > 1),
+                transform(
+                    filter(sequence(len - {length_diff}, len + {length_diff}),
+                           m -> m >= 0 and length(rest) + m - len >= 0
+                                and not {by_deletion('greatest(len, m)')}),
+                    m -> named_struct('m', m, 't', {edits('greatest(len, m)')})),
                 p -> flatten(transform(sequence(0, p.t), i ->
                     transform(
-                        filter(sequence(-p.t, p.t), s ->
+                        filter(sequence(-i, i), s ->
+                            abs(s - (len - p.m)) <= p.t - i and
                             {start('(length(rest) + p.m - len)', 'p.t', 'i')} + s >= 0
                             and {start('(length(rest) + p.m - len)', 'p.t', 'i')} + s
                                 + {width('(length(rest) + p.m - len)', 'p.t', 'i')}
@@ -117,11 +135,14 @@ def similar_names(
 ):
     """Distinct pairs of names that match, with distance and similarity."""
     case_folded = base in ("pure_name", "regexed_name")
+    stripped = first_chars if case_folded else 0
     t = _signatures(
-        _distinct_names(to_verify, base, first_chars, case_folded), threshold, length_diff, False
+        _distinct_names(to_verify, base, first_chars, case_folded), threshold, length_diff, stripped,
+        indexed=False,
     )
     m = _signatures(
-        _distinct_names(trusted, base, first_chars, case_folded), threshold, length_diff, True
+        _distinct_names(trusted, base, first_chars, case_folded), threshold, length_diff, stripped,
+        indexed=True,
     ).select(
         "jurisdiction", "block", "sig",
         *[F.col(c).alias(f"m_{c}") for c in ("name_text", "len", "spaces")],
