@@ -5,7 +5,7 @@ import importlib
 from ledgerloom.catalogue.registry import ORACLES, QUERIES
 
 MODULES = [
-    "vault", "cleaning", "lookups", "resolution", "marts", "quality", "relational", "tables",
+    "vault", "cleaning", "lookups", "resolution", "marts", "quality", "relational", "tables", "jobs",
 ]
 
 

@@ -51,12 +51,12 @@ def keep_if(condition, value):
     return F.when(condition, _col(value))
 
 
-def role_position(caption):
+def role_position(caption, rules=tuple(fixed.ROLE_RULES)):
     """A struct of position and position code by words in a role caption."""
     caption = _col(caption)
     lowered = F.lower(caption)
     position = code = None
-    for words, name, number in fixed.ROLE_RULES:
+    for words, name, number in rules:
         hit = F.lit(False)
         for word in words:
             hit = hit | lowered.contains(word)

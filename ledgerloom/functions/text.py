@@ -72,6 +72,8 @@ def strip_legal_form(value, suffixes=None, prefixes=None):
 def join_address(*parts, separator=", "):
     """The parts that are there, null only where none is."""
     parts = [_col(part) for part in parts]
+    if not parts:
+        return F.lit(None).cast("string")
     return F.when(F.coalesce(*parts).isNotNull(), F.concat_ws(separator, *parts))
 
 
