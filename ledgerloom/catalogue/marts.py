@@ -12,6 +12,7 @@ from ledgerloom.catalogue.samples import (
 )
 from ledgerloom.functions.keys import hash_key, hash_of
 from ledgerloom.plans import marts
+from ledgerloom.sources.staging import staged
 
 
 def _lookup(spark, sf_dir):
@@ -29,9 +30,9 @@ place as (select n_name as jurisdiction, concat('C', n_nationkey) as country_cod
     lower(r_name) as continent from nation join region on n_regionkey = r_regionkey)"""
 
 
-def _addresses(spark, sf_dir):
+def _addresses(spark, sf_dir, everyone):
     """Orders as addresses of the customer's company."""
-    who = parties(spark, sf_dir).where("source = 'customer'")
+    who = everyone.where("source = 'customer'")
     orders = table(spark, sf_dir, "orders")
     return orders.join(who, F.col("o_custkey") == F.col("k")).selectExpr(
         "dv_hashkey_company", "jurisdiction", "cast(substring(o_orderpriority, 1, 1) as int) as type",
@@ -45,7 +46,7 @@ address as (select dv_hashkey_company, jurisdiction, cast(substring(o_orderprior
     from orders join party on source = 'customer' and o_custkey = k)"""
 
 
-def _industries(spark, sf_dir):
+def _industries(spark, sf_dir, everyone):
     """Part types as industries, and those each supplier's company ships."""
     part = table(spark, sf_dir, "part")
     types = part.select(F.col("p_type").alias("industry_code")).distinct()
@@ -54,7 +55,7 @@ def _industries(spark, sf_dir):
         F.lower("industry_code").alias("desc"),
     )
     line = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    who = parties(spark, sf_dir).where("source = 'supplier'")
+    who = everyone.where("source = 'supplier'")
     links = (
         line.select("l_suppkey", "p_type").distinct()
         .join(who, F.col("l_suppkey") == F.col("k"))
@@ -66,11 +67,11 @@ def _industries(spark, sf_dir):
     return industry, links
 
 
-def _sanctions(spark, sf_dir):
+def _sanctions(spark, sf_dir, everyone):
     """Companies with a negative balance are sanctioned."""
     rows = companies(spark, sf_dir)
     poor = rows.where("balance < 0").select("source", "k")
-    return parties(spark, sf_dir).join(poor, ["source", "k"]).select(
+    return everyone.join(poor, ["source", "k"]).select(
         hash_of("source", "k").alias("dv_hashkey_sanction"), "dv_hashkey_company", "source", "k"
     )
 
@@ -110,11 +111,13 @@ moves as (select from_key, min(to_key) as to_key from bridge where from_key <> t
 )
 def entity_company_doc(spark, sf_dir):
     keys = bridge(spark, sf_dir)
-    industry, links = _industries(spark, sf_dir)
+    everyone = staged(parties(spark, sf_dir), "parties")
+    industry, links = _industries(spark, sf_dir, everyone)
     documents = marts.company_documents(
         resolved_hub(spark, sf_dir), keys,
         golden_records(spark, sf_dir, keys).drop("category"),
-        _addresses(spark, sf_dir), _sanctions(spark, sf_dir), industry, links, _lookup(spark, sf_dir),
+        _addresses(spark, sf_dir, everyone), _sanctions(spark, sf_dir, everyone), industry, links,
+        _lookup(spark, sf_dir),
     )
     line = lambda *fields: lambda x: F.concat_ws("|", *[x[f].cast("string") for f in fields])
     shown = lambda column, *fields: F.array_join(
@@ -366,7 +369,8 @@ def entity_structs(spark, sf_dir):
 )
 def address_mart(spark, sf_dir):
     return marts.address_mart(
-        _addresses(spark, sf_dir), _person_addresses(spark, sf_dir), bridge(spark, sf_dir)
+        _addresses(spark, sf_dir, parties(spark, sf_dir)), _person_addresses(spark, sf_dir),
+        bridge(spark, sf_dir),
     )
 
 
@@ -375,7 +379,7 @@ def address_mart(spark, sf_dir):
     """select md5(p_type) as id, p_type as industry_code, lower(p_type) as "desc" from part group by p_type""",
 )
 def industry_marts(spark, sf_dir):
-    return marts.industry_mart(_industries(spark, sf_dir)[0])
+    return marts.industry_mart(_industries(spark, sf_dir, parties(spark, sf_dir))[0])
 
 
 @query(
@@ -385,7 +389,7 @@ def industry_marts(spark, sf_dir):
     from lineitem join part on l_partkey = p_partkey join party p on p.source = 'supplier' and p.k = l_suppkey""",
 )
 def company_industry_mart(spark, sf_dir):
-    links = _industries(spark, sf_dir)[1].select(
+    links = _industries(spark, sf_dir, parties(spark, sf_dir))[1].select(
         hash_of("dv_hashkey_company", "dv_hashkey_industry").alias("dv_hashkey_l_company_industry"),
         "dv_hashkey_company", "dv_hashkey_industry",
     )
@@ -438,7 +442,7 @@ def provenance_mart(spark, sf_dir):
     select id, entity_id, program from s""",
 )
 def sanction_mart(spark, sf_dir):
-    company = _sanctions(spark, sf_dir)
+    company = _sanctions(spark, sf_dir, parties(spark, sf_dir))
     person = _persons(spark, sf_dir).where("user_id % 5 = 0").withColumn(
         "dv_hashkey_sanction", hash_of(F.lit("user"), "user_id")
     )
@@ -481,7 +485,8 @@ TRADE = _merge_ctes(GOLDEN, SHIPMENT, SANCTION, FLAGS, MOVES)
 
 
 def _flags(spark, sf_dir, keys):
-    return marts.trade_flags(shipment_links(spark, sf_dir), _sanctions(spark, sf_dir), keys)
+    everyone = parties(spark, sf_dir)
+    return marts.trade_flags(shipment_links(spark, sf_dir), _sanctions(spark, sf_dir, everyone), keys)
 
 
 @query("trade_flags", f"with {TRADE} select * from flags")

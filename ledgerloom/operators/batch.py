@@ -10,10 +10,15 @@ def running_total(counts, count="cnt"):
     The sum depends on the count alone, so the window runs over distinct
     counts. With N rows in total there are fewer than sqrt(2 N) of them.
     """
+    return _running(counts, count).drop("__total")
+
+
+def _running(counts, count):
     by_size = counts.groupBy(count).agg(F.sum(count).alias("size_total"))
     sums = by_size.select(
         F.col(count).alias("__size"),
         F.sum("size_total").over(Window.orderBy(count)).alias("running_sum"),
+        F.sum("size_total").over(Window.partitionBy()).alias("__total"),
     )
     return counts.join(sums, F.col(count) == F.col("__size")).drop("__size")
 
@@ -21,12 +26,9 @@ def running_total(counts, count="cnt"):
 def balanced_groups(df, n_groups, column="jurisdiction"):
     """A group number per partition value, by running row count."""
     counts = df.groupBy(column).agg(F.count("*").alias("cnt"))
-    totals = running_total(counts)
-    whole = counts.agg(F.sum("cnt").alias("__total"))
     share = F.col("running_sum") / (F.col("__total") / n_groups)
     return (
-        totals.withColumn("__one", F.lit(1))
-        .join(F.broadcast(whole.withColumn("__one", F.lit(1))), "__one")
+        _running(counts, "cnt")
         .withColumn("group_number", F.least(F.floor(share) + 1, F.lit(n_groups)))
         .select(column, "cnt", "running_sum", "group_number")
     )

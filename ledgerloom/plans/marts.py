@@ -266,18 +266,25 @@ def trade_flags(shipment_links, sanction_links, bridge):
     Flags are folded to one row per company before they meet the bridge, so
     the shipments of one trader never travel together.
     """
-    def marks(frame, column, flag):
-        names = ["is_trade_buyer", "is_trade_supplier", "is_sanction"]
-        return frame.where(F.col(column).isNotNull()).select(
-            F.col(column).alias("company_key"), *[F.lit(n == flag).alias(n) for n in names]
-        )
-
+    names = ["is_trade_buyer", "is_trade_supplier", "is_sanction"]
+
+    def mark(column, flag):
+        return F.struct(F.col(column).alias("company_key"), *[F.lit(n == flag).alias(n) for n in names])
+
+    traders = shipment_links.select(
+        F.explode(
+            F.array(
+                mark("buyer_dv_hashkey_company", "is_trade_buyer"),
+                mark("supplier_dv_hashkey_company", "is_trade_supplier"),
+            )
+        ).alias("mark")
+    )
     flags = (
-        marks(shipment_links, "buyer_dv_hashkey_company", "is_trade_buyer")
-        .union(marks(shipment_links, "supplier_dv_hashkey_company", "is_trade_supplier"))
-        .union(marks(sanction_links, "dv_hashkey_company", "is_sanction"))
+        traders.union(sanction_links.select(mark("dv_hashkey_company", "is_sanction")))
+        .select("mark.*")
+        .where("company_key is not null")
         .groupBy("company_key")
-        .agg(*[F.max(n).alias(n) for n in ("is_trade_buyer", "is_trade_supplier", "is_sanction")])
+        .agg(*[F.max(n).alias(n) for n in names])
     )
     members = (
         bridge.select("jurisdiction", "to_key", F.col("from_key").alias("member"))
@@ -287,7 +294,7 @@ def trade_flags(shipment_links, sanction_links, bridge):
     return (
         members.join(flags, F.col("member") == F.col("company_key"), "left")
         .groupBy("jurisdiction", "to_key")
-        .agg(*[F.max(n).alias(n) for n in ("is_trade_buyer", "is_trade_supplier", "is_sanction")])
+        .agg(*[F.max(n).alias(n) for n in names])
     )
 
 
