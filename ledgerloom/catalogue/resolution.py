@@ -9,7 +9,7 @@ from ledgerloom.catalogue.samples import (
 from ledgerloom.contract import TableContract
 from ledgerloom.functions.keys import hash_key
 from ledgerloom.functions.text import pure_name
-from ledgerloom.operators import resolve
+from ledgerloom.operators import merge, resolve
 from ledgerloom.operators.similarity import blocking_features, levenshtein_match
 from ledgerloom.plans import golden
 from ledgerloom.plans.vault import company_hub, load_history
@@ -87,12 +87,13 @@ def regex_match_cross(spark, sf_dir):
 
 def name_matches(spark, sf_dir):
     """The name match table, written out as the flow writes its own steps."""
-    return staged(resolve.match_by_name(resolved_hub(spark, sf_dir), stage=staged), "name_matches")
+    hub = staged(resolved_hub(spark, sf_dir), "regex_names")
+    return staged(resolve.match_by_name(hub), "name_matches")
 
 
 @query("regex_match_flow", f"with {MATCHES} select * from flow")
 def regex_match_flow(spark, sf_dir):
-    return resolve.match_by_name(resolved_hub(spark, sf_dir), stage=staged)
+    return resolve.match_by_name(staged(resolved_hub(spark, sf_dir), "regex_names"), stage=staged)
 
 
 @query(
@@ -299,6 +300,22 @@ def survivor_bridge(spark, sf_dir):
     return bridge(spark, sf_dir)
 
 
+@query(
+    "bridge_insert_only",
+    f"""with {BRIDGE} select to_key, from_key, jurisdiction, min(case when from_key is null then 'first'
+        else 'second' end) as dv_source_version from bridge group by to_key, from_key, jurisdiction""",
+)
+def bridge_insert_only(spark, sf_dir):
+    """M6: a bridge of single companies, then the whole bridge twice."""
+    rows = bridge(spark, sf_dir)
+    keys = ["jurisdiction", "from_key", "to_key"]
+    tagged = lambda df, name: df.select(*keys).withColumn("dv_source_version", F.lit(name))
+    state = merge.insert_only(None, tagged(rows.where("from_key is null"), "first"), keys)
+    for _ in range(2):
+        state = merge.insert_only(state, tagged(rows, "second"), keys)
+    return state
+
+
 @query(
     "key_repoint",
     f"""with {BRIDGE} select h.jurisdiction, h.name, coalesce((select min(to_key) from bridge b

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import strip_legal_form
+from ledgerloom.functions.text import prefix_pattern, suffix_pattern
 from ledgerloom.operators.dedupe import first_per_key, name_quality
 from ledgerloom.operators.joins import anti
 
@@ -25,9 +25,21 @@ CROSS_LEVENSHTEIN = "cross_levenshtein_regexed_name"
 
 
 def regexed_names(df, pure="pure_name"):
-    """Names without legal form, and what was cut."""
-    return df.select("*", strip_legal_form(pure).alias("__stripped")).select(
-        *df.columns, "__stripped.*"
+    """Names without legal form, and what was cut.
+
+    In steps, so that each pattern runs once per row, the prefixes only where
+    no suffix went.
+    """
+    name = F.col(pure)
+    cut = df.withColumn("__cut", F.regexp_replace(name, suffix_pattern(), ""))
+    whole = F.col("__cut") == name
+    both = cut.withColumn("__pre", F.when(whole, F.regexp_replace(name, prefix_pattern(), "")))
+    return both.select(
+        *df.columns,
+        F.coalesce("__pre", "__cut").alias("regexed_name"),
+        F.when(~whole, "suffix")
+        .when(F.col("__pre") != name, "prefix")
+        .alias("pure_name_replaced_by"),
     )
 
 

@@ -4,13 +4,23 @@ import tempfile
 import uuid
 
 
+_LOCAL_FOLDER = []
+
+
 def shared_folder(spark):
-    """The session's checkpoint folder; a temporary one only where it has none."""
+    """The session's checkpoint folder.
+
+    A session on one machine without such a folder gets a temporary one; on a
+    cluster the folder has to be set, since executors must share it.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _LOCAL_FOLDER:
+        _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="ledgerloom-"))
+    return _LOCAL_FOLDER[0]
 
 
 def new_location(spark, name):

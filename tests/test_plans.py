@@ -272,3 +272,80 @@ def test_sanction_lists(spark):
     got = bronze.sanction_person(person).first()
     assert (got["gender_numeric"], got["country_name"], got["is_sanctioned"]) == (1, "Unknown", False)
     assert got["description_full"] == "description: \nNote: \nSummary: \nPosition: \nEducation: "
+
+
+def test_staging_uses_the_session_folder(spark, monkeypatch):
+    from ledgerloom.sources import staging
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert staging.new_location(spark, "x").startswith(folder)
+
+    class Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    assert staging.shared_folder(Session("local[2]")) == staging.shared_folder(Session("local[4]"))
+    with pytest.raises(RuntimeError):
+        staging.shared_folder(Session("yarn"))
+
+
+def test_shipments_hash_their_own_columns(spark):
+    ship = spark.createDataFrame(
+        [("Imp A/S", "N1", "Exp", None), ("Imp A/S", None, None, "Peru")],
+        "name_import string, regis_import string, name_export string, jurisdiction string",
+    )
+    ports = spark.createDataFrame(
+        [("unspecified, Colombia", "p1"), ("unspecified, Peru", "p2")], "port_code string, dv_hashkey_port string"
+    )
+    place = "coalesce(jurisdiction, 'unspecified')"
+    got = recipes.shipments_of_columns(
+        ship,
+        {"buyer": ("name_import", "'Colombia'", "regis_import"), "supplier": ("name_export", place, None),
+         "shipper": ("name_export", "'unspecified'", None)},
+        {"import": ("'unspecified, Colombia'", ports), "export": (f"concat('unspecified, ', {place})", ports)},
+    )
+    want = spark.sql("select md5('Colombia;N1;imp as') as a, md5('Colombia;imp as') as b").first()
+    assert sorted(r[0] for r in got.select("buyer_dv_hashkey_company").collect()) == sorted(want)
+    assert rows(got, "import_port", "export_port") == [("p1", "p2"), ("p1", None)]
+    assert got.select("dv_hashkey_l_bol").distinct().count() == 2
+
+
+def test_sanctioned_entities_without_record_stay(spark):
+    entities = spark.createDataFrame(
+        [("NO", "7", True), ("SE", "8", True), ("DK", "9", False)],
+        "country_name string, id_number string, is_sanctioned boolean",
+    )
+    records = spark.createDataFrame([("7", "UN", "p")], "id string, authority string, program string")
+    joined = recipes.sanctioned_entities(entities, records, "company")
+    got = recipes.rows_of(recipes.RECIPES["s_sanction/company"], joined, "list")
+    assert rows(got, "id", "sanction_id", "authority", "source_schema") == [
+        ("7", "7", "UN", "company"), ("8", None, None, "company"),
+    ]
+    parties = spark.createDataFrame([("7", "h7")], "id string, dv_hashkey_company string")
+    links = recipes.sanction_links(joined, parties, "id", "id", "dv_hashkey_company")
+    assert links.count() == 1
+
+
+def test_industry_takes_the_country_of_its_jurisdiction(spark):
+    df = spark.createDataFrame([("Norway", "01", "xx"), ("Mars", "02", "yy")], "jurisdiction string, industry_code string, country_code string")
+    lookup = spark.createDataFrame([("Norway", "NO"), ("Norway", "NO2")], "jurisdiction string, country_code string")
+    got = recipes.with_country_code(df, lookup)
+    assert rows(got, "jurisdiction", "country_code") == [("Mars", None), ("Norway", "NO")]
+
+
+def test_register_rows_get_their_place(spark):
+    df = spark.createDataFrame(
+        [("ann b. lee", "texas", "us", "US", "1"), (None, "x", "us", "US", "2"), ("bo", None, None, None, "3")],
+        "name string, jurisdiction string, country_name string, country_code string, id string",
+    )
+    lookup = spark.createDataFrame([("US", "US.Texas")], "country_name string, jurisdiction string")
+    second = spark.createDataFrame([("zz", "Zed")], "jurisdiction string, country string")
+    got = bronze.register_person(df, lookup, second, "2024")
+    assert rows(got, "name", "jurisdiction") == [("Ann B. Lee", "US.Texas"), ("Bo", "Unknown")]
