@@ -151,7 +151,7 @@ def _hs_codes(spark, sf_dir):
     return (
         part.where("p_size > 2").selectExpr(f"{two} as code", "concat('(Chapter) ', p_size, '.') as description")
         .union(part.selectExpr(four, f"concat('Heading ', {four})"))
-        .union(part.where("p_partkey % 10 < 6 and p_size < 40").selectExpr(six, f"concat('Sub ', {six})"))
+        .union(part.where("p_size < 40").selectExpr(six, f"concat('Sub ', {six})"))
         .union(part.selectExpr(eight, f"concat('Item ', {eight})"))
         .distinct()
     )
@@ -170,7 +170,7 @@ _EIGHT = f"concat({_SIX}, lpad(cast(p_partkey % 7 as varchar), 2, '0'))"
     h4 as (select distinct four, concat('Heading ', four) as d4, two, d2 from (select distinct four from p)
         join h2 on substring(four, 1, 2) = two),
     h6 as (select six, concat('Sub ', six) as d6, h4.* from (select distinct six from p
-        where p_partkey % 10 < 6 and p_size < 40) join h4 on substring(six, 1, 4) = four),
+        where p_size < 40) join h4 on substring(six, 1, 4) = four),
     i8 as (select distinct eight, concat('Item ', eight) as d8 from p),
     h8 as (
         select eight, concat_ws('; ', d2, d4, d6, d8) as description, six as parent_code

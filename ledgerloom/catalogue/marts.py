@@ -166,7 +166,7 @@ def person_documents(spark, sf_dir):
     return marts.person_documents(
         hub_rows, people.select("dv_hashkey_person", "jurisdiction", "skills", "birthplace"),
         _person_addresses(spark, sf_dir),
-        people.where("user_id % 5 = 0").select("dv_hashkey_person"),
+        people.where("jurisdiction like '%1'").select("dv_hashkey_person"),
         _lookup(spark, sf_dir),
     )
 
@@ -175,7 +175,7 @@ def person_documents(spark, sf_dir):
     "entity_person_doc",
     f"""with {PERSON},{PLACE}, a as (select user_id, array_to_string(list_sort(list(event_type)), ';')
         as addresses from events group by 1)
-    select dv_hashkey_person as id, user_id % 5 = 0 as is_sanctioned, name, continent, jurisdiction,
+    select dv_hashkey_person as id, jurisdiction like '%1' as is_sanctioned, name, continent, jurisdiction,
         addresses, skills, birthplace
     from person join a using (user_id) join place using (jurisdiction)""",
 )
@@ -438,12 +438,12 @@ def provenance_mart(spark, sf_dir):
             from sanction
         union all
         select md5(concat_ws(';', 'user', user_id)), concat('U', user_id), 'user', dv_hashkey_person
-            from person where user_id % 5 = 0)
+            from person where jurisdiction like '%1')
     select id, entity_id, program from s""",
 )
 def sanction_mart(spark, sf_dir):
     company = _sanctions(spark, sf_dir, parties(spark, sf_dir))
-    person = _persons(spark, sf_dir).where("user_id % 5 = 0").withColumn(
+    person = _persons(spark, sf_dir).where("jurisdiction like '%1'").withColumn(
         "dv_hashkey_sanction", hash_of(F.lit("user"), "user_id")
     )
     details = company.selectExpr(

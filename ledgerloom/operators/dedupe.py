@@ -50,33 +50,64 @@ def first_value_by(column, order):
 
 
 def distinct_items(column):
-    """A1: distinct elements of all arrays, sorted; equal arrays merge map-side."""
-    return F.array_sort(F.array_distinct(F.flatten(F.collect_set(column))))
+    """A1: distinct elements of all arrays; equal arrays merge map-side."""
+    return F.array_distinct(F.flatten(F.collect_set(column)))
+
+
+SALTS = 16
 
 
 def consolidate(df, keys, order, rules=None, include=None, exclude=()):
     """A1: one row per key by type.
 
-    Arrays give their distinct elements, booleans whether any is true, all
-    else the first non-null value by ``order``. ``rules`` maps a column to an
-    aggregate of its own.
+    Arrays give their distinct elements, sorted; booleans whether any is true;
+    all else the first non-null value by ``order``. ``rules`` maps a column to
+    an aggregate of its own.
+
+    With array columns a key is first folded in salted parts, so that the
+    arrays of one large key are made distinct by many tasks and only the parts'
+    results come together.
     """
     rules = rules or {}
-    aggregates = []
-    for field in df.schema.fields:
-        name = field.name
-        if name in keys or name in exclude or (include and name not in include):
-            continue
-        if name in rules:
-            value = rules[name](name)
-        elif isinstance(field.dataType, ArrayType):
-            value = distinct_items(name)
-        elif isinstance(field.dataType, BooleanType):
-            value = F.max(name)
-        else:
-            value = first_value_by(name, order)
-        aggregates.append(value.alias(name))
-    return df.groupBy(*keys).agg(*aggregates)
+    chosen = [
+        f
+        for f in df.schema.fields
+        if f.name not in keys and f.name not in exclude and (not include or f.name in include)
+    ]
+    is_array = lambda f: isinstance(f.dataType, ArrayType) and f.name not in rules
+    if rules or not any(is_array(f) for f in chosen):
+        return df.groupBy(*keys).agg(*[_folded(f, order, rules).alias(f.name) for f in chosen])
+    salt = F.pmod(F.xxhash64(*order), F.lit(SALTS)).alias("__salt")
+    parts = df.groupBy(*keys, salt).agg(*[_part(f, order).alias(f.name) for f in chosen])
+    return parts.groupBy(*keys).agg(*[_merged(f).alias(f.name) for f in chosen])
+
+
+def _folded(field, order, rules):
+    if field.name in rules:
+        return rules[field.name](field.name)
+    if isinstance(field.dataType, ArrayType):
+        return F.array_sort(distinct_items(field.name))
+    if isinstance(field.dataType, BooleanType):
+        return F.max(field.name)
+    return first_value_by(field.name, order)
+
+
+def _part(field, order):
+    """A fold of some rows of a key that can be folded further."""
+    if isinstance(field.dataType, ArrayType):
+        return distinct_items(field.name)
+    if isinstance(field.dataType, BooleanType):
+        return F.max(field.name)
+    value = F.col(f"`{field.name}`")
+    return F.min(F.when(value.isNotNull(), F.struct(F.struct(*order).alias("at"), value.alias("value"))))
+
+
+def _merged(field):
+    if isinstance(field.dataType, ArrayType):
+        return F.array_sort(F.array_distinct(F.flatten(F.collect_list(field.name))))
+    if isinstance(field.dataType, BooleanType):
+        return F.max(field.name)
+    return F.min(field.name)["value"]
 
 
 def first_non_null(df, keys, columns, order):

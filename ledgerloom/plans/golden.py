@@ -1,9 +1,8 @@
 """Survivor keys and golden records."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType
 
-from ledgerloom.operators.dedupe import consolidate, distinct_items, first_value_by
+from ledgerloom.operators.dedupe import consolidate
 from ledgerloom.operators.joins import anti, small_side
 
 
@@ -55,8 +54,7 @@ def golden_record(bridge, satellite, order, key="dv_hashkey_company", verified=N
 
     The survivor's own values come first, its duplicates fill what it lacks;
     arrays unite and booleans add up. A survivor already in ``verified`` starts
-    from that record instead of the satellite. It is one aggregation over
-    (survivor, priority, row), so no duplicate set is held in a row.
+    from that record instead of the satellite.
     """
     folded = consolidate(satellite, [key], [F.col(c) for c in order])
     columns = [f.name for f in folded.schema.fields if f.name not in (key, "jurisdiction")]
@@ -73,19 +71,10 @@ def golden_record(bridge, satellite, order, key="dv_hashkey_company", verified=N
         own.select("__to", "__j").distinct(), ["__to", "__j"], "left_semi"
     )
     rows = own.unionByName(filled)
-    priority = [F.col("__priority"), F.col("__member")]
-    aggregates = []
-    for field in folded.schema.fields:
-        if field.name not in columns:
-            continue
-        if isinstance(field.dataType, ArrayType):
-            value = distinct_items(field.name)
-        elif isinstance(field.dataType, BooleanType):
-            value = F.max(field.name)
-        else:
-            value = first_value_by(field.name, priority)
-        aggregates.append(value.alias(field.name))
-    return rows.groupBy(F.col("__to").alias(key), F.col("__j").alias("jurisdiction")).agg(*aggregates)
+    record = consolidate(
+        rows, ["__to", "__j"], [F.col("__priority"), F.col("__member")], include=columns
+    )
+    return record.withColumnsRenamed({"__to": key, "__j": "jurisdiction"})
 
 
 def _tagged(members, records, member_key, record_key, columns, priority):
