@@ -1,7 +1,11 @@
 """The numbered operators as registered queries, each on its whole table, with SQL where SQL can say it."""
 
-from ledgerloom.llm import substring, suffix_dedup
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import exact_dedup, packing, simhash, substring, suffix_dedup, token_files
 from ledgerloom.llm.common import table
+from ledgerloom.sources.staging import new_location
 
 QUERIES = {}
 ORACLES = {}
@@ -17,6 +21,39 @@ def query(name, sql=None):
     return register
 
 
+EXACT_SQL = r"""
+select doc_id, first_value(doc_id) over g as keep_id, count(*) over (partition by norm) as group_size,
+  row_number() over g = 1 as kept, sha256(norm) as text_sha256
+from (
+  select doc_id, length(coalesce(text, '')) as n,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm
+  from documents
+)
+window g as (partition by norm order by n desc, doc_id)
+"""
+
+
+@query("op1_exact_dedup", EXACT_SQL)
+def op1(spark, sf_dir):
+    groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op3_token_files")
+def op3(spark, sf_dir):
+    path = new_location(spark, "token-files")
+    token_files.write_token_files(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=1
+    )
+    return token_files.read_token_files(spark, path).drop("ids")
+
+
+@query("op4_best_fit_packing")
+def op4(spark, sf_dir):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, end=0).drop("ids")
+
+
 SUBSTRING_SQL = r"""
 with words as (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
@@ -41,6 +78,12 @@ def op6(spark, sf_dir):
     return substring.digests(substring.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+@query("op8_simhash_near_dedup")
+def op8(spark, sf_dir):
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query("op9_suffix_dedup")
 def op9(spark, sf_dir):
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
