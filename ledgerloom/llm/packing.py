@@ -1,6 +1,6 @@
 """Best-fit packing (4): bounded-space online best-fit of token pieces into sequences.
 
-Each task packs the pieces of its documents as they come. A fixed number of bins
+Each task packs the pieces of its documents as they come, those of one batch longest first. A fixed number of bins
 is open, found by a bitset whose bit ``f`` says that a bin has ``f`` free places; a
 piece goes to the smallest free space that takes it, and where a new bin would be
 one too many, the fullest is closed. What is still open when a task ends is packed
@@ -91,7 +91,9 @@ def pack(df, tokenizer, end, text="text", key="doc_id", length=LENGTH, open_bins
             raw = ids.astype("<u4").tobytes()
             begin = (offsets[doc] + start) * 4
             cut = [raw[a:b] for a, b in zip(begin.tolist(), (begin + size * 4).tolist())]
-            placed = [packer.place(s) for s in size.tolist()]
+            placed = [None] * len(size)
+            for i in np.argsort(-size, kind="stable").tolist():  # what is at hand goes in longest first
+                placed[i] = packer.place(int(size[i]))
             yield rows(
                 [
                     batch.column("doc_id").take(pa.array(doc)), piece, start, size, [zlib.crc32(c) for c in cut],

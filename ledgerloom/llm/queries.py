@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, packing, simhash, substring, suffix_dedup, token_files
+from ledgerloom.llm import exact_dedup, kneser_ney, packing, simhash, substring, suffix_dedup, token_files
 from ledgerloom.llm.common import table
 from ledgerloom.sources.staging import new_location
 
@@ -39,6 +39,13 @@ def op1(spark, sf_dir):
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query("op2_quality_classifier")
+def op2(spark, sf_dir):
+    """The documents that the classifier keeps, with their perplexity and threshold."""
+    scores = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scores.where("kept").drop("kept")
+
+
 @query("op3_token_files")
 def op3(spark, sf_dir):
     path = new_location(spark, "token-files")
