@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import exact_dedup, kneser_ney, packing, simhash, substring, suffix_dedup, token_files
+from ledgerloom.llm import (
+    chat, exact_dedup, kneser_ney, packing, piece_sampling, posting_lists, simhash, substring, suffix_dedup, token_files,
+)
 from ledgerloom.llm.common import table
 from ledgerloom.sources.staging import new_location
 
@@ -61,6 +63,11 @@ def op4(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, end=0).drop("ids")
 
 
+@query("op5_sentencepiece")
+def op5(spark, sf_dir):
+    return piece_sampling.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 SUBSTRING_SQL = r"""
 with words as (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
@@ -85,6 +92,11 @@ def op6(spark, sf_dir):
     return substring.digests(substring.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+@query("op7_nearest_neighbours")
+def op7(spark, sf_dir):
+    return posting_lists.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 @query("op8_simhash_near_dedup")
 def op8(spark, sf_dir):
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
@@ -94,3 +106,30 @@ def op8(spark, sf_dir):
 @query("op9_suffix_dedup")
 def op9(spark, sf_dir):
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+CHAT_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -1, i, ['user', 'assistant'][i], '<|im_end|><|im_start|>assistant ok' from (select unnest([1, 2]) as i)
+), escaped as (
+  select *, regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g') as r, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') as t
+  from turns
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(length(r) + length(t) + 32)::bigint as formatted_chars
+from escaped group by conv_id
+"""
+
+
+@query("op10_chat_formatting", CHAT_SQL)
+def op10(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "<|im_end|><|im_start|>assistant ok"
+    own = spark.createDataFrame([(-1, 1, "user", said), (-1, 2, "assistant", said)], given.schema)
+    formatted = chat.format_chats(given.unionByName(own), public_tokenizers.path("byte_bpe_50k.json"))
+    return chat.digests(formatted)
