@@ -23,7 +23,7 @@ SKIP = 255
 #: A document's mean is drawn to that of its language as if it had so many more symbols.
 PRIOR = 40
 #: The share of a language's trusted documents below its threshold, and the factor on top.
-QUANTILE, MARGIN = 0.995, 1.1
+QUANTILE, MARGIN = 0.995, 1.25
 #: Languages with fewer trusted documents take the threshold of all.
 LEAST_TRUSTED = 50
 
@@ -163,10 +163,12 @@ def classify(df, labels, text="text", key="doc_id", lang="lang", quantile=QUANTI
     are not kept; a null language is a language; a null key is never trusted; repeated rows count
     as often as they occur. Without trusted text there is no threshold, and texts are kept.
     """
-    docs = common.documents(df, text, key).withColumn("lang", F.lit(None).cast("string")) if lang is None else df.select(
-        F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(lang).alias("lang")
-    )
     common.ship(df.sparkSession)
+    docs = df.select(
+        F.col(key).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.col(lang).cast("string").alias("lang"),
+    )
     good = staged(trusted_ids(labels, key), "trusted")
     model = fit(docs.join(good, docs["doc_id"] == good["trusted_id"], "left_semi").select("text"))
     scores = staged(score(docs, model), "scores")
@@ -190,7 +192,7 @@ def classify(df, labels, text="text", key="doc_id", lang="lang", quantile=QUANTI
 
 
 def kept_rows(df, labels, **options):
-    """The rows of ``df`` that are kept, with all their columns; rows of one key go or stay by their own texts."""
+    """The rows of ``df`` that are kept, with all their columns; a key of which one text is rejected goes."""
     key = options.get("key", "doc_id")
     gone = (
         classify(df, labels, **options).where("not kept")
