@@ -86,8 +86,8 @@ def divided(mask):
 
 def levels(depth):
     found = masks(list(range(64)))
-    for _ in range(depth - 1):
-        found = [m for mask in found for m in divided(mask)]
+    for _ in range(depth - 1):  # two ways may lead to one mask
+        found = list(dict.fromkeys(m for mask in found for m in divided(mask)))
     return found
 
 
@@ -220,7 +220,7 @@ def links(prints, node=NODE):
         depth += 1
         nodes = large.select("fp", F.explode(parts[F.col("mask")]).alias("mask")).select(
             "fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("pattern")
-        )
+        ).distinct()
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
