@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalogue.registry import table
 from ledgerloom.functions.keys import hash_key
-from ledgerloom.functions.text import prefix_pattern, pure_name, suffix_pattern
+from ledgerloom.functions import fixed
+from ledgerloom.functions.text import pure_name
 from ledgerloom.operators.dedupe import first_per_key
 from ledgerloom.operators.resolve import regexed_names
 from ledgerloom.plans.vault import company_hub, shipment_link
@@ -73,14 +74,19 @@ def pure_sql(column):
 
 
 def stripped_sql(column):
-    """DuckDB texts of B5: the stripped name, and what was cut."""
-    suffix = suffix_pattern().replace("'", "''")
-    prefix = prefix_pattern().replace("'", "''")
-    cut = f"regexp_replace({column}, '{suffix}', '')"
-    pre = f"regexp_replace({column}, '{prefix}', '')"
+    """DuckDB texts of B5, by looking the listed forms up: the stripped name, and what was cut.
+
+    The longest listed form that ends the name after a space goes, else the longest
+    that begins it before a space.
+    """
+    listed = lambda forms: "[" + ", ".join("'" + f.replace("'", "''") + "'" for f in forms) + "]"
+    suffix = f"list_filter({listed(fixed.legal_suffixes())}, lambda f: ends_with({column}, ' ' || f))[1]"
+    prefix = f"list_filter({listed(fixed.legal_prefixes())}, lambda f: starts_with({column}, f || ' '))[1]"
+    cut = f"left({column}, length({column}) - length({suffix}) - 1)"
+    pre = f"substring({column}, length({prefix}) + 2)"
     return (
-        f"case when {cut} <> {column} then {cut} else {pre} end",
-        f"case when {cut} <> {column} then 'suffix' when {pre} <> {column} then 'prefix' end",
+        f"case when {suffix} is not null then {cut} when {prefix} is not null then {pre} else {column} end",
+        f"case when {suffix} is not null then 'suffix' when {prefix} is not null then 'prefix' end",
     )
 
 
