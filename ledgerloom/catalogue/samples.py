@@ -73,6 +73,12 @@ def pure_sql(column):
     return rf"trim(regexp_replace({kept}, '\s+', ' ', 'g'))"
 
 
+def diff_sql(*columns):
+    """DuckDB text of V2 over the given values."""
+    parts = [f"coalesce(length(({c})::varchar) || ':' || ({c})::varchar, '-')" for c in columns]
+    return f"md5(concat_ws(';', {', '.join(parts)}))"
+
+
 def stripped_sql(column):
     """DuckDB texts of B5, by looking the listed forms up: the stripped name, and what was cut.
 

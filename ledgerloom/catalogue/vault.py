@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalogue.registry import query, table
 from ledgerloom.catalogue.samples import (
-    COMPANY, HUB, LOAD_TS, SHIPMENT, VERSION, companies, hub, pure_sql, shipment_links,
+    COMPANY, HUB, LOAD_TS, SHIPMENT, VERSION, companies, diff_sql, hub, pure_sql, shipment_links,
 )
 from ledgerloom.contract import TableContract
 from ledgerloom.functions.keys import audit_columns, hash_key
@@ -101,7 +101,7 @@ def demographic_rows(spark, sf_dir):
     f"""with {COMPANY}, rows as (
         select distinct md5(concat_ws(';', jurisdiction, registration_number, {pure_sql('name')}))
                 as dv_hashkey_company,
-            md5(concat_ws(';', jurisdiction, name, segment, balance, balance < 0)) as dv_hashdiff,
+            {diff_sql('jurisdiction', 'name', 'segment', 'balance', 'balance < 0', 'null')} as dv_hashdiff,
             jurisdiction, name, segment, balance, balance < 0 as is_branch,
             cast(null as varchar) as lei_code
         from company)
@@ -147,12 +147,9 @@ def _latest_status(orders, condition):
 
 def history(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    first = _latest_status(orders, f"o_orderdate < timestamp_ntz '{FIRST_DAY} 00:00:00'")
-    second = _latest_status(
-        orders,
-        f"o_orderdate >= timestamp_ntz '{FIRST_DAY} 00:00:00'"
-        f" and o_orderdate < timestamp_ntz '{SECOND_DAY} 00:00:00'",
-    )
+    early = f"o_orderdate < timestamp_ntz '{FIRST_DAY} 00:00:00'"
+    first = _latest_status(orders, early)
+    second = _latest_status(orders, f"not ({early})")
     state = load_history(None, first, STATUS, FIRST_DAY)
     return load_history(state, second, STATUS, SECOND_DAY)
 
@@ -162,7 +159,7 @@ b1 as (select o_custkey, o_orderstatus, o_orderpriority from orders
     where o_orderdate < '{FIRST_DAY}' qualify row_number() over (partition by o_custkey
     order by o_orderdate desc, o_orderkey desc) = 1),
 b2 as (select o_custkey, o_orderstatus, o_orderpriority from orders
-    where o_orderdate >= '{FIRST_DAY}' and o_orderdate < '{SECOND_DAY}'
+    where o_orderdate >= '{FIRST_DAY}'
     qualify row_number() over (partition by o_custkey
     order by o_orderdate desc, o_orderkey desc) = 1),
 fresh as (select * from b2 where not exists (select 1 from b1 where b1.o_custkey = b2.o_custkey
@@ -178,7 +175,7 @@ history as (
 HISTORY_COLUMNS = (
     "o_custkey, o_orderstatus, o_orderpriority, dv_status, dv_valid_from, "
     "cast(dv_valid_to as date) as dv_valid_to, "
-    "md5(concat_ws(';', o_custkey, o_orderstatus, o_orderpriority)) as dv_hashdiff"
+    + diff_sql("o_custkey", "o_orderstatus", "o_orderpriority") + " as dv_hashdiff"
 )
 
 
@@ -201,11 +198,11 @@ def pit_lookup(spark, sf_dir):
 
 @query(
     "gold_upsert_hashdiff",
-    """select c_custkey as id, c_name as name,
+    f"""select c_custkey as id, c_name as name,
         case when c_mktsegment = 'BUILDING' then 'CONSTRUCTION' else c_mktsegment end as segment,
         case when c_acctbal < 0 then date '2024-02-01' else date '2024-01-01' end as created_at,
-        md5(concat_ws(';', c_custkey, c_name, case when c_mktsegment = 'BUILDING'
-            then 'CONSTRUCTION' else c_mktsegment end)) as dv_hashdiff,
+        {diff_sql('c_custkey', 'c_name', "case when c_mktsegment = 'BUILDING' then 'CONSTRUCTION' else c_mktsegment end")}
+            as dv_hashdiff,
         case when c_acctbal < 0 or c_mktsegment = 'BUILDING' then 'second' else 'first' end
             as dv_source_version
     from customer""",
@@ -256,10 +253,12 @@ feed as (
 
 @query(
     "change_feed",
-    f"with {FEED} select *, cast(7 as bigint) as _commit_version from feed",
+    f"""with {FEED} select *, cast(7 as bigint) as _commit_version,
+        '{LOAD_TS}' as _commit_timestamp from feed""",
 )
 def change_feed(spark, sf_dir):
-    return merge.change_feed(*_order_states(spark, sf_dir), ["o_orderkey"], 7)
+    feed = merge.change_feed(*_order_states(spark, sf_dir), ["o_orderkey"], 7, committed=LOAD_TS)
+    return feed.withColumn("_commit_timestamp", F.col("_commit_timestamp").cast("string"))
 
 
 @query(

@@ -38,13 +38,22 @@ def _as_text(field):
     return column if isinstance(field.dataType, StringType) else column.cast("string")
 
 
+def _written_out(text):
+    """A text with its length in front, a null as a mark no text is written as."""
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
 def hash_diff(schema, exclude=("created_at", "updated_at")):
-    """V2: md5 over the payload, which is every column that is not ``dv_``."""
+    """V2: md5 over the payload, which is every column that is not ``dv_``.
+
+    Each value is written with its length, a null as ``-``, so neither a value
+    that moves between null columns nor a separator inside a value goes unseen.
+    """
     return F.md5(
         F.concat_ws(
             ";",
             *[
-                _as_text(field)
+                _written_out(_as_text(field))
                 for field in schema.fields
                 if not field.name.startswith("dv_") and field.name not in exclude
             ],

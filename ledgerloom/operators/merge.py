@@ -48,29 +48,36 @@ def satellite(base, updates, schema, keys, parent=None):
 
 
 def upsert(base, updates, keys, order=(), keep=("created_at",), null_safe=True):
-    """M3: next state; changed rows replaced but for ``keep``, missing ones added."""
+    """M3: next state; changed rows replaced but for ``keep``, missing ones added.
+
+    A base row without hash counts as changed. Columns that only the updates
+    have come in, null where a base row stays as it is.
+    """
     incoming = with_hash_diff(first_per_key(updates, keys, order))
     if base is None:
         return incoming
     both = outer_compare(base, incoming, keys, null_safe)
     changed = F.col("l").isNull() | (
-        F.col("r").isNotNull()
-        & (F.col("l.dv_hashdiff") != F.col("r.dv_hashdiff"))
+        F.col("r").isNotNull() & ~F.col("l.dv_hashdiff").eqNullSafe(F.col("r.dv_hashdiff"))
     )
-    columns = [
-        F.when(changed & ~(F.col("l").isNotNull() & F.lit(name in keep)), F.col(f"r.{name}"))
-        .otherwise(F.col(f"l.{name}"))
-        .alias(name)
-        if name in incoming.columns
-        else F.col(f"l.{name}").alias(name)
-        for name in base.columns
-    ]
-    return both.select(*columns)
-
-
-def scd2(base, updates, schema, keys, as_of, reopen=True):
+
+    def next_value(name):
+        if name not in incoming.columns:
+            return F.col(f"l.{name}")
+        if name not in base.columns:
+            return F.when(changed, F.col(f"r.{name}"))
+        taken = changed & ~(F.col("l").isNotNull() & F.lit(name in keep))
+        return F.when(taken, F.col(f"r.{name}")).otherwise(F.col(f"l.{name}"))
+
+    names = [*base.columns, *[name for name in incoming.columns if name not in base.columns]]
+    return both.select(*[next_value(name).alias(name) for name in names])
+
+
+def scd2(base, updates, schema, keys, as_of, reopen=True, order=()):
     """M5: next state of a history-keeping satellite at the date ``as_of``.
 
+    Of several rows of a key in one batch the first by ``order`` counts, so a
+    key has one current version at most.
     A row whose payload equals the current version of its key changes nothing.
     Any other closes the current version on the day before and becomes current
     itself. With ``reopen=False`` a payload that was ever seen is never opened
@@ -80,7 +87,7 @@ def scd2(base, updates, schema, keys, as_of, reopen=True):
     hashed = with_hash_diff(
         enforce_schema(updates, schema), exclude=("created_at", "updated_at")
     )
-    incoming = first_per_key(hashed, [*keys, "dv_hashdiff"]).withColumns(
+    incoming = first_per_key(hashed, keys, order).withColumns(
         {
             "dv_status": F.lit(1),
             "dv_valid_from": F.coalesce(F.col("dv_valid_from"), day)
@@ -121,14 +128,14 @@ def valid_at(history, moment):
     )
 
 
-def conditional_merge(base, updates, keys, clauses, null_safe=False):
+def conditional_merge(base, updates, keys, clauses, null_safe=False, order=()):
     """M7: update-only merge; the first clause that holds sets its columns.
 
     ``clauses`` are (condition, {column: value}) over the aliases ``base`` and
-    ``updates``; updates hold at most one row per key.
+    ``updates``; of several updates of a key the first by ``order`` counts.
     """
     joined = base.alias("base").join(
-        updates.withColumn("__hit", F.lit(True)).alias("updates"),
+        first_per_key(updates, keys, order).withColumn("__hit", F.lit(True)).alias("updates"),
         keys_equal("base", "updates", keys, null_safe),
         "left",
     )
@@ -152,8 +159,12 @@ def conditional_merge(base, updates, keys, clauses, null_safe=False):
     )
 
 
-def change_feed(before, after, keys, version, exclude=("created_at", "updated_at")):
-    """M8: changes between two states of a table, with images before and after."""
+def change_feed(before, after, keys, version, exclude=("created_at", "updated_at"), committed=None):
+    """M8: changes between two states of a table, with images before and after.
+
+    ``committed`` is the time of the commit, now by default.
+    """
+    moment = F.current_timestamp() if committed is None else F.lit(committed).cast("timestamp")
     both = outer_compare(
         with_hash_diff(before, "__hash", exclude), with_hash_diff(after, "__hash", exclude), keys
     )
@@ -175,6 +186,7 @@ def change_feed(before, after, keys, version, exclude=("created_at", "updated_at
             "change.row.*",
             F.col("change.kind").alias("_change_type"),
             F.lit(version).cast("bigint").alias("_commit_version"),
+            moment.alias("_commit_timestamp"),
         )
         .drop("__hash")
     )
@@ -183,7 +195,7 @@ def change_feed(before, after, keys, version, exclude=("created_at", "updated_at
 def split_feed(feed, after_version=None):
     """M8: rows to upsert and rows to delete since a processed version."""
     seen = feed if after_version is None else feed.where(F.col("_commit_version") > after_version)
-    plain = lambda df: df.drop("_change_type", "_commit_version")
+    plain = lambda df: df.drop("_change_type", "_commit_version", "_commit_timestamp")
     return (
         plain(seen.where("_change_type in ('insert', 'update_postimage')")),
         plain(seen.where("_change_type = 'delete'")),

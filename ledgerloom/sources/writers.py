@@ -3,13 +3,23 @@
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from ledgerloom.operators import merge
+from ledgerloom.operators.dedupe import first_per_key
 from ledgerloom.operators.frames import enforce_schema
+from ledgerloom.sources.staging import staged
 
 
 def table_state(spark, contract):
-    """The table as it is, empty by its declared schema before the first load."""
+    """The table as it is, empty by its declared schema before the first load.
+
+    Files are read by the declared schema where there is one, so a column that
+    was declared later is there, null in older files.
+    """
+    reader = spark.read.format(contract.format)
+    if contract.struct_type is not None and contract.format in ("parquet", "orc", "json"):
+        reader = reader.schema(contract.struct_type)
     try:
-        return spark.read.format(contract.format).load(contract.location)
+        return reader.load(contract.location)
     except AnalysisException as problem:
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
@@ -30,7 +40,6 @@ def append(df, contract, schema=None):
         .write.format(contract.format)
         .mode("append")
         .partitionBy(*contract.partition_by)
-        .option("mergeSchema", "true")
         .options(**contract.options)
         .save(contract.location)
     )
@@ -52,6 +61,22 @@ def replace_partitions(df, contract):
     )
 
 
+def merge_write(spark, contract, updates, keys, step, version=None, committed=None):
+    """M3 / M5 / M8 in one call: merge the updates into a table and give the changes.
+
+    Only partitions that the updates reach are read, merged and replaced.
+    ``step(base, updates)`` is the next state of that part (``merge.upsert``,
+    ``merge.scd2``); it is staged before the table it came from is touched. A key
+    must not move between partitions. The change feed compares the part alone.
+    """
+    base = table_state(spark, contract)
+    reached = merge.touched(base, updates, contract.partition_by) if contract.partition_by else base
+    before = staged(reached, "before")
+    after = staged(enforce_schema(step(before, updates), contract.struct_type or before.schema), "after")
+    (replace_partitions if contract.partition_by else replace_all)(after, contract)
+    return merge.change_feed(before, after, keys, version, committed=committed)
+
+
 def replace_all(df, contract):
     """Truncate and insert."""
     (
@@ -79,12 +104,12 @@ def write_jdbc(df, url, table, mode="append", batch_size=10_000, connections=8,
 
 
 def search_documents(entities):
-    """Search documents of trade companies, one per id."""
-    return (
+    """Search documents of trade companies, one per id, the first by its columns."""
+    rows = (
         entities.where("is_trade and id is not null")
         .select("id", "name", "description", "jurisdiction", F.col("country_name").alias("country"))
-        .dropDuplicates(["id"])
     )
+    return first_per_key(rows, ["id"])
 
 
 def export_search_documents(entities, location, partition_by="country"):
