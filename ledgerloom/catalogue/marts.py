@@ -98,7 +98,7 @@ moves as (select from_key, min(to_key) as to_key from bridge where from_key <> t
         from (select distinct p.dv_hashkey_company, p.jurisdiction, p_type from lineitem
             join part on l_partkey = p_partkey join party p on p.source = 'supplier' and p.k = l_suppkey) p
         left join moves m on m.from_key = p.dv_hashkey_company) group by all)
-    select h.dv_hashkey_company as id, cast(0 as integer) as page, s.id is not null as is_sanctioned, h.name,
+    select h.dv_hashkey_company as id, cast(0 as integer) as part, s.id is not null as is_sanctioned, h.name,
         p.continent, h.registration_number, h.jurisdiction, g.legal_form, a.addresses,
         g.status as statuses, i.industries, g.is_branch
     from hub h
@@ -124,7 +124,7 @@ def entity_company_doc(spark, sf_dir):
         F.array_sort(F.transform(column, line(*fields))), ";"
     )
     return documents.select(
-        "id", "page", F.coalesce("is_sanctioned", F.lit(False)).alias("is_sanctioned"), "name",
+        "id", "part", F.coalesce("is_sanctioned", F.lit(False)).alias("is_sanctioned"), "name",
         "continent", "registration_number", "jurisdiction", "legal_form",
         shown("addresses", "type", "full_address", "city").alias("addresses"),
         F.array_join(F.transform("statuses", lambda x: x["status"]), ";").alias("statuses"),

@@ -254,7 +254,7 @@ def first_non_null(spark, sf_dir):
 
 @query(
     "nested_collection",
-    """select o_custkey, cast(0 as integer) as page, count(*) as n_orders,
+    """select o_custkey, cast(0 as integer) as part, count(*) as n_orders,
         array_to_string(list_sort(list(concat_ws('|', o_orderstatus, o_orderpriority))), ';') as orders
     from orders group by 1""",
 )
@@ -263,13 +263,39 @@ def nested_collection(spark, sf_dir):
         table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderstatus", "o_orderpriority"], "orders"
     )
     return nested.select(
-        "o_custkey", "page", F.size("orders").cast("bigint").alias("n_orders"),
+        "o_custkey", "part", F.size("orders").cast("bigint").alias("n_orders"),
         F.array_join(
             F.transform("orders", lambda x: F.concat_ws("|", x["o_orderstatus"], x["o_orderpriority"])), ";"
         ).alias("orders"),
     )
 
 
+@query(
+    "nested_parts",
+    """select o_custkey, cast(4 as bigint) as parts, count(*) as n_orders,
+        array_to_string(list_sort(list(concat_ws('|', o_orderstatus, o_orderpriority))), ';') as orders
+    from orders group by 1""",
+)
+def nested_parts(spark, sf_dir):
+    """Collections in four parts per key, put together again."""
+    orders = table(spark, sf_dir, "orders")
+    nested = nesting.nest(orders, ["o_custkey"], ["o_orderstatus", "o_orderpriority"], "orders", parts=4)
+    documents = nesting.attach_nested(orders.select("o_custkey").distinct(), ["o_custkey"], [nested], parts=4)
+    shown = F.transform(
+        F.coalesce("orders", F.array().cast("array<struct<o_orderstatus: string, o_orderpriority: string>>")),
+        lambda x: F.concat_ws("|", x["o_orderstatus"], x["o_orderpriority"]),
+    )
+    return (
+        documents.select("o_custkey", "part", shown.alias("own"))
+        .groupBy("o_custkey")
+        .agg(F.countDistinct("part").alias("parts"), F.flatten(F.collect_list("own")).alias("all"))
+        .select(
+            "o_custkey", "parts", F.size("all").cast("bigint").alias("n_orders"),
+            F.array_join(F.array_sort("all"), ";").alias("orders"),
+        )
+    )
+
+
 @query(
     "struct_of_firsts",
     """select l_suppkey, first(l_returnflag order by l_shipdate, l_orderkey, l_linenumber, l_partkey,

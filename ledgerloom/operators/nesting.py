@@ -1,44 +1,34 @@
-"""Collections nested per key (A3-A5), with pages for keys of any size."""
+"""Collections nested per key (A3-A5), in a declared number of parts per key."""
 
 from pyspark.sql import functions as F
 
-PAGE_ROWS = 100_000
+PARTS = 1
 
 
-def nest(df, keys, fields, alias, page_rows=PAGE_ROWS):
-    """A3: the rows of a key as a sorted array of structs.
+def child_rows(df, keys, fields):
+    """A3 as a table of its own: (keys, item, copies), one row per distinct item of a key."""
+    return df.groupBy(*keys, F.struct(*fields).alias("item")).agg(F.count("*").alias("copies"))
 
-    Equal rows are counted before the shuffle. A key with more than
-    ``page_rows`` rows is spread over pages by hash, each with a share of its
-    rows, so that no task and no row holds an unbounded group; all other keys
-    have the one page 0. Nothing is dropped.
+
+def nest(df, keys, fields, alias, parts=PARTS):
+    """A3: the rows of a key as sorted arrays of structs, one per ``part``.
+
+    Equal rows are counted before the shuffle. A row goes to a part by its hash,
+    equal rows to as many parts as there are, so each of the ``parts`` arrays of a
+    key has a like share. ``parts`` is chosen for the table, never from the data: the key of the
+    result is (keys, part) at every size. Parts without rows are left out here;
+    ``attach_nested`` gives every key all of them.
     """
-    counted = df.groupBy(*keys, F.struct(*fields).alias("item")).agg(F.count("*").alias("copies"))
-    large = (
-        counted.groupBy(*keys)
-        .agg(F.sum("copies").alias("n"))
-        .where(F.col("n") > page_rows)
-        .select(*[F.col(k).alias(f"__{k}") for k in keys], F.ceil(F.col("n") / page_rows).alias("pages"))
-    )
-    same_key = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    chunks = F.sequence(F.lit(0), F.ceil(F.col("copies") / page_rows).cast("int") - 1)
-    placed = (
-        counted.join(large, same_key, "left")
-        .withColumn("chunk", F.explode(chunks))
-        .select(
-            *keys,
-            "item",
-            F.least(F.lit(page_rows), F.col("copies") - F.col("chunk") * page_rows)
-            .cast("int")
-            .alias("copies"),
-            F.when(F.col("pages").isNull(), 0)
-            .otherwise(F.pmod(F.xxhash64("item", "chunk"), F.col("pages")))
-            .cast("int")
-            .alias("page"),
-        )
+    counted = child_rows(df, keys, fields)
+    spread = counted.withColumn("turn", F.explode(F.sequence(F.lit(0), F.least(F.col("copies"), F.lit(parts)).cast("int") - 1)))
+    placed = spread.select(
+        *keys,
+        "item",
+        F.pmod(F.xxhash64("item") + F.col("turn"), F.lit(parts)).cast("int").alias("part"),
+        F.floor((F.col("copies") - F.col("turn") + parts - 1) / parts).cast("int").alias("copies"),
     )
     repeated = F.struct("item", "copies")
-    return placed.groupBy(*keys, "page").agg(
+    return placed.groupBy(*keys, "part").agg(
         F.flatten(
             F.transform(
                 F.array_sort(F.collect_list(repeated)),
@@ -48,18 +38,16 @@ def nest(df, keys, fields, alias, page_rows=PAGE_ROWS):
     )
 
 
-def attach_nested(spine, keys, nested):
-    """Left-join nested collections to one row per key.
+def attach_nested(spine, keys, nested, parts=PARTS):
+    """Left-join nested collections: each key of the spine has ``parts`` rows, 0 to parts - 1.
 
-    A key with more pages gets one row per page: page 0 first, every page with
-    the attributes of the key and its own share of the arrays.
+    Every part has the attributes of the key and its own share of the arrays.
     """
     merged = nested[0]
     for other in nested[1:]:
-        merged = merged.join(other, [*keys, "page"], "full_outer")
-    return spine.join(merged, list(keys), "left").withColumn(
-        "page", F.coalesce(F.col("page"), F.lit(0))
-    )
+        merged = merged.join(other, [*keys, "part"], "full_outer")
+    numbered = spine.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return numbered.join(merged, [*keys, "part"], "left")
 
 
 def struct_of_firsts(df, keys, columns, order, alias):

@@ -10,8 +10,9 @@ from ledgerloom.operators.lookups import one_per_jurisdiction
 from ledgerloom.operators.nesting import attach_nested, nest, struct_of_firsts
 from ledgerloom.plans.golden import repoint
 
+# Fields of the nested structs and output columns.
 ADDRESS_FIELDS = [
-    "type", "full_address", "street", "city", "region", "state", "province",
+    "type", "start_date", "end_date", "full_address", "street", "city", "region", "state", "province",
     "country_code", "postal_code", "latitude", "longitude",
 ]
 INDUSTRY_FIELDS = ["type", "industry_code", "desc", "country_code", "standard_type"]
@@ -21,17 +22,23 @@ COMPANY_FIELDS = [
     "is_branch",
 ]
 PERSON_FIELDS = [
-    "first_name", "last_name", "middle_name", "name", "image_url", "dob", "birthplace",
+    "first_name", "last_name", "middle_name", "full_name", "image_url", "dob", "birthplace",
     "nationality", "country_of_residence", "accuracy_level", "gender", "skills", "job_summary",
     "salary", "yoe", "industry",
 ]
 PLACE = ["country_code", "country_name", "continent"]
+TYPES = {
+    "start_date": "timestamp", "end_date": "timestamp", "authorised_capital": "float", "paid_up_capital": "float",
+}
+DOCUMENT_KEY = ["id", "part"]
 
 
 def _with(df, names):
-    """The frame with typed nulls for columns that a source does not have."""
+    """The frame with typed nulls for columns that a source does not have, and the types of ``TYPES``."""
     absent = {n: F.lit(None).cast("string") for n in names if n not in df.columns}
-    return df.withColumns(absent) if absent else df
+    df = df.withColumns(absent) if absent else df
+    typed = {n: F.col(n).cast(TYPES[n]) for n in names if n in TYPES}
+    return df.withColumns(typed) if typed else df
 
 
 def _unique(df, keys):
@@ -39,13 +46,13 @@ def _unique(df, keys):
 
 
 def company_documents(
-    hub, bridge, demographic, address, sanctions, industries, industry_links, lookup, page_rows=100_000
+    hub, bridge, demographic, address, sanctions, industries, industry_links, lookup, parts=1
 ):
     """G1: one nested document per surviving company.
 
     Companies that were merged into another are left out and what refers to
-    them is re-pointed. ``demographic`` is the golden record. A company with
-    more than ``page_rows`` nested rows of a kind continues on further pages.
+    them is re-pointed. ``demographic`` is the golden record. Each company
+    has ``parts`` rows, which share its nested rows; the key is ``DOCUMENT_KEY``.
     """
     keys = ["dv_hashkey_company", "jurisdiction"]
     merged = bridge.where("from_key is not null and from_key <> to_key").select(
@@ -64,9 +71,9 @@ def company_documents(
         industries, "dv_hashkey_industry"
     )
     nested = [
-        nest(addresses, keys, ADDRESS_FIELDS, "addresses", page_rows),
-        nest(_with(demographic, STATUS_FIELDS), keys, STATUS_FIELDS, "statuses", page_rows),
-        nest(_with(linked, INDUSTRY_FIELDS), keys, INDUSTRY_FIELDS, "industries", page_rows),
+        nest(addresses, keys, ADDRESS_FIELDS, "addresses", parts),
+        nest(_with(demographic, STATUS_FIELDS), keys, STATUS_FIELDS, "statuses", parts),
+        nest(_with(linked, INDUSTRY_FIELDS), keys, INDUSTRY_FIELDS, "industries", parts),
     ]
     details = struct_of_firsts(
         _with(demographic, COMPANY_FIELDS), keys, COMPANY_FIELDS,
@@ -80,9 +87,9 @@ def company_documents(
         .join(sanctioned, "dv_hashkey_company", "left")
         .join(small_side(one_per_jurisdiction(lookup, PLACE)), "jurisdiction", "left")
     )
-    return attach_nested(spine, keys, nested).select(
+    return attach_nested(spine, keys, nested, parts).select(
         F.col("dv_hashkey_company").alias("id"),
-        "page",
+        "part",
         *[c for c in companies.columns if c.startswith("dv_") and c not in keys],
         F.lit(False).alias("is_person"),
         "is_sanctioned",
@@ -98,10 +105,13 @@ def company_documents(
     )
 
 
-def person_documents(hub, demographic, address, sanctions, lookup, page_rows=100_000):
-    """One nested document per person."""
+def person_documents(hub, demographic, address, sanctions, lookup, parts=1):
+    """One nested document per person, in ``parts`` rows; the key is ``DOCUMENT_KEY``."""
     keys = ["dv_hashkey_person", "jurisdiction"]
-    facts = _with(_unique(demographic, keys), PERSON_FIELDS)
+    facts = _unique(demographic, keys)
+    if "name" in facts.columns and "full_name" not in facts.columns:
+        facts = facts.withColumnRenamed("name", "full_name")
+    facts = _with(facts, PERSON_FIELDS)
     details = struct_of_firsts(facts, keys, PERSON_FIELDS, [F.col(k) for k in keys], "person")
     sanctioned = (
         sanctions.select("dv_hashkey_person").distinct().withColumn("is_sanctioned", F.lit(True))
@@ -115,10 +125,10 @@ def person_documents(hub, demographic, address, sanctions, lookup, page_rows=100
         .join(sanctioned, "dv_hashkey_person", "left")
         .join(small_side(one_per_jurisdiction(lookup, PLACE)), "jurisdiction", "left")
     )
-    nested = [nest(_with(address, ADDRESS_FIELDS), keys, ADDRESS_FIELDS, "addresses", page_rows)]
-    return attach_nested(spine, keys, nested).select(
+    nested = [nest(_with(address, ADDRESS_FIELDS), keys, ADDRESS_FIELDS, "addresses", parts)]
+    return attach_nested(spine, keys, nested, parts).select(
         F.col("dv_hashkey_person").alias("id"),
-        "page",
+        "part",
         *[c for c in hub.columns if c.startswith("dv_") and c not in keys],
         F.lit(True).alias("is_person"),
         "is_sanctioned",
@@ -132,12 +142,14 @@ def person_documents(hub, demographic, address, sanctions, lookup, page_rows=100
 
 
 def entity_edges(links, from_entities, to_entities):
-    """Links with both endpoints as structs.
+    """Links with both endpoints as structs; of documents in parts the first.
 
     The continent of an edge is that of its ends when they share one, else
     ``diff_jurisdiction``. An edge whose end is unknown or nameless is dropped.
     """
     def end(entities, side):
+        if "part" in entities.columns:
+            entities = entities.where("part = 0")
         payload = [c for c in entities.columns if c != "continent"]
         return entities.where("name is not null").select(
             F.col("id").alias(f"__{side}_id"),
