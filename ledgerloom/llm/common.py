@@ -19,7 +19,9 @@ from ledgerloom.sources.staging import staged
 __all__ = ["documents", "hash_words", "keyed", "mix", "ship", "slices", "span_hashes", "split_words", "staged", "table"]
 
 #: Bytes of text handled at a time inside a task, which bounds the memory of a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Values up to which tables of powers are kept.
+USUAL = 5 << 18
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -98,21 +100,26 @@ def mix(x):
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=8)
-def _powers(base, size):
-    """Powers of an odd base and of its inverse modulo 2**64."""
+def _make_powers(base, size):
     out = []
     for b in (base, pow(base, -1, 1 << 64)):
         p = np.full(size, b, np.uint64)
         p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
+        out.append(np.cumprod(p, dtype=np.uint64, out=p))
     return out
 
 
+_kept_powers = functools.lru_cache(maxsize=4)(_make_powers)
+
+
+def _powers(base, size):
+    """Powers of an odd base and of its inverse modulo 2**64; one table per base is kept for the usual size."""
+    return _kept_powers(base, USUAL) if size <= USUAL else _make_powers(base, size)
+
+
 def span_hashes(values, starts, ends, base):
     """A 64-bit hash of each run ``values[start:end]``, equal for equal runs at any place."""
-    size = 1 << max(16, int(len(values)).bit_length())
-    power, inverse = _powers(base, size)
+    power, inverse = _powers(base, len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * power[: len(values)], out=total[1:])
     spans = (total[ends] - total[starts]) * inverse[starts]

@@ -103,19 +103,19 @@ def take_words(rows, size):
     def take(batches):
         for batch in common.slices(batches):
             out = []
-            for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist()):
-                raw = np.frombuffer(text.encode(), np.uint8)
-                starts, ends, _ = common.split_words(raw, np.array([0, len(raw)]))
-                raw = raw.tobytes()
-                words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-                for r in runs:
-                    if r["hot"]:
-                        for sub in range(r["n"]):
-                            lo = r["start"] + sub
-                            out.append((r["anchor"], r["run"], sub, r["copies"], 1, 0, b" ".join(words[lo : lo + size])))
+            runs = batch.column("runs")
+            cuts = runs.offsets.to_numpy().tolist()
+            flat = runs.values
+            fields = [flat.field(c).to_pylist() for c in ("anchor", "run", "copies", "start", "n", "at", "hot")]
+            for text, lo, hi in zip(batch.column("text").to_pylist(), cuts, cuts[1:]):
+                words = text.encode().split()
+                for anchor, run, copies, start, n, at, hot in zip(*(f[lo:hi] for f in fields)):
+                    if hot:
+                        for sub in range(n):
+                            window = b" ".join(words[start + sub : start + sub + size])
+                            out.append((anchor, run, sub, copies, 1, 0, window))
                     else:
-                        lo, hi = r["start"], r["start"] + r["n"] + size - 1
-                        out.append((r["anchor"], r["run"], -1, r["copies"], r["n"], r["at"], b" ".join(words[lo:hi])))
+                        out.append((anchor, run, -1, copies, n, at, b" ".join(words[start : start + n + size - 1])))
             cols = list(zip(*out)) or [()] * 7
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
             arrays = [pa.array(c, t) for c, t in zip(cols, types)] + [pa.array(cols[6], pa.binary()).cast(pa.string())]
@@ -182,7 +182,10 @@ def repeated_windows(docs, size, gram, engine, hot_runs=HOT_RUNS):
     if not size - 63 < gram < size:
         raise ValueError("a run must have fewer than 64 windows")
     runs = cut_runs(docs, size, gram)
-    twice = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("anchor")
+    # a table of its own: where a join reads an aggregate of its key directly, Spark can't split a hot anchor
+    twice = staged(
+        runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("anchor"), "twice"
+    )
     places = staged(runs.join(twice, "anchor"), "places")
     distinct = staged(
         places.groupBy("anchor", "run").agg(
@@ -190,9 +193,10 @@ def repeated_windows(docs, size, gram, engine, hot_runs=HOT_RUNS):
         ),
         "runs",
     )
-    hot = (
+    hot = staged(
         distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("runs"))
-        .where(F.col("runs") > hot_runs).select("anchor", F.lit(True).alias("hot"))
+        .where(F.col("runs") > hot_runs).select("anchor", F.lit(True).alias("hot")),
+        "hot",
     )
     chosen = (
         distinct.join(hot, "anchor", "left")
@@ -244,19 +248,22 @@ def repeated_windows(docs, size, gram, engine, hot_runs=HOT_RUNS):
     )
 
 
-def covered(n_words, found, size):
-    """Which of a document's words lie in a repeated window."""
-    edge = np.zeros(n_words + 1, np.int64)
-    for start, mask in found:
-        begin = start + np.flatnonzero([(mask >> i) & 1 for i in range(63)])
-        np.add.at(edge, begin, 1)
-        np.add.at(edge, begin + size, -1)
-    return np.cumsum(edge[:n_words]) > 0
+def covered(first, found, size):
+    """Which words of a batch lie in a repeated window; ``first`` has each document's first word."""
+    edge = np.zeros(first[-1] + size + 1, np.int64)
+    counts = np.diff(found.offsets.to_numpy())
+    lists = found.values.slice(found.offsets[0].as_py(), int(counts.sum()))
+    start, mask = (lists.field(c).to_numpy() for c in ("start", "mask"))
+    start = start + np.repeat(first[:-1], counts)
+    for bit in range(int(mask.max(initial=0)).bit_length()):
+        begin = start[(mask >> bit) & 1 == 1] + bit
+        edge += np.bincount(begin, minlength=len(edge)) - np.bincount(begin + size, minlength=len(edge))
+    return np.cumsum(edge[: first[-1]]) > 0
 
 
 def with_found(docs, found):
-    """Documents with what was found in them (null where nothing was)."""
+    """Documents with what was found in them."""
     f = found.select(F.col("doc_id").alias("key"), F.col("dig").alias("key_dig"), "found")
     return docs.join(f, docs["doc_id"].eqNullSafe(f["key"]) & (docs["dig"] == f["key_dig"]), "left").select(
-        *docs.columns, "found"
+        *docs.columns, F.coalesce("found", F.expr("cast(array() as array<struct<start: int, mask: bigint>>)")).alias("found")
     )

@@ -4,11 +4,12 @@
 those that are by backward search over a wavelet matrix of the words themselves.
 """
 
-import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm import common, fm_index, repeats
 
@@ -16,49 +17,55 @@ WINDOW = 35
 GRAM = 14
 
 
-def kept_words(text, found, size):
-    """Number of words, the words outside repeated windows, and how many are inside."""
-    raw = np.frombuffer(text.encode(), np.uint8)
-    starts, ends, _ = common.split_words(raw, np.array([0, len(raw)]))
-    out = repeats.covered(len(starts), found or (), size)
-    raw = raw.tobytes()
-    kept = b" ".join(raw[a:b] for a, b in zip(starts[~out].tolist(), ends[~out].tolist()))
-    return len(starts), kept, int(out.sum())
-
-
-def _pairs(found):
-    return [(f["start"], f["mask"]) for f in found] if found else ()
-
-
-def remove_repeats(df, text="text", key="doc_id", size=WINDOW, gram=GRAM, engine=fm_index.repeated_in_shard):
+def remove_repeats(df, text="text", key="doc_id", size=WINDOW, gram=GRAM, engine=fm_index.repeated_in_shard, keep=None):
     """Each row of ``df`` with its words outside repeated windows of ``size`` words.
 
-    Adds n_words, n_removed and ``kept`` (text; words joined by a blank) to doc_id;
-    windows are judged on the input. Null text counts as empty and has no words; a
+    doc_id, n_words, n_removed, ``kept`` (the words left, joined by a blank) and
+    ``row``, a struct of the columns named in ``keep``; windows are judged on the input. Null text counts as empty and has no words; a
     null key is an ordinary key; repeated rows repeat each other and so lose their
     windows; other columns do not matter. Texts of any length are handled whole.
     """
-    docs = common.keyed(common.documents(df, text, key))
-    found = repeats.repeated_windows(docs, size, gram, engine)
+    common.ship(df.sparkSession)
+    docs = df.select(
+        F.col(key).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.struct(*[F.col(f"`{c}`") for c in (keep or ())], F.lit(0).alias("_")).alias("row"),
+    ).withColumn("dig", F.xxhash64("text"))
+    found = repeats.repeated_windows(docs.select("doc_id", "text", "dig"), size, gram, engine)
+    with_row = T.StructType(
+        [T.StructField(c, T.LongType()) for c in ("doc_id", "n_words", "n_removed")]
+        + [T.StructField("kept", T.StringType()), docs.schema["row"]]
+    )
 
     def cut(batches):
         for batch in common.slices(batches):
-            rows = [
-                kept_words(t, _pairs(f), size)
-                for t, f in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist())
-            ]
+            _, _, first = common.split_words(*common.text_buffers(batch.column("text")))
+            keep = ~repeats.covered(first, batch.column("found"), size)
+            kept = []
+            for text, lo, hi in zip(batch.column("text").to_pylist(), first.tolist(), first[1:].tolist()):
+                kept.append(b" ".join(compress(text.encode().split(), keep[lo:hi].tolist())))
+            n = np.diff(first)
+            staying = np.append(0, np.cumsum(keep))[first]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("dig"), pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([r[2] for r in rows], pa.int64()),
-                    pa.array([r[1] for r in rows], pa.binary()).cast(pa.string()),
+                    batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(n - np.diff(staying), pa.int64()),
+                    pa.array(kept, pa.binary()).cast(pa.string()), batch.column("row"),
                 ],
-                names=["doc_id", "dig", "n_words", "n_removed", "kept"],
+                names=["doc_id", "n_words", "n_removed", "kept", "row"],
             )
 
-    return repeats.with_found(docs, found).mapInArrow(
-        cut, "doc_id long, dig long, n_words long, n_removed long, kept string"
-    )
+    return repeats.with_found(docs, found).mapInArrow(cut, with_row)
+
+
+def shortened_rows(df, text="text", key="doc_id", **options):
+    """The rows of ``df`` with repeated words taken out of their texts; texts without any are as they were.
+
+    Rows of which no word is left go, as do rows that had none.
+    """
+    out = remove_repeats(df, text, key, keep=df.columns, **options).where("n_words > n_removed")
+    own = {c: F.col("row").getField(c) for c in df.columns}
+    own[text] = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(own[text])
+    return out.select(*[column.alias(c) for c, column in own.items()])
 
 
 def digests(removed):

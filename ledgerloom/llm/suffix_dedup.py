@@ -22,20 +22,17 @@ def repeated_passages(df, text="text", key="doc_id", size=WINDOW, gram=GRAM):
 
     def spans(batches):
         for batch in common.slices(batches):
-            out = []
-            for doc, t, f in zip(
-                batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("found").to_pylist()
+            data, offsets = common.text_buffers(batch.column("text"))
+            starts, ends, first = common.split_words(data, offsets)
+            hit = repeats.covered(first, batch.column("found"), size)
+            out, raw = [], data.tobytes()
+            for doc, byte, lo, hi in zip(
+                batch.column("doc_id").to_pylist(), offsets.tolist(), first.tolist(), first[1:].tolist()
             ):
-                if not f:
-                    continue
-                raw = np.frombuffer(t.encode(), np.uint8)
-                starts, ends, _ = common.split_words(raw, np.array([0, len(raw)]))
-                hit = repeats.covered(len(starts), [(x["start"], x["mask"]) for x in f], size)
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-                raw = raw.tobytes()
-                for lo, hi in edge.reshape(-1, 2).tolist():
-                    a, b = int(starts[lo]), int(ends[hi - 1])
-                    out.append((doc, lo, hi, hi - lo, a, b, raw[a:b]))
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit[lo:hi].astype(np.int8), [0]])))
+                for x, y in edge.reshape(-1, 2).tolist():
+                    a, b = int(starts[lo + x]), int(ends[lo + y - 1])
+                    out.append((doc, x, y, y - x, a - byte, b - byte, raw[a:b]))
             cols = list(zip(*out)) or [()] * 7
             arrays = [pa.array(c, pa.int64()) for c in cols[:6]] + [pa.array(cols[6], pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(

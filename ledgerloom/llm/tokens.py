@@ -20,6 +20,8 @@ from ledgerloom.llm import common
 LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words that a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
+#: Bytes of text at a time; the more, the fewer words are looked up again.
+SLICE = 4 << 20
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 WORD_END = "</w>"
 
@@ -124,7 +126,7 @@ def encoded(batches, path, end=None):
     ``end`` is an id put after each text.
     """
     code = encoder(path)
-    for batch in common.slices(batches):
+    for batch in common.slices(batches, limit=SLICE):
         column = batch.column("text")
         ids, counts = code.encode(column.cast(pa.string()))
         offsets = np.append(0, np.cumsum(counts))
