@@ -114,7 +114,7 @@ def _signatures(df, threshold, length_diff, stripped, indexed):
 
 def _distinct_names(df, base, first_chars, case_folded):
     """Distinct (jurisdiction, name) with the features the join needs."""
-    rest = F.substring(F.col("name_text"), first_chars + 1, 1 << 30) if case_folded else F.col("name_text")
+    rest = F.expr(f"substring(name_text, {int(first_chars) + 1})") if case_folded else F.col("name_text")
     return (
         df.where(F.col(base).isNotNull() & F.col("jurisdiction").isNotNull())
         .select("jurisdiction", F.col(base).alias("name_text"))

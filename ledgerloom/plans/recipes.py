@@ -88,6 +88,12 @@ def rows_of(recipe, source, record_source="", version=None, load_ts=None):
         F.expr(recipe.record_source) if recipe.record_source else record_source, load_ts, version
     )
     stamped = {"dv_recsrc": origin, "dv_loaddts": loaded, "dv_source_version": edition}
+    if "dv_valid_from" in schema_of(recipe.table).names:  # in force since the day before the load
+        stamped |= {
+            "dv_status": F.lit(1),
+            "dv_valid_from": F.date_sub(loaded.cast("date"), 1),
+            "dv_valid_to": F.lit(None).cast("date"),
+        }
     if recipe.version:
         stamped["dv_source_version"] = F.expr(recipe.version)
     return enforce_schema(df.withColumns(stamped), schema_of(recipe.table))
@@ -330,7 +336,7 @@ DEMOGRAPHICS = {
     ),
     "s_company_demographic/turkey": Recipe(
         "s_company_demographic", where="registration_number is not null and name is not null",
-        derive={"jurisdiction": "'Turkey'", "is_branch": "false", "currency_code": "'MXN'"},
+        derive={"jurisdiction": "'Turkey'", "is_branch": "false", "currency_code": "'TRY'"},
         pure=PURE, hashes=COMPANY, distinct=("registration_number", "name"),
     ),
     "s_person_demographic/register": Recipe(
@@ -493,7 +499,7 @@ LINKS = {
         where="full_name_from is not null and full_name_to is not null",
     ),
     "l_company_industry/register": Recipe(
-        "l_company_industry", keep="industry_code is not null",
+        "l_company_industry", keep="industry_code is not null and country_code is not null",
         hashes={"dv_hashkey_industry": "industry",
                 "dv_hashkey_l_c_i": (("dv_hashkey_company", "dv_hashkey_industry"), {})},
     ),
@@ -515,8 +521,10 @@ LINKS = {
 }
 
 REFERENCES = {
-    "hs_code_ref/Bangladesh": "case when length(hs_code) >= 8 then md5(concat(hs_code, 'Bangladesh')) end",
-    "hs_code_ref/United States": "case when length(hs_code) >= 8 then md5(concat(hs_code, 'United States')) end",
+    "hs_code_ref/Bangladesh":
+        "md5(case when length(hs_code) >= 8 then concat(hs_code, 'Bangladesh') else hs_code end)",
+    "hs_code_ref/United States":
+        "md5(case when length(hs_code) >= 8 then concat(hs_code, 'United States') else hs_code end)",
 }
 BOL = {"dv_hashkey_bol": "bol"}
 PURE_PARTIES = {"pure_seller": "seller", "pure_buyer": "buyer"}
@@ -690,20 +698,104 @@ def _hashed_links(df):
     )
 
 
+def _after_first(column):
+    """The parts of a printed place behind its first one."""
+    parts = F.split(column, ", ")
+    return F.concat_ws(", ", F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))))
+
+
 def us_import_ports(df):
     """Port codes and names out of the printed ports of the US imports.
 
-    A printed port is its code and the parts of its name; a loading port
-    without name parts takes them from the country.
+    A printed port is its code and the parts of its name, ``Unknown`` where it
+    has none; the name of a loading port goes on with the parts of the country.
     """
-    parts = F.split("loading_port", ", ")
-    tail = lambda column: F.concat_ws(", ", F.slice(F.split(column, ", "), 2, 1 << 20))
+    named = F.size(F.split("loading_port", ", ")) > 1
     return df.withColumns(
         {
             "unloading_port_code": F.get(F.split("unloading_port", ", "), 0),
-            "loading_port_code": F.get(parts, 0),
+            "loading_port_code": F.get(F.split("loading_port", ", "), 0),
             "loading_port_name": F.concat_ws(
-                ", ", F.when(F.size(parts) > 1, tail("loading_port")), tail("country")
+                ", ", F.when(named, _after_first("loading_port")).otherwise("Unknown"), _after_first("country")
             ),
         }
     )
+
+
+def _known_ports(ports, columns):
+    named = ports.where("port_code is not null and port_name is not null")
+    return small_side(first_per_key(named.select("port_code", *columns), ["port_code"]))
+
+
+def us_shipments(df, ports):
+    """US imports with known unloading port, for the satellite and the link.
+
+    The supplier's place is the country behind its code, the buyer's the state;
+    weights are in KG.
+    """
+    known = _known_ports(ports, ["port_name"]).select(
+        F.col("port_code").alias("__code"), F.col("port_name").alias("unloading_port_name")
+    )
+    found = us_import_ports(df).join(known, F.col("unloading_port_code") == F.col("__code")).drop("__code")
+    return found.withColumns(
+        {
+            "jurisdiction_supplier": F.when(
+                F.size(F.split("country", ", ")) > 2, _after_first("country")
+            ).otherwise("Unknown"),
+            "jurisdiction_buyer": F.col("state"),
+            "weight_unit": F.lit("KG"),
+        }
+    )
+
+
+def us_shipment_links(df, ports):
+    """The link rows of US imports: hashes of shipment, supplier, buyer and both ports."""
+    rows = us_shipments(df, ports).drop("weight").withColumnsRenamed(
+        {"bill_of_lading": "bol", "teu": "teu_number", "weight_in_kg": "weight", "product_desc": "description"}
+    )
+    no_number = F.lit(None).cast("string")
+    rows = rows.withColumns(
+        {
+            "supplier_dv_hashkey_company": hash_of("jurisdiction_supplier", no_number, pure_name("raw_shipper_name")),
+            "buyer_dv_hashkey_company": hash_of("jurisdiction_buyer", no_number, pure_name("raw_consignee_name")),
+            "export_port": hash_of("loading_port_code", "loading_port_name"),
+            "import_port": hash_of("unloading_port_code", "unloading_port_name"),
+        }
+    )
+    return _hashed_links(rows)
+
+
+PORT_FIELDS = [
+    "port_name", "emails", "address", "longitude", "latitude", "status", "locode", "state", "terminal",
+    "website", "port_size", "port_type", "fax", "phone",
+]
+
+
+def us_ports(df, ports):
+    """Unloading ports as registered and loading ports as printed, each once, for ``s_port/us_import``."""
+    place = F.split("decimal", ",")
+    located = ports.withColumns({"latitude": F.trim(F.get(place, 0)), "longitude": F.trim(F.get(place, 1))})
+    printed = us_import_ports(df)
+    unloading = printed.select(F.col("unloading_port_code").alias("port_code")).distinct().join(
+        _known_ports(_complete(located, PORT_FIELDS), PORT_FIELDS), "port_code"
+    )
+    loading = printed.select(
+        F.col("loading_port_code").alias("port_code"), F.col("loading_port_name").alias("port_name"),
+        F.lit("Unknown").alias("state"),
+    ).distinct()
+    columns = ["port_code", *PORT_FIELDS]
+    both = unloading.select(*columns).unionByName(_complete(loading, PORT_FIELDS).select(*columns))
+    return both.distinct().withColumnsRenamed({"fax": "fax_number", "phone": "phone_number"})
+
+
+def export_shipments(df, ports):
+    """Shipments with the code and name of the seller's port, by port name and country; all rows stay."""
+    known = small_side(
+        first_per_key(ports.select("port_name", "country_name", "port_code"), ["port_name", "country_name"])
+    ).select(
+        F.col("port_name").alias("__name"), F.col("country_name").alias("__country"),
+        F.col("port_code").alias("seller_port_code"),
+    )
+    return df.join(
+        known, (F.col("seller_port") == F.col("__name")) & (F.col("seller_country") == F.col("__country")), "left"
+    ).drop("__name", "__country")

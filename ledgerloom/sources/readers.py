@@ -24,10 +24,12 @@ def read_sources(spark, specs, only=None):
 
 
 def read_csv(spark, path, schema=None, **options):
-    """S3: csv with header; quoted fields may span lines when asked for."""
+    """S3: csv with header; quoted fields may span lines when asked for.
+
+    Without a schema all columns are text, to be cast by contract; guessing
+    types would read the source once more.
+    """
     settings = {"header": True, "quote": '"', "escape": '"', **options}
-    if schema is None:
-        settings.setdefault("inferSchema", True)
     return spark.read.csv(path, schema=schema, **settings)
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import re
 
 import pytest
@@ -105,7 +106,7 @@ def test_us_ports_out_of_text(spark):
     )
     got = recipes.us_import_ports(df)
     assert rows(got, "loading_port_code", "loading_port_name", "unloading_port_code") == [
-        ("57035", "China, Asia", "2704"), ("57035", "Shanghai, China, ", "2704"),
+        ("57035", "Shanghai, China, ", "2704"), ("57035", "Unknown, China, Asia", "2704"),
     ]
 
 
@@ -349,3 +350,71 @@ def test_register_rows_get_their_place(spark):
     second = spark.createDataFrame([("zz", "Zed")], "jurisdiction string, country string")
     got = bronze.register_person(df, lookup, second, "2024")
     assert rows(got, "name", "jurisdiction") == [("Ann B. Lee", "US.Texas"), ("Bo", "Unknown")]
+
+
+US_IMPORT = (
+    "bill_of_lading string, loading_port string, unloading_port string, country string, state string, "
+    "raw_shipper_name string, raw_consignee_name string, hs_code string, weight_in_kg string"
+)
+PORTS = "port_code string, port_name string, decimal string, state string, terminal string"
+
+
+def us_rows(spark):
+    df = spark.createDataFrame(
+        [
+            ("b1", "57035, Shanghai, China", "2704, Los Angeles", "CN, China, Asia", "CA", "Sea-Co", "Buy Inc", "1234", "5"),
+            ("b2", "57035", "2704", "CN", "NY", "Sea Co", None, "12345678", None),
+            ("b3", "1, A", "9999, Nowhere", "CN", "NY", "x", "y", None, None),
+        ],
+        US_IMPORT,
+    )
+    ports = spark.createDataFrame(
+        [("2704", "Los Angeles", "33.7 , -118.2", "CA", "true"), ("2704", "LA again", None, None, None), ("1", None, None, None, None)],
+        PORTS,
+    )
+    return df.selectExpr("*", "'1' as teu", "'things' as product_desc"), ports
+
+
+def test_us_shipments_keep_known_ports_only(spark):
+    got = {r["bill_of_lading"]: r for r in recipes.us_shipments(*us_rows(spark)).collect()}
+    assert set(got) == {"b1", "b2"}
+    assert got["b1"]["jurisdiction_supplier"] == "China, Asia" and got["b2"]["jurisdiction_supplier"] == "Unknown"
+    assert [got[b]["jurisdiction_buyer"] for b in ("b1", "b2")] == ["CA", "NY"]
+    assert {r["weight_unit"] for r in got.values()} == {"KG"}
+    satellite = recipes.rows_of(recipes.RECIPES["s_bol/us_import"], recipes.us_shipments(*us_rows(spark)))
+    refs = {r["bol"]: r["hs_code_ref"] for r in satellite.collect()}
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    assert refs == {"b1": md5("1234"), "b2": md5("12345678United States")}
+
+
+def test_us_links_hash_parties_and_ports(spark):
+    md5 = lambda *parts: hashlib.md5(";".join(parts).encode()).hexdigest()
+    got = {r["bol"]: r for r in recipes.us_shipment_links(*us_rows(spark)).collect()}
+    assert got["b1"]["supplier_dv_hashkey_company"] == md5("China, Asia", "seaco")
+    assert got["b1"]["buyer_dv_hashkey_company"] == md5("CA", "buy inc")
+    assert got["b1"]["export_port"] == md5("57035", "Shanghai, China, China, Asia")
+    assert got["b1"]["import_port"] == got["b2"]["import_port"]
+    assert got["b2"]["buyer_dv_hashkey_company"] == md5("NY")
+
+
+def test_loaded_ports_are_in_force(spark):
+    from ledgerloom.operators import merge
+
+    rows = recipes.rows_of(
+        recipes.RECIPES["s_port/us_import"], recipes.us_ports(*us_rows(spark)), "us", load_ts="2024-05-02 00:00:00"
+    )
+    assert merge.valid_at(rows, "2024-04-30").count() == 0
+    now = {(r["port_code"], r["port_name"]): r for r in merge.valid_at(rows, "2024-05-01").collect()}
+    assert ("2704", "LA again") in now or ("2704", "Los Angeles") in now
+    assert ("57035", "Unknown, ") in now and ("57035", "Shanghai, China, China, Asia") in now
+    assert all(r["dv_status"] == 1 and r["dv_valid_to"] is None for r in now.values())
+
+
+def test_export_shipments_take_the_ports_code(spark):
+    df = spark.createDataFrame([("Chittagong", "Bangladesh"), ("Dhaka", "Bangladesh")], "seller_port string, seller_country string")
+    ports = spark.createDataFrame(
+        [("Chittagong", "Bangladesh", "10"), ("Chittagong", "India", "11")], "port_name string, country_name string, port_code string"
+    )
+    assert rows(recipes.export_shipments(df, ports), "seller_port", "seller_port_code") == [
+        ("Chittagong", "10"), ("Dhaka", None),
+    ]
