@@ -12,7 +12,6 @@ from ledgerloom.catalogue.samples import (
 )
 from ledgerloom.functions.keys import hash_key, hash_of
 from ledgerloom.plans import marts
-from ledgerloom.sources.staging import staged
 
 
 def _lookup(spark, sf_dir):
@@ -111,11 +110,11 @@ moves as (select from_key, min(to_key) as to_key from bridge where from_key <> t
 )
 def entity_company_doc(spark, sf_dir):
     keys = bridge(spark, sf_dir)
-    everyone = staged(parties(spark, sf_dir), "parties")
+    everyone = parties(spark, sf_dir)
     industry, links = _industries(spark, sf_dir, everyone)
     documents = marts.company_documents(
         resolved_hub(spark, sf_dir), keys,
-        golden_records(spark, sf_dir, keys).drop("category"),
+        golden_records(spark, sf_dir).drop("category"),
         _addresses(spark, sf_dir, everyone), _sanctions(spark, sf_dir, everyone), industry, links,
         _lookup(spark, sf_dir),
     )
@@ -402,7 +401,7 @@ def company_industry_mart(spark, sf_dir):
         '{LOAD_TS}' as created_at, '{LOAD_TS}' as updated_at from golden""",
 )
 def company_detail_mart(spark, sf_dir):
-    records = golden_records(spark, sf_dir, bridge(spark, sf_dir))
+    records = golden_records(spark, sf_dir)
     mart = marts.company_detail_mart(records, LOAD_TS)
     return mart.select(
         "id", "jurisdiction", "name", "balance", F.col("created_at").cast("string").alias("created_at"),
@@ -508,7 +507,7 @@ def trade_flags(spark, sf_dir):
 def trade_entity(spark, sf_dir):
     keys = bridge(spark, sf_dir)
     entities = marts.trade_entities(
-        golden_records(spark, sf_dir, keys), _flags(spark, sf_dir, keys), _lookup(spark, sf_dir), LOAD_TS
+        golden_records(spark, sf_dir), _flags(spark, sf_dir, keys), _lookup(spark, sf_dir), LOAD_TS
     )
     return entities.select(
         "id", "name", "jurisdiction", "country_name", "country_code", "is_person", "is_trade", "is_sanction"

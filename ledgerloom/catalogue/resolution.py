@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerloom.catalogue.registry import query
+from ledgerloom.catalogue.registry import built_once, query
 from ledgerloom.catalogue.samples import (
     COMPANY, LOAD_TS, RESOLVED, VERSION, companies, pure_sql, resolved_hub,
 )
@@ -85,15 +85,15 @@ def regex_match_cross(spark, sf_dir):
     )
 
 
+@built_once
 def name_matches(spark, sf_dir):
-    """The name match table, written out as the flow writes its own steps."""
-    hub = staged(resolved_hub(spark, sf_dir), "regex_names")
-    return staged(resolve.match_by_name(hub), "name_matches")
+    """The name match table."""
+    return resolve.match_by_name(resolved_hub(spark, sf_dir))
 
 
 @query("regex_match_flow", f"with {MATCHES} select * from flow")
 def regex_match_flow(spark, sf_dir):
-    return resolve.match_by_name(staged(resolved_hub(spark, sf_dir), "regex_names"), stage=staged)
+    return resolve.match_by_name(resolved_hub(spark, sf_dir), stage=staged)
 
 
 @query(
@@ -259,14 +259,17 @@ merged as (
 )"""
 
 
-def all_matches(spark, sf_dir):
-    names = name_matches(spark, sf_dir)
-    trusted, open_rows = resolve.match_candidates(resolved_hub(spark, sf_dir), names)
-    distance = levenshtein_match(
+@built_once
+def distance_matches(spark, sf_dir):
+    trusted, open_rows = _candidates(spark, sf_dir)
+    return levenshtein_match(
         staged(open_rows, "open"), staged(trusted, "trusted"), method=resolve.LEVENSHTEIN, threshold=95, first_chars=8, length_diff=2,
         space_diff=2,
     )
-    return resolve.merge_matches(names, staged(distance, "levenshtein"))
+
+
+def all_matches(spark, sf_dir):
+    return resolve.merge_matches(name_matches(spark, sf_dir), distance_matches(spark, sf_dir))
 
 
 @query("match_merge", f"with {MERGED} select * from merged")
@@ -290,9 +293,10 @@ bridge as (
 )"""
 
 
+@built_once
 def bridge(spark, sf_dir):
     matches = name_matches(spark, sf_dir).where("verify_method is not null")
-    return staged(golden.survivor_bridge(resolved_hub(spark, sf_dir), matches), "bridge")
+    return golden.survivor_bridge(resolved_hub(spark, sf_dir), matches)
 
 
 @query("survivor_bridge", f"with {BRIDGE} select * from bridge")
@@ -381,14 +385,14 @@ GOLDEN_COLUMNS = [
 ]
 
 
-def golden_records(spark, sf_dir, keys):
-    record = golden.golden_record(keys, satellite(spark, sf_dir), GOLDEN_ORDER)
-    return staged(record, "golden")
+@built_once
+def golden_records(spark, sf_dir):
+    return golden.golden_record(bridge(spark, sf_dir), satellite(spark, sf_dir), GOLDEN_ORDER)
 
 
 @query("golden_record", f"with {GOLDEN} select {', '.join(GOLDEN_COLUMNS)} from golden")
 def golden_record(spark, sf_dir):
-    record = golden_records(spark, sf_dir, bridge(spark, sf_dir))
+    record = golden_records(spark, sf_dir)
     return record.withColumn("category", F.array_join("category", "|")).select(*GOLDEN_COLUMNS)
 
 
@@ -407,7 +411,7 @@ def golden_record(spark, sf_dir):
 def golden_incremental(spark, sf_dir):
     """Survivors that were consolidated before start from that record."""
     keys = bridge(spark, sf_dir)
-    records = golden_records(spark, sf_dir, keys)
+    records = golden_records(spark, sf_dir)
     verified = records.where("is_branch").withColumns(
         {"status": F.lit("verified"), "legal_form": F.lit(None).cast("string")}
     )

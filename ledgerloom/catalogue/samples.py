@@ -7,7 +7,7 @@ with different legal forms, so that there are duplicates to resolve.
 
 from pyspark.sql import functions as F
 
-from ledgerloom.catalogue.registry import table
+from ledgerloom.catalogue.registry import built_once, table
 from ledgerloom.functions.keys import hash_key
 from ledgerloom.functions import fixed
 from ledgerloom.functions.text import pure_name
@@ -122,11 +122,13 @@ hub as (
 )"""
 
 
+@built_once
 def resolved_hub(spark, sf_dir):
     """The hub with names without legal form."""
     return regexed_names(first_per_key(hub(spark, sf_dir), ["jurisdiction", "dv_hashkey_company"]))
 
 
+@built_once
 def parties(spark, sf_dir):
     """(source, k, dv_hashkey_company, jurisdiction) of all companies."""
     return companies(spark, sf_dir).withColumn("pure_name", pure_name("name")).select(

@@ -1,31 +1,39 @@
 """Intermediate results in a folder all executors share."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-
-_LOCAL_FOLDER = []
+_OWN_FOLDER = []
+_WRITTEN = {}
+_SHARED = {}
 
 
 def shared_folder(spark):
-    """The session's checkpoint folder.
+    """The session's checkpoint folder, ``spark.checkpoint.dir``.
 
-    A session on one machine without such a folder gets a temporary one; on a
-    cluster the folder has to be set, since executors must share it.
+    On a cluster it has to be set, since executors must share it. Only a session
+    of one process (``local[n]``) may do without: it gets a folder of its
+    own, which goes when the process ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _LOCAL_FOLDER:
-        _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="ledgerloom-"))
-    return _LOCAL_FOLDER[0]
+    if not _OWN_FOLDER:
+        _OWN_FOLDER.append(tempfile.mkdtemp(prefix="ledgerloom-"))
+        atexit.register(shutil.rmtree, _OWN_FOLDER[0], ignore_errors=True)
+    return _OWN_FOLDER[0]
 
 
 def new_location(spark, name):
-    """A path in the shared folder that nothing has used before."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing has used before; ``release`` removes it."""
+    location = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(location)
+    return location
 
 
 def staged(df, name="stage", partition_by=()):
@@ -33,3 +41,25 @@ def staged(df, name="stage", partition_by=()):
     location = new_location(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(location)
     return df.sparkSession.read.schema(df.schema).parquet(location)
+
+
+def staged_once(spark, key, build, name="shared"):
+    """The result of ``build()``, written the first time an application asks for ``key``."""
+    key = (spark.sparkContext.applicationId, key)
+    if key not in _SHARED:
+        df = build()
+        location = new_location(spark, name)
+        df.write.parquet(location)
+        _SHARED[key] = location, df.schema
+    location, schema = _SHARED[key]
+    return spark.read.schema(schema).parquet(location)
+
+
+def release(spark):
+    """Remove all that this application has staged; call it when its results have been written."""
+    application = spark.sparkContext.applicationId
+    for key in [k for k in _SHARED if k[0] == application]:
+        del _SHARED[key]
+    for location in _WRITTEN.pop(application, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(location)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

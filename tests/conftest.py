@@ -7,6 +7,9 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
+from ledgerloom.sources import staging  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
@@ -20,4 +23,5 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    staging.release(session)
     session.stop()
