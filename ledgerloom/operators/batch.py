@@ -35,11 +35,12 @@ def balanced_groups(df, n_groups, column="jurisdiction"):
 
 
 def group_summary(groups, column="jurisdiction"):
-    """Values and rows per group."""
+    """Values and rows per group, and its first and last value; ``balanced_groups`` has the rest as rows."""
     return groups.groupBy("group_number").agg(
         F.count("*").alias("num_values"),
         F.sum("cnt").alias("total_cnt"),
-        F.array_join(F.array_sort(F.collect_list(column)), ",").alias("members"),
+        F.min(column).alias("first_value"),
+        F.max(column).alias("last_value"),
     )
 
 

@@ -49,12 +49,15 @@ def first_value_by(column, order):
     return F.min_by(column, F.when(column.isNotNull(), F.struct(*order)))
 
 
-def distinct_items(column):
-    """A1: distinct elements of all arrays; equal arrays merge map-side."""
-    return F.array_distinct(F.flatten(F.collect_set(column)))
+def distinct_items(df, keys, column):
+    """A1: the distinct elements of all arrays of a key, sorted, one row per key that has any.
 
-
-SALTS = 16
+    Elements are made distinct one by one, in every map task before the
+    shuffle, so no task holds the arrays of a key; only what is left comes together.
+    """
+    items = df.select(*keys, F.explode(column).alias("__item")).distinct()
+    held = F.array_sort(F.collect_list(F.struct(F.isnull("__item").alias("__last"), "__item")))
+    return items.groupBy(*keys).agg(F.transform(held, lambda x: x["__item"]).alias(column))
 
 
 def consolidate(df, keys, order, rules=None, include=None, exclude=()):
@@ -62,11 +65,7 @@ def consolidate(df, keys, order, rules=None, include=None, exclude=()):
 
     Arrays give their distinct elements, sorted; booleans whether any is true;
     all else the first non-null value by ``order``. ``rules`` maps a column to
-    an aggregate of its own.
-
-    With array columns a key is first folded in salted parts, so that the
-    arrays of one large key are made distinct by many tasks and only the parts'
-    results come together.
+    an aggregate of its own. Values need not be orderable, so maps are allowed.
     """
     rules = rules or {}
     chosen = [
@@ -74,42 +73,26 @@ def consolidate(df, keys, order, rules=None, include=None, exclude=()):
         for f in df.schema.fields
         if f.name not in keys and f.name not in exclude and (not include or f.name in include)
     ]
-    is_array = lambda f: isinstance(f.dataType, ArrayType) and f.name not in rules
-    if rules or not any(is_array(f) for f in chosen):
-        return df.groupBy(*keys).agg(*[_folded(f, order, rules).alias(f.name) for f in chosen])
-    salt = F.pmod(F.xxhash64(*order), F.lit(SALTS)).alias("__salt")
-    parts = df.groupBy(*keys, salt).agg(*[_part(f, order).alias(f.name) for f in chosen])
-    return parts.groupBy(*keys).agg(*[_merged(f).alias(f.name) for f in chosen])
+    arrays = [f for f in chosen if isinstance(f.dataType, ArrayType) and f.name not in rules]
+    folded = [_folded(f, order, rules).alias(f.name) for f in chosen if f not in arrays]
+    out = df.groupBy(*keys).agg(*folded) if folded else df.select(*keys).distinct()
+    for field in arrays:
+        items = distinct_items(df, keys, field.name).withColumnsRenamed({k: f"__{k}" for k in keys})
+        same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+        none = F.array().cast(field.dataType)
+        out = out.join(items, same, "left").drop(*[f"__{k}" for k in keys])
+        out = out.withColumn(field.name, F.coalesce(field.name, none))
+    return out.select(*keys, *[f.name for f in chosen])
 
 
 def _folded(field, order, rules):
     if field.name in rules:
         return rules[field.name](field.name)
-    if isinstance(field.dataType, ArrayType):
-        return F.array_sort(distinct_items(field.name))
     if isinstance(field.dataType, BooleanType):
         return F.max(field.name)
     return first_value_by(field.name, order)
 
 
-def _part(field, order):
-    """A fold of some rows of a key that can be folded further."""
-    if isinstance(field.dataType, ArrayType):
-        return distinct_items(field.name)
-    if isinstance(field.dataType, BooleanType):
-        return F.max(field.name)
-    value = F.col(f"`{field.name}`")
-    return F.min(F.when(value.isNotNull(), F.struct(F.struct(*order).alias("at"), value.alias("value"))))
-
-
-def _merged(field):
-    if isinstance(field.dataType, ArrayType):
-        return F.array_sort(F.array_distinct(F.flatten(F.collect_list(field.name))))
-    if isinstance(field.dataType, BooleanType):
-        return F.max(field.name)
-    return F.min(field.name)["value"]
-
-
 def first_non_null(df, keys, columns, order):
     """A2 over many columns in one aggregation."""
     return df.groupBy(*keys).agg(*[first_value_by(c, order).alias(c) for c in columns])

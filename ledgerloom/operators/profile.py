@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType,
+    BooleanType, DateType, DoubleType, FloatType, NumericType, StringType, TimestampNTZType, TimestampType,
 )
 
 from ledgerloom.operators.dedupe import first_per_key
@@ -20,7 +20,6 @@ def _statistics(field):
     if isinstance(field.dataType, NumericType):
         statistics |= {
             "count": F.count(column),
-            "distinct": F.countDistinct(column),
             "mean": F.avg(column),
             "stddev": F.stddev(column),
             "min": F.min(column),
@@ -41,15 +40,39 @@ def _statistics(field):
         day = F.to_date(column)
         epoch = F.lit("1970-01-01").cast("date")
         statistics |= {
-            "distinct_dates": F.countDistinct(column),
             "min_epoch_day": F.date_diff(F.min(day), epoch),
             "max_epoch_day": F.date_diff(F.max(day), epoch),
         }
     return statistics
 
 
+def _cells(df, columns):
+    """(column, value) of every value, as text: one narrow row per cell."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (FloatType, DoubleType))}
+    value = lambda name: F.col(f"`{name}`") + F.lit(0.0) if name in floating else F.col(f"`{name}`")
+    cells = [F.struct(F.lit(c).alias("column"), value(c).cast("string").alias("value")) for c in columns]
+    return df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+
+
+def _distinct_statistic(field):
+    if isinstance(field.dataType, NumericType):
+        return "distinct"
+    return "distinct_dates" if isinstance(field.dataType, (DateType, TimestampType, TimestampNTZType)) else None
+
+
+def _distinct_counts(df, fields):
+    """Distinct values per column, from cells that are made distinct before they move."""
+    cells = _cells(df, [f.name for f in fields]).where(F.col("value").isNotNull()).distinct()
+    counts = cells.groupBy(F.col("column").alias("__column")).agg(F.count("*").alias("n"))
+    asked = [F.struct(F.lit(f.name).alias("column"), F.lit(_distinct_statistic(f)).alias("statistic")) for f in fields]
+    names = df.sparkSession.range(1).select(F.explode(F.array(*asked)).alias("x")).select("x.*")
+    return names.join(counts, F.col("column") == F.col("__column"), "left").select(
+        "column", "statistic", F.coalesce("n", F.lit(0)).cast("double").alias("value")
+    )
+
+
 def profile(df, columns=None):
-    """One row per column and statistic, from one aggregation."""
+    """One row per column and statistic; distinct values are counted apart from the rest."""
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     entries = [(f.name, name, value) for f in fields for name, value in _statistics(f).items()]
     row = df.agg(*[value.cast("double").alias(f"s{i}") for i, (_, _, value) in enumerate(entries)])
@@ -60,7 +83,9 @@ def profile(df, columns=None):
         )
         for i, (column, name, _) in enumerate(entries)
     ]
-    return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    rows = row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    counted = [f for f in fields if _distinct_statistic(f)]
+    return rows.unionByName(_distinct_counts(df, counted)) if counted else rows
 
 
 def top_values(df, columns, k=5):

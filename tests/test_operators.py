@@ -33,6 +33,16 @@ def test_ties_are_settled_by_all_columns(spark):
         assert rows(dedupe.first_per_key(df, ["k"], [F.col("n").asc()])) == [("k", 1, "a")]
 
 
+def test_consolidate_with_maps_nulls_and_a_hot_key(spark):
+    rows = [("hot", i, [f"t{i % 3}", None], {"a": i}, i == 7) for i in range(3000)]
+    rows += [(None, 1, None, None, None), ("none", 2, None, {"b": 1}, False)]
+    df = spark.createDataFrame(rows, "k string, n int, tags array<string>, m map<string, int>, flag boolean")
+    got = {r["k"]: r for r in dedupe.consolidate(df.repartition(6), ["k"], [F.col("n")]).collect()}
+    assert set(got) == {"hot", None, "none"}
+    assert tuple(got["hot"])[1:] == (0, ["t0", "t1", "t2", None], {"a": 0}, True)
+    assert got[None]["tags"] == [] and got[None]["m"] is None and got["none"]["m"] == {"b": 1}
+
+
 def test_consolidate_by_type(spark):
     df = spark.createDataFrame(
         [("k", 1, None, ["a"], False), ("k", 2, "x", ["b", "a"], True), ("k", 3, "y", None, None)],
