@@ -92,10 +92,6 @@ def flatten_properties(df, column="properties", explode=()):
     return lifted
 
 
-def array_columns(df):
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
-
-
 def project_paths(df, paths):
     """Nested paths as top-level columns, by mapping of name to path."""
     return df.select(*[F.col(path).alias(name) for name, path in paths.items()])

@@ -8,14 +8,6 @@ from ledgerloom.functions.keys import audit_columns, hash_key
 from ledgerloom.operators.joins import small_side
 
 
-def chapters(df, code="Chapter Code", description="Chapter Description"):
-    """Two-digit chapters from their printed form."""
-    return df.select(
-        F.regexp_replace(code, "Chapter ", "").alias("code"),
-        F.regexp_replace(description, "HS Code for ", "").alias("description"),
-    )
-
-
 def hierarchy(codes, country_code, country_name, record_source, load_ts=None, source_version=None):
     """Codes of 2, 4, 6 and 8 digits with all descriptions down from the chapter.
 

@@ -27,46 +27,11 @@ def company_hub(source, record_source, load_ts=None, source_version=None):
     )
 
 
-def person_hub(source, record_source, load_ts=None, source_version=None):
-    """V3: hub rows of a person source with jurisdiction, name and address."""
-    return source.where(F.col("name").isNotNull()).select(
-        hash_key("person").alias("dv_hashkey_person"),
-        *audit_columns(record_source, load_ts, source_version),
-        "jurisdiction",
-        "name",
-        "full_address",
-    )
-
-
 def load_hub(base, rows, keys, order=()):
     """V3: rows to append to a hub, one per key, none that is there."""
     return new_rows(base, require_columns(rows), keys, order)
 
 
-def position_link(source, kind, record_source, load_ts=None, source_version=None):
-    """V4: relationship rows; ``kind`` is company_company or person_company.
-
-    A relationship without a position is no link.
-    """
-    ends = {
-        "company_company": ("from_company", "to_company"),
-        "person_company": ("person", "company"),
-        "person_person": ("from_person", "to_person"),
-    }[kind]
-    suffix = "related" if kind == "person_person" else "position"
-    role = "related_type" if kind == "person_person" else "position"
-    hashed = source.where(F.col(role).isNotNull()).withColumns(
-        {f"dv_hashkey_{end}": hash_key(end) for end in ends}
-    )
-    return hashed.select(
-        hash_key(f"l_{kind}_{suffix}").alias(f"dv_hashkey_l_{kind}_relationship"),
-        *audit_columns(record_source, load_ts, source_version),
-        *[f"dv_hashkey_{end}" for end in ends],
-        *[c for c in source.columns if c.endswith("jurisdiction")],
-        role,
-    )
-
-
 def shipment_link(shipments, parties, ports, record_source, load_ts=None, source_version=None):
     """V7: shipments joined to their parties and ports, with shipment and link hash.
 
