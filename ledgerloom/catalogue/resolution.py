@@ -10,7 +10,7 @@ from ledgerloom.contract import TableContract
 from ledgerloom.functions.keys import hash_key
 from ledgerloom.functions.text import pure_name
 from ledgerloom.operators import merge, resolve
-from ledgerloom.operators.similarity import blocking_features, levenshtein_match
+from ledgerloom.operators.similarity import blocking_features, levenshtein_match, matched_names
 from ledgerloom.plans import golden
 from ledgerloom.plans.vault import company_hub, load_history
 from ledgerloom.sources.staging import staged
@@ -166,13 +166,16 @@ def levenshtein_top1(spark, sf_dir):
 @query(
     "levenshtein_all",
     f"""with {LABELLED},{_pairs_sql(_TRUSTED, _OPEN, 85, 8, 2, 2)}
-    select *, 'levenshtein' as verify_method from pairs""",
+    select jurisdiction, pure_name as name_text, verified_pure_name as verified_text, distance, max_length,
+        similarity_percentage, count(distinct dv_hashkey_company) as n_rows,
+        count(distinct verified_dv_hashkey_company) as n_verified
+    from pairs group by all""",
 )
 def levenshtein_all(spark, sf_dir):
     rows = _labelled(spark, sf_dir)
-    return levenshtein_match(
+    return matched_names(
         rows.where("registration_number is null"), rows.where("registration_number is not null"),
-        threshold=85, first_chars=8, length_diff=2, space_diff=2, top1=False,
+        threshold=85, first_chars=8, length_diff=2, space_diff=2,
     )
 
 

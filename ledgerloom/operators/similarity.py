@@ -171,6 +171,21 @@ def similar_names(
     )
 
 
+def matched_names(to_verify, trusted, base="pure_name", **limits):
+    """All pairs of distinct names that match, with how many rows carry either name.
+
+    Rows join to a pair by jurisdiction and name; their product is never built.
+    """
+    def rows_by(df, text, count):
+        return df.groupBy("jurisdiction", F.col(base).alias(text)).agg(F.count("*").alias(count))
+
+    return (
+        similar_names(to_verify, trusted, base, **limits)
+        .join(rows_by(to_verify, "name_text", "n_rows"), ["jurisdiction", "name_text"])
+        .join(rows_by(trusted, "verified_text", "n_verified"), ["jurisdiction", "verified_text"])
+    )
+
+
 def levenshtein_match(
     to_verify,
     trusted,
@@ -180,12 +195,12 @@ def levenshtein_match(
     first_chars=6,
     length_diff=3,
     space_diff=3,
-    top1=True,
 ):
-    """Rows to verify with their trusted match.
+    """Rows to verify with their best trusted match.
 
-    ``top1`` keeps the best match of a row: highest similarity, then the
-    verified name, then the verified hash. Without it every match is a row.
+    The highest similarity wins, then the verified name, then the verified hash.
+    All matches are pairs of names, see ``matched_names``: rows of equal names
+    are not multiplied.
     """
     pairs = similar_names(
         to_verify, trusted, base, threshold, first_chars, length_diff, space_diff
@@ -197,16 +212,15 @@ def levenshtein_match(
         F.col("registration_number").alias("verified_registration_number"),
         F.col("name").alias("verified_name"),
     )
-    if top1:
-        pairs = first_per_key(
-            pairs,
-            ["jurisdiction", "name_text"],
-            [F.col("similarity_percentage").desc(), F.col("verified_text").asc()],
-            complete=False,
-        )
-        masters = first_per_key(
-            masters, ["jurisdiction", "verified_text"], [F.col("verified_dv_hashkey_company").asc()]
-        )
+    pairs = first_per_key(
+        pairs,
+        ["jurisdiction", "name_text"],
+        [F.col("similarity_percentage").desc(), F.col("verified_text").asc()],
+        complete=False,
+    )
+    masters = first_per_key(
+        masters, ["jurisdiction", "verified_text"], [F.col("verified_dv_hashkey_company").asc()]
+    )
     matched = pairs.join(masters, ["jurisdiction", "verified_text"])
     subject = to_verify.select(
         "jurisdiction", "dv_hashkey_company", "registration_number", "name",
