@@ -14,8 +14,8 @@ bytes, so decoding gives back exactly what was encoded.
 """
 
 import functools
-import math
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +25,20 @@ from ledgerloom.llm import common
 
 MARK, OWN_MARK = "▁", "\ud800"  # no valid text has the second
 SHIFT, SHARPNESS, SEED = 10.0, 1.0, 17
+#: Base of the hashes that find pieces, whose characters are then compared; weights are scaled by
+#: length to stay near one, which changes no share.
+HASH, SCALE = np.uint64(0x9E3779B97F4A7C15), 10.0
 #: Words whose lattices a worker keeps before it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Bytes of text at a time, and characters from which the lattice of a word is not kept.
 SLICE, LONG = 2 << 20, 200
 WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
 
 
+def codes(text):
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 class Lattices:
     def __init__(self, path, sharpness=SHARPNESS):
         import sentencepiece
@@ -50,67 +57,121 @@ class Lattices:
         self.bytes = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         self.text = {i: p.replace(MARK, " ").encode() for p, i in pieces.items()}
         self.text.update({i: bytes([b]) for b, i in self.bytes.items()})
+        self.tables = self._tables()
         self._forget()
 
     def _forget(self):
         self.index = {}
         self.node_of = np.zeros(0, np.int64)  # last node of each word
-        self.share = np.zeros(0)  # of each edge: its node's number and the share of the edges up to it
-        self.back = np.zeros(0, np.int64)  # the node that an edge comes from, -1 the beginning
-        self.first = np.zeros(0, np.int64)  # where the ids of an edge are
-        self.count = np.zeros(0, np.int64)
+        self.edges = np.zeros(1, np.int64)  # first edge into each node, and one more at the end
+        self.cum = np.zeros(0, np.int64)  # of each edge: the share of the node's edges up to it, of 2 ** 32
+        self.back = np.zeros(0, np.int32)  # the node that an edge comes from, -1 the beginning
+        self.first = np.zeros(1, np.int64)  # where the ids of an edge begin, and one more at the end
         self.ids = np.zeros(0, np.int32)
-        self.nodes = 0
+
+    def _tables(self):
+        """By length: sorted hashes of the pieces, their characters, ids and weights."""
+        tables = {}
+        for piece, (i, w) in self.weight.items():
+            tables.setdefault(len(piece), []).append((piece, i, w))
+        for n, rows in tables.items():
+            chars = np.array([codes(p) for p, _, _ in rows], np.uint32).reshape(len(rows), n)
+            hashes = np.zeros(len(rows), np.uint64)
+            for k in range(n):
+                hashes = hashes * HASH + chars[:, k].astype(np.uint64) + np.uint64(1)
+            order = np.argsort(hashes, kind="stable")
+            ids, weights = np.array([i for _, i, _ in rows], np.int32), np.array([w for _, _, w in rows])
+            tables[n] = hashes[order], chars[order], ids[order], weights[order] * SCALE**n
+        return tables
+
+    def _edges(self, chars, place):
+        """(last character, length, piece, weight) of all pieces in words that stand one after another."""
+        found, hashes = [], np.zeros(len(chars), np.uint64)
+        for n in range(1, self.longest + 1):
+            longer = chars.astype(np.uint64) + np.uint64(1)
+            longer[1:] += hashes[:-1] * HASH
+            hashes = longer
+            if n not in self.tables:
+                continue
+            table, own, ids, weights = self.tables[n]
+            last = np.flatnonzero(place >= n - 1)
+            at = np.minimum(np.searchsorted(table, hashes[last]), len(table) - 1)
+            hit = table[at] == hashes[last]
+            last, at = last[hit], at[hit]
+            same = (chars[last[:, None] + np.arange(1 - n, 1)] == own[at]).all(1)
+            last, at = last[same], at[same]
+            found.append((last, np.full(len(last), n), ids[at], weights[at]))
+            if n == 1:  # other characters are their bytes
+                rest = np.setdiff1d(np.arange(len(chars)), last, assume_unique=True)
+                found.append((rest, np.ones(len(rest), int), np.full(len(rest), -1, np.int32), np.full(len(rest), SCALE)))
+        return [np.concatenate(c) for c in zip(*found)]
+
+    def _bytes_of(self, char):
+        raw = MARK if char == ord(OWN_MARK) else chr(char)
+        return [self.bytes[b] for b in raw.encode()]
 
     def _learn(self, words):
-        ends, share, back, first, count, ids = [], [], [], [], [], []
-        node, held = self.nodes, len(self.ids)
-        weight, longest = self.weight, self.longest
-        for word in words:
-            logs = [0.0]
-            base = node
-            for p in range(1, len(word) + 1):
-                edges = []
-                for q in range(max(0, p - longest), p):
-                    found = weight.get(word[q:p])
-                    if found and logs[q] > -math.inf:
-                        edges.append((logs[q] + math.log(found[1]), q, (found[0],)))
-                if word[p - 1] not in weight:
-                    raw = MARK if word[p - 1] == OWN_MARK else word[p - 1]
-                    edges.append((logs[p - 1], p - 1, tuple(self.bytes[b] for b in raw.encode())))
-                top = max(e[0] for e in edges)
-                parts = [math.exp(e[0] - top) for e in edges]
-                total = sum(parts)
-                logs.append(top + math.log(total))
-                sofar = 0.0
-                for part, (_, q, own) in zip(parts, edges):
-                    sofar += part
-                    share.append(node + sofar / total)
-                    back.append(base + q - 1 if q else -1)
-                    first.append(held + len(ids))
-                    count.append(len(own))
-                    ids.extend(own)
-                share[-1] = node + 1.0
-                node += 1
-            ends.append(node - 1)
-        self.index.update(zip(words, range(len(self.node_of), len(self.node_of) + len(words))))
-        self.nodes = node
-        self.node_of = np.append(self.node_of, np.array(ends, np.int64))
-        self.share = np.append(self.share, share)
-        self.back = np.append(self.back, np.array(back, np.int64))
-        self.first = np.append(self.first, np.array(first, np.int64))
-        self.count = np.append(self.count, np.array(count, np.int64))
-        self.ids = np.append(self.ids, np.array(ids, np.int32))
+        """Forward sums of words, place by place for all of them at once.
+
+        A word's numbers come from its own edges in their own order, so they do not depend
+        on the words around it.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        place = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        last, length, piece, weight = self._edges(chars, place)
+        order = np.lexsort([-length, last])
+        last, length, piece, weight = last[order], length[order], piece[order], weight[order]
+        degree = np.bincount(last, minlength=len(chars))
+        rank = np.arange(len(last)) - np.repeat(np.cumsum(degree) - degree, degree)
+        before = np.where(place[last] - length < 0, -1, last - length)
+        sums, logs, part = np.ones(len(chars)), np.zeros(len(chars)), np.zeros(len(last))
+        by_place = np.argsort(place[last], kind="stable")
+        cuts = np.searchsorted(place[last][by_place], np.arange(int(place.max(initial=0)) + 2))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            e = by_place[lo:hi]
+            # sums are kept as sum * exp(log) relative to the best way into each node
+            log = np.where(before[e] < 0, 0.0, logs[before[e]])
+            heads = np.flatnonzero(rank[e] == 0)
+            top = np.maximum.reduceat(log, heads)
+            into = last[e[heads]]
+            way = np.where(before[e] < 0, 1.0, sums[before[e]]) * weight[e] * np.exp(log - np.repeat(top, degree[into]))
+            total = np.add.reduceat(way, heads)
+            part[e] = way / np.repeat(total, degree[into])
+            far = (total < 1e-100) | (total > 1e100)
+            sums[into], logs[into] = np.where(far, 1.0, total), np.where(far, top + np.log(total), top)
+        cum = part.copy()
+        for r in range(1, int(degree.max(initial=1))):
+            e = np.flatnonzero(rank == r)
+            cum[e] += cum[e - 1]
+        cum = np.floor(cum * 2.0**32).astype(np.int64)
+        cum[np.cumsum(degree) - 1] = 1 << 32
+        count = np.ones(len(last), np.int64)
+        raw = {e: self._bytes_of(int(chars[last[e]])) for e in np.flatnonzero(piece < 0).tolist()}
+        count[list(raw)] = list(map(len, raw.values()))
+        first = np.append(0, np.cumsum(count))
+        ids = np.repeat(piece, count)
+        for e, own in raw.items():
+            ids[first[e] : first[e] + len(own)] = own
+        base = len(self.edges) - 1
+        known = len(self.node_of)
+        self.index.update(zip(words, range(known, known + len(words))))
+        self.node_of = np.append(self.node_of, base + np.cumsum(sizes) - 1)
+        self.back = np.append(self.back, np.where(before < 0, -1, base + before).astype(np.int32))
+        self.edges = np.append(self.edges, self.edges[-1] + np.cumsum(degree))
+        self.cum = np.append(self.cum, cum)
+        self.first = np.append(self.first, self.first[-1] + first[1:])
+        self.ids = np.append(self.ids, ids)
 
     def sample(self, texts, keys, seed=SEED):
         """Ids of all texts, one after another, and how many each has; ``keys`` are 64-bit numbers."""
         words = [WORD.findall(MARK + t.replace(MARK, OWN_MARK).replace(" ", MARK)) for t in texts]
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        flat = [w for ws in words for w in ws]
+        flat = list(chain.from_iterable(words))
         distinct = set(flat)
         if len(self.index) + len(distinct) > REMEMBERED:
             self._forget()
-        fresh = sorted(w for w in distinct if w not in self.index)
+        fresh = [w for w in distinct if w not in self.index]
         if fresh:
             self._learn(fresh)
         which = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
@@ -122,8 +183,12 @@ class Lattices:
         steps = np.zeros(len(flat), np.int64)
         while len(active):
             draw = common.mix(state[active] + np.uint64((step * 0xD1342543DE82EF95) % (1 << 64)))
-            u = (draw >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            edge = np.searchsorted(self.share, node + u, side="right")
+            u = (draw >> np.uint64(32)).astype(np.int64)
+            edge = self.edges[node]
+            beyond = np.flatnonzero(self.cum[edge] <= u)
+            while len(beyond):
+                edge[beyond] += 1
+                beyond = beyond[self.cum[edge[beyond]] <= u[beyond]]
             picks.append((active, edge))
             steps[active] += 1
             node = self.back[edge]
@@ -133,7 +198,7 @@ class Lattices:
         path = np.empty(int(steps.sum()), np.int64)
         for s, (who, edge) in enumerate(picks):
             path[begin[who] + steps[who] - 1 - s] = edge
-        count = self.count[path]
+        count = self.first[path + 1] - self.first[path]
         total = np.append(0, np.cumsum(count))
         ids = self.ids[np.repeat(self.first[path] - total[:-1], count) + np.arange(total[-1])]
         of_word = np.append(0, np.cumsum(steps))
