@@ -495,8 +495,7 @@ def trade_flags(spark, sf_dir):
 
 @query(
     "trade_entity",
-    f"""with {TRADE} select g.dv_hashkey_company as id, g.name, coalesce(case when n_nationkey % 4 = 0
-            then null else g.jurisdiction end, case when n_nationkey is null then 'unspecified' end)
+    f"""with {TRADE} select g.dv_hashkey_company as id, g.name, coalesce(g.jurisdiction, 'unspecified')
             as jurisdiction, coalesce(n_name, 'unspecified') as country_name,
         coalesce('A' || n_nationkey, 'unspecified') as country_code, false as is_person,
         coalesce(is_trade_buyer or is_trade_supplier, false) as is_trade,
@@ -505,9 +504,14 @@ def trade_flags(spark, sf_dir):
     left join nation on g.jurisdiction = n_name""",
 )
 def trade_entity(spark, sf_dir):
-    keys = bridge(spark, sf_dir)
+    """Nations before F are written as states, ``US.BRAZIL``, and shown by their name."""
+    state = F.col("jurisdiction") < "F"
+    stated = lambda df: df.withColumn(
+        "jurisdiction", F.when(state, F.concat(F.lit("US."), "jurisdiction")).otherwise(F.col("jurisdiction"))
+    )
+    lookup = _lookup(spark, sf_dir).withColumn("is_state", state)
     entities = marts.trade_entities(
-        golden_records(spark, sf_dir), _flags(spark, sf_dir, keys), _lookup(spark, sf_dir), LOAD_TS
+        stated(golden_records(spark, sf_dir)), stated(_flags(spark, sf_dir, bridge(spark, sf_dir))), stated(lookup), LOAD_TS
     )
     return entities.select(
         "id", "name", "jurisdiction", "country_name", "country_code", "is_person", "is_trade", "is_sanction"
