@@ -13,6 +13,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.llm import common
 from ledgerloom.llm.common import staged
@@ -137,8 +138,15 @@ def fit(docs):
 
 
 def score(docs, model):
-    """(doc_id, lang, n_symbols, loss) of each document; loss is the sum of -log p."""
+    """Documents with n_symbols and ``loss``, the sum of -log p, in place of their text.
+
+    ``docs`` has doc_id, text, lang and ``row``, whatever else is to come along.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["doc_id", "lang", "row"]
+    schema = T.StructType(
+        [docs.schema[n] for n in names] + [T.StructField("n_symbols", T.LongType()), T.StructField("loss", T.DoubleType())]
+    )
 
     def apply(batches):
         table = sent.value
@@ -146,15 +154,64 @@ def score(docs, model):
             code, counts = grams(*common.text_buffers(batch.column("text")))
             sums = np.append(0, np.cumsum(table[code], dtype=np.float64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("lang"), pa.array(np.diff(counts), pa.int64()),
-                 pa.array(np.diff(sums[counts]), pa.float64())],
-                names=["doc_id", "lang", "n_symbols", "loss"],
-            )
+                [batch.column(n) for n in names] + [pa.array(np.diff(counts), pa.int64()), pa.array(np.diff(sums[counts]), pa.float64())],
+                names=[*names, "n_symbols", "loss"],
+            )
+
+    return docs.mapInArrow(apply, schema)
+
+
+class Classifier:
+    """A model and thresholds trained on the trusted rows of ``df``; see ``classify``."""
+
+    def __init__(self, df, labels, text="text", key="doc_id", lang="lang", quantile=QUANTILE, margin=MARGIN):
+        common.ship(df.sparkSession)
+        self.columns = text, key, lang
+        docs = self._documents(df, ())
+        # a shuffle at every size: how much is trusted has no bound
+        good = staged(trusted_ids(labels, key), "trusted").hint("merge")
+        own = docs["doc_id"] == F.col("trusted_id")
+        self.model = fit(docs.join(good, own, "left_semi").select("text"))
+        self.scores = staged(score(docs, self.model).drop("row"), "scores")
+        trusted = self.scores.join(good, self.scores["doc_id"] == F.col("trusted_id"), "left_semi").where("n_symbols > 0")
+        mean = trusted.agg(F.sum("loss") / F.sum("n_symbols")).first()[0]
+        self.mean = math.log(SYMBOLS) if mean is None else mean
+        limit = F.percentile_approx(self._perplexity(), quantile, 10_000) * margin
+        self.overall = trusted.agg(limit).first()[0]
+        self.limits = staged(
+            trusted.groupBy("lang").agg(limit.alias("own"), F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= LEAST_TRUSTED).select(F.col("lang").alias("of"), "own"),
+            "limits",
+        )
+
+    def _documents(self, df, keep):
+        text, key, lang = self.columns
+        return df.select(
+            F.col(key).cast("long").alias("doc_id"),
+            F.coalesce(F.col(text), F.lit("")).alias("text"),
+            F.col(lang).cast("string").alias("lang"),
+            F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("row"),
+        )
+
+    def _perplexity(self):
+        return F.exp((F.col("loss") + PRIOR * self.mean) / (F.col("n_symbols") + PRIOR))
+
+    def decide(self, scores):
+        """Scores with perplexity, threshold and ``kept``."""
+        judged = scores.join(self.limits, scores["lang"].eqNullSafe(F.col("of")), "left").withColumns({
+            "perplexity": F.when(F.col("n_symbols") > 0, self._perplexity()),
+            "threshold": F.coalesce("own", F.lit(self.overall).cast("double")),
+        })
+        below = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
+        return judged.withColumn("kept", (F.col("n_symbols") > 0) & below)
 
-    return docs.mapInArrow(apply, "doc_id long, lang string, n_symbols long, loss double")
+    def kept_rows(self, df):
+        """The rows of ``df`` that are kept, judged where they are read, so texts are not moved."""
+        judged = self.decide(score(self._documents(df, df.columns), self.model)).where("kept")
+        return judged.select(*[F.col("row").getField(c).alias(c) for c in df.columns])
 
 
-def classify(df, labels, text="text", key="doc_id", lang="lang", quantile=QUANTILE, margin=MARGIN):
+def classify(df, labels, **options):
     """One row per row of ``df``: doc_id, lang, n_symbols, perplexity, threshold and kept.
 
     ``labels`` has the key, quality and toxic; the model is trained on all rows whose key is trusted.
@@ -163,39 +220,12 @@ def classify(df, labels, text="text", key="doc_id", lang="lang", quantile=QUANTI
     are not kept; a null language is a language; a null key is never trusted; repeated rows count
     as often as they occur. Without trusted text there is no threshold, and texts are kept.
     """
-    common.ship(df.sparkSession)
-    docs = df.select(
-        F.col(key).cast("long").alias("doc_id"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.col(lang).cast("string").alias("lang"),
+    classifier = Classifier(df, labels, **options)
+    return classifier.decide(classifier.scores).select(
+        "doc_id", "lang", "n_symbols", "perplexity", "threshold", "kept"
     )
-    good = staged(trusted_ids(labels, key), "trusted")
-    model = fit(docs.join(good, docs["doc_id"] == good["trusted_id"], "left_semi").select("text"))
-    scores = staged(score(docs, model), "scores")
-    trusted = scores.join(good, scores["doc_id"] == good["trusted_id"], "left_semi").where("n_symbols > 0")
-    mean = trusted.agg(F.sum("loss") / F.sum("n_symbols")).first()[0]
-    mean = math.log(SYMBOLS) if mean is None else mean
-    perplexity = F.exp((F.col("loss") + PRIOR * mean) / (F.col("n_symbols") + PRIOR))
-    limit = F.percentile_approx(perplexity, quantile, 10_000) * margin
-    overall = trusted.agg(limit).first()[0]
-    limits = (
-        trusted.groupBy("lang").agg(limit.alias("own"), F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= LEAST_TRUSTED).select(F.col("lang").alias("of"), "own")
-    )
-    return scores.join(limits, scores["lang"].eqNullSafe(limits["of"]), "left").select(
-        "doc_id", "lang", "n_symbols",
-        F.when(F.col("n_symbols") > 0, perplexity).alias("perplexity"),
-        F.coalesce("own", F.lit(overall).cast("double")).alias("threshold"),
-    ).withColumn(
-        "kept", (F.col("n_symbols") > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
-    )
 
 
 def kept_rows(df, labels, **options):
-    """The rows of ``df`` that are kept, with all their columns; a key of which one text is rejected goes."""
-    key = options.get("key", "doc_id")
-    gone = (
-        classify(df, labels, **options).where("not kept")
-        .select(F.col("doc_id").alias("_gone")).distinct()
-    )
-    return df.join(staged(gone, "rejected"), F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``df`` that are kept, with all their columns; each row goes or stays by its own text."""
+    return Classifier(df, labels, **options).kept_rows(df)
