@@ -23,7 +23,7 @@ REMEMBERED = 1_000_000
 #: Bytes of text at a time; the more, the fewer words are looked up again.
 SLICE = 4 << 20
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-WORD_END = "</w>"
+MARKS, WORD_END = (".", ","), "</w>"
 
 
 def words_apart(settings):
@@ -56,9 +56,11 @@ class Encoder:
         self._forget()
 
     def _forget(self):
-        self.index = {}
-        self.simple = {}
-        self.flat, self.start, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        """The memory of words: arrays of bytes and ids, and hashes to find words by; some 40 bytes a word."""
+        self.hashes, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.bytes, self.at = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.flat, self.start = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self._keep(pa.array(["", *MARKS]), [[], *self._ids(list(MARKS))])
 
     def _ids(self, texts):
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -71,25 +73,77 @@ class Encoder:
             return self._ids(words)
         return [ids[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
 
-    def _learn(self, words):
+    def _keep(self, words, ids):
+        """Add words with their ids, given as lists or as (all ids, how many each has); their rows."""
+        if isinstance(ids, list):
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
+        else:
+            ids, lengths = ids
+        data, offsets = common.text_buffers(words)
+        hashes = common.hash_words(data, offsets[:-1], offsets[1:])
+        rows = np.arange(len(self.start) - 1, len(self.start) - 1 + len(words))
+        order = np.argsort(hashes, kind="stable")
+        place = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, place, hashes[order])
+        self.rows = np.insert(self.rows, place, rows[order].astype(np.int32))
+        self.at = np.append(self.at, self.at[-1] + offsets[1:])
+        self.bytes = np.append(self.bytes, data)
+        self.start = np.append(self.start, self.start[-1] + np.cumsum(lengths))
+        self.flat = np.append(self.flat, ids)
+        return rows
+
+    def _find(self, words):
+        """The row of each word, -1 where it is not known; a hit is compared byte by byte."""
+        data, offsets = common.text_buffers(words)
+        hashes = common.hash_words(data, offsets[:-1], offsets[1:])
+        place = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        rows = np.where(self.hashes[place] == hashes, self.rows[place], -1).astype(np.int64)
+        size = np.diff(offsets)
+        rows[self.at[rows + 1] - self.at[rows] != size] = -1
+        hit = np.flatnonzero((rows >= 0) & (size > 0))
+        if len(hit):
+            n = size[hit]
+            head = np.cumsum(n) - n
+            step = np.arange(n.sum()) - np.repeat(head, n)
+            equal = data[np.repeat(offsets[hit], n) + step] == self.bytes[np.repeat(self.at[rows[hit]], n) + step]
+            rows[hit[~np.logical_and.reduceat(equal, head)]] = -1
+        return rows
+
+    def _of(self, rows):
+        """The ids of rows one after another, and how many each has."""
+        lengths = self.start[rows + 1] - self.start[rows]
+        total = np.append(0, np.cumsum(lengths))
+        return self.flat[np.repeat(self.start[rows] - total[:-1], lengths) + np.arange(total[-1])], lengths
+
+    def _learn(self, column):
+        """Rows for words that are not known: letters by their lower-case form, a mark behind them apart."""
+        words = column.to_pylist()
+        rows = np.full(len(words), -1, np.int64)
         found = [SIMPLE.fullmatch(w) for w in words]
-        parts = [(m[1].lower(), m[2]) if m else None for m in found]
-        fresh = list(dict.fromkeys(p for x in parts if x for p in x if p and p not in self.simple))
-        letters = [w for w in fresh if w not in ".,"]
-        if letters:
-            self.simple.update(zip(letters, self._letters(letters)))
-        for mark in (w for w in fresh if w in ".,"):
-            self.simple[mark] = self._ids([mark])[0]
-        other = iter(self._ids([w for w, x in zip(words, parts) if not x]))
-        ids = [
-            (self.simple[x[0]] + self.simple[x[1]] if x[1] else self.simple[x[0]]) if x else next(other) for x in parts
-        ]
-        known = len(self.start)
-        self.index.update(zip(words, range(known, known + len(words))))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.start = np.append(self.start, len(self.flat) + np.cumsum(lengths) - lengths)
-        self.length = np.append(self.length, lengths)
-        self.flat = np.append(self.flat, np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum())))
+        other = [i for i, m in enumerate(found) if not m]
+        if other:
+            rows[other] = self._keep(column.take(pa.array(other)), self._ids([words[i] for i in other]))
+        simple = [i for i, m in enumerate(found) if m]
+        if simple:
+            lower = [found[i][1].lower() for i in simple]
+            bases = list(dict.fromkeys(lower))
+            at = self._find(pa.array(bases))
+            fresh = np.flatnonzero(at < 0).tolist()
+            if fresh:
+                new = [bases[i] for i in fresh]
+                at[fresh] = self._keep(pa.array(new), self._letters(new))
+            row_of = dict(zip(bases, at.tolist()))
+            base = np.fromiter(map(row_of.__getitem__, lower), np.int64, len(lower))
+            mark = np.fromiter((1 + MARKS.index(m[2]) if m[2] else 0 for m in map(found.__getitem__, simple)), np.int64, len(simple))
+            same = np.fromiter((words[i] == b for i, b in zip(simple, lower)), bool, len(simple))
+            simple = np.array(simple)
+            rows[simple[same]] = base[same]
+            rest = simple[~same]
+            if len(rest):
+                ids, lengths = self._of(np.stack([base[~same], mark[~same]], 1).ravel())
+                rows[rest] = self._keep(column.take(pa.array(rest)), (ids, lengths.reshape(-1, 2).sum(1)))
+        return rows
 
     def encode(self, column):
         """Ids of all texts of an Arrow column, one after another, and how many each text has."""
@@ -101,16 +155,14 @@ class Encoder:
         firsts = words.offsets.to_numpy().astype(np.int64)
         coded = words.flatten().dictionary_encode()
         # white space at an end of a text gives an empty word, which has no ids
-        distinct = coded.dictionary.to_pylist()
-        if len(self.index) + len(distinct) > REMEMBERED:
+        if len(self.rows) + len(coded.dictionary) > REMEMBERED:
             self._forget()
-        fresh = [w for w in distinct if w not in self.index]
-        if fresh:
-            self._learn(fresh)
-        which = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
-        lengths = self.length[which]
+        rows = self._find(coded.dictionary)
+        fresh = np.flatnonzero(rows < 0)
+        if len(fresh):
+            rows[fresh] = self._learn(coded.dictionary.take(pa.array(fresh)))
+        ids, lengths = self._of(rows[coded.indices.to_numpy()])
         total = np.append(0, np.cumsum(lengths))
-        ids = self.flat[np.repeat(self.start[which] - total[:-1], lengths) + np.arange(total[-1])]
         firsts = firsts - firsts[0]
         return ids, total[firsts[1:]] - total[firsts[:-1]]
 
