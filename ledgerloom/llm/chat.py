@@ -23,8 +23,8 @@ from ledgerloom.llm import common
 START, SEP, END = CONTROLS = ("<|im_start|>", "<|im_sep|>", "<|im_end|>")
 ESCAPE, UNESCAPE = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 TURN = re.compile(r"<\|im_start\|>(.*?)<\|im_sep\|>(.*?)<\|im_end\|>", re.DOTALL)
-#: Tokens encoded at a time, about.
-CHARS = 4 << 20
+#: Characters encoded at a time, about.
+CHARS = 1 << 19
 FORMATTED = "conv_id long, formatted string, ids array<int>, starts array<int>, ends array<int>, loss array<boolean>"
 
 
