@@ -1,11 +1,16 @@
 """Quality classifier (2): perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The n-grams are of character classes: ``SYMBOLS`` classes and ``ORDER`` symbols, so
-a model has at most SYMBOLS ** ORDER probabilities (2.6 million, 10 MB) however
-much text it is trained on. That proven bound is why the finished table may be
-broadcast. Counts are taken over all trusted text and summed in shards by
-n-gram; discounts, continuation counts and back-off weights come from joins of
-those shards with their contexts and their shorter n-grams.
+1. The n-grams are of ``WORDS`` words or runs of signs, all that trusted text has, counted in shards by
+   gram. Discounts, continuation counts and back-off weights come from joins of those shards
+   with their contexts and their shorter n-grams, and stay tables; nothing of them is gathered.
+2. A word's probability rests on that of its spelling, so unknown words have one too. Spellings are of
+   ``SYMBOLS`` character classes and ``ORDER`` symbols: at most SYMBOLS ** ORDER numbers however much
+   text there is, the proven bound for which that table alone may be broadcast.
+3. The log-probability of a text is a sum over its n-grams of all orders (``values``), so each
+   distinct n-gram of a text meets the table once, with its count, and sums are taken by text.
+4. There are two models, each of the trusted texts of one half by a hash of the text, and a text is judged by
+   that of the other half. So no text is judged by a model that has seen it, and the
+   quantiles of trusted texts are those of unseen text.
 """
 
 import math
@@ -23,8 +28,11 @@ START, UPPER, ACCENTED, OTHER, DIGIT, SPACE, LINE = 0, 27, 28, 29, 30, 31, 32
 SKIP = 255
 #: A document's mean is drawn to that of its language as if it had so many more symbols.
 PRIOR = 40
-#: The share of a language's trusted documents below its threshold, and the factor on top.
+#: The share of a language's trusted documents, each judged as unseen, below its threshold, and the factor on top.
 QUANTILE, MARGIN = 0.995, 1.25
+#: Length of the longest word n-grams, the models, and words that stand before and after a text.
+WORDS, MODELS = 3, 2
+BEFORE, AFTER = np.uint64(1), np.uint64(2)
 #: Languages with fewer trusted documents take the threshold of all.
 LEAST_TRUSTED = 50
 
@@ -66,6 +74,202 @@ def grams(data, offsets):
     return code, counts
 
 
+def _kinds():
+    """Of each byte: 0 white space, 1 part of a word, 2 any other sign."""
+    k = np.full(256, 2, np.uint8)
+    k[common.WHITE] = 0
+    for lo, hi in (("0", "9"), ("A", "Z"), ("a", "z")):
+        k[ord(lo) : ord(hi) + 1] = 1
+    k[0x80:] = 1
+    return k
+
+
+KINDS = _kinds()
+#: What is lost on a byte once its class is known, all bytes of a class being alike.
+WITHIN = np.log(np.bincount(CLASSES)[CLASSES])
+
+
+def split_tokens(data, offsets):
+    """Start and end byte of each word or run of signs, and the index of each text's first one (one more at the end)."""
+    kind = KINDS[data]
+    edge = np.ones(len(data) + 1, bool)
+    edge[1:-1] = kind[1:] != kind[:-1]
+    edge[offsets] = True
+    cuts = np.flatnonzero(edge)
+    starts, ends = cuts[:-1], cuts[1:]
+    own = kind[starts] > 0
+    starts, ends = starts[own], ends[own]
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def apart(data, starts, ends):
+    """The tokens as texts of their own, each with a blank at its end."""
+    size = ends - starts
+    offsets = np.append(0, np.cumsum(size + 1))
+    joined = np.full(offsets[-1], 32, np.uint8)
+    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    joined[np.repeat(offsets[:-1], size) + within] = data[np.repeat(starts, size) + within]
+    return joined, offsets
+
+
+def spelling(table, data, starts, ends):
+    """-log p of each token's bytes and its end."""
+    joined, offsets = apart(data, starts, ends)
+    code, counts = grams(joined, offsets)
+    by_class = np.append(0, np.cumsum(table[code], dtype=np.float64))
+    by_byte = np.append(0, np.cumsum(np.where(joined == 32, 0, WITHIN[joined])))
+    return np.diff(by_class[counts]) + np.diff(by_byte[offsets])
+
+
+def word_grams(table, data, offsets, model):
+    """Of texts, each with the number of its model: text and keys of all n-grams that end at each word but the first one.
+
+    Before a text stand WORDS - 1 words, one after it. ``keys[k]`` is of the n-gram of k + 1 words; ``spelled`` is
+    the -log p of the last word's spelling, zero for those that stand before and after.
+    """
+    starts, ends, first = split_tokens(data, offsets)
+    words = common.hash_words(data, starts, ends)
+    loss = spelling(table, data, starts, ends)
+    number = np.diff(first)
+    size = number + WORDS
+    head = np.cumsum(size) - size
+    doc = np.repeat(np.arange(len(number)), size)
+    padded, spelled = np.full(size.sum(), BEFORE), np.zeros(size.sum())
+    place = np.arange(len(words)) + np.repeat(head - first[:-1] + WORDS - 1, number)
+    padded[place], spelled[place] = words, loss
+    padded[head + size - 1] = AFTER
+    step = np.uint64(0x9E3779B97F4A7C15)
+    keys = [common.mix(padded * step + model[doc].astype(np.uint64) + np.uint64(1))]
+    for _ in range(WORDS - 1):
+        keys.append(common.mix(np.append(np.uint64(0), keys[-1][:-1]) * step + keys[0]))
+    inner = np.ones(len(doc), bool)
+    inner[head] = False
+    return doc, keys, spelled, inner
+
+
+def count_words(docs, table):
+    """Counts of all n-grams of WORDS words, with the keys of context and shorter n-grams."""
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+    names = ["gram", "context", "shorter", "middle", "word"]
+
+    def count(batches):
+        for batch in common.slices(batches):
+            model = batch.column("half").to_numpy()
+            doc, keys, spelled, inner = word_grams(sent.value, *common.text_buffers(batch.column("text")), model)
+            target = inner.copy()
+            target[1:] &= inner[:-1]  # with WORDS - 1 words before it
+            at = np.flatnonzero(target)
+            _, first, n = np.unique(keys[2][at], return_index=True, return_counts=True)
+            at = at[first]
+            columns = [keys[2][at], keys[1][at - 1], keys[1][at], keys[0][at - 1], keys[0][at]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c.view(np.int64)) for c in columns]
+                + [pa.array(spelled[at]), pa.array(model[doc[at]].astype(np.int32)), pa.array(n, pa.int64())],
+                names=[*names, "spelled", "model", "n"],
+            )
+
+    rows = docs.mapInArrow(count, ", ".join(f"{n} long" for n in names) + ", spelled double, model int, n long")
+    return rows.groupBy("gram").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in [*names[1:], "spelled", "model"]])
+
+
+def discounts(table):
+    """What modified Kneser-Ney takes off a count of ``n``."""
+    n1, n2, n3, n4 = table.agg(*[F.coalesce(F.sum((F.col("n") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4)]).first()
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    discount = [min(max(d, 0.1), k - 0.1) for k, d in (
+        (1, 1 - 2 * y * n2 / n1 if n1 else 0.5), (2, 2 - 3 * y * n3 / n2 if n2 else 1), (3, 3 - 4 * y * n4 / n3 if n3 else 1.5)
+    )]
+    return F.when(F.col("n") == 1, discount[0]).when(F.col("n") == 2, discount[1]).otherwise(discount[2])
+
+
+def values(counts):
+    """(gram, value), whose sum over all n-grams of a text is its log-probability, and each model's log weight of spellings.
+
+    With p(w | uv) = p3 where uvw is seen, else weight(uv) p(w | v), the logarithm is the sum of log p1(w), log weight(v)
+    and log weight(uv), of log p2 - log weight(v) - log p1 where vw is seen, and of log p3 - log weight(uv) - log p2
+    where uvw is seen. A context without a row has weight 1, a word without one weight times spelling.
+    """
+    three = staged(counts, "words3")
+    two = staged(
+        three.groupBy(F.col("shorter").alias("gram"))
+        .agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("middle", "word", "spelled", "model")])
+        .withColumnRenamed("middle", "context"),
+        "words2",
+    )
+    one = staged(
+        two.groupBy(F.col("word").alias("gram"))
+        .agg(F.count(F.lit(1)).alias("n"), F.first("spelled").alias("spelled"), F.first("model").alias("model")),
+        "words1",
+    )
+    one = one.withColumn("off", discounts(one))
+    whole = {r["model"]: (r["total"], r["left"] / r["total"]) for r in
+             one.groupBy("model").agg(F.sum("n").alias("total"), F.sum("off").alias("left")).collect()}
+    total, weight = F.lit(1.0), F.lit(1.0)
+    for m, (t, w) in whole.items():
+        total = F.when(F.col("model") == m, float(t)).otherwise(total)
+        weight = F.when(F.col("model") == m, float(w)).otherwise(weight)
+    p1 = (F.col("n") - F.col("off")) / total + weight * F.exp(-F.col("spelled"))
+    shorter = one.select(F.col("gram").alias("word"), F.log(p1).alias("below"))
+    out = [shorter.select(F.col("word").alias("gram"), F.col("below").alias("value"))]
+    for table, last in ((two, "word"), (three, "shorter")):
+        table = table.withColumn("off", discounts(table))
+        contexts = table.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("weight"))
+        p = (F.col("n") - F.col("off")) / F.col("total") + F.col("weight") * F.exp("below")
+        seen = staged(
+            table.select("gram", "context", last, "n", "off").join(contexts, "context").join(shorter, last)
+            .select("gram", F.log(p).alias("p"), (F.log(p) - F.log("weight") - F.col("below")).alias("value")),
+            "seen",
+        )
+        out += [seen.select("gram", "value"), contexts.select(F.col("context").alias("gram"), F.log("weight").alias("value"))]
+        shorter = seen.select(F.col("gram").alias("shorter"), F.col("p").alias("below"))
+    union = out[0]
+    for more in out[1:]:
+        union = union.unionByName(more)
+    table = staged(union.groupBy("gram").agg(F.sum("value").alias("value")), "values")
+    return table, {m: math.log(w) for m, (_, w) in whole.items()}
+
+
+def half(text="text"):
+    return F.pmod(F.xxhash64(text), F.lit(MODELS)).cast("int")
+
+
+def text_losses(docs, spellings, table, weights):
+    """(dig, loss) of each distinct text; ``docs`` has text, dig and half."""
+    sent = docs.sparkSession.sparkContext.broadcast(spellings)
+
+    def emit(batches):
+        for batch in common.slices(batches):
+            dig = batch.column("dig").to_numpy()
+            _, own, copies = np.unique(dig, return_index=True, return_counts=True)
+            part = batch.take(pa.array(own))
+            model = MODELS - 1 - part.column("half").to_numpy()
+            doc, keys, spelled, inner = word_grams(sent.value, *common.text_buffers(part.column("text")), model)
+            base = np.array([weights.get(m, 0.0) for m in range(MODELS)])[model]
+            full = inner.copy()
+            full[1:] &= inner[:-1]
+            for k, (key, valid) in enumerate(zip(keys, (inner, inner, full))):
+                at = np.flatnonzero(valid)
+                at = at[np.lexsort([key[at], doc[at]])]
+                new = np.ones(len(at), bool)
+                new[1:] = (key[at[1:]] != key[at[:-1]]) | (doc[at[1:]] != doc[at[:-1]])
+                cut = np.flatnonzero(new)
+                n, at = np.diff(np.append(cut, len(at))), at[cut]
+                whose = doc[at]
+                for lo in range(0, len(at), 100_000):
+                    some = slice(lo, lo + 100_000)
+                    a, d = at[some], whose[some]
+                    missed = base[d] - spelled[a] if k == 0 else np.zeros(len(a))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key[a].view(np.int64)), pa.array(dig[own][d]), pa.array((n[some] * copies[d]).astype(np.int32)),
+                         pa.array(missed.astype(np.float32))],
+                        names=["gram", "dig", "n", "missed"],
+                    )
+
+    found = docs.mapInArrow(emit, "gram long, dig long, n int, missed float").join(table.hint("merge"), "gram", "left")
+    loss = -F.sum(F.col("n") * F.coalesce("value", F.col("missed").cast("double")))
+    return found.groupBy("dig").agg(loss.alias("loss"))
+
+
 def trusted_ids(labels, key="doc_id"):
     """Keys that are labelled good and not toxic, and never otherwise."""
     own = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("trusted_id"))
@@ -137,42 +341,42 @@ def fit(docs):
     return (-np.log(probability)).astype(np.float32)
 
 
-def score(docs, model):
-    """Documents with n_symbols and ``loss``, the sum of -log p, in place of their text.
-
-    ``docs`` has doc_id, text, lang and ``row``, whatever else is to come along.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["doc_id", "lang", "row"]
-    schema = T.StructType(
-        [docs.schema[n] for n in names] + [T.StructField("n_symbols", T.LongType()), T.StructField("loss", T.DoubleType())]
-    )
+def text_of_tokens(docs):
+    """The tokens of texts, each a text of its own with a blank at its end."""
 
-    def apply(batches):
-        table = sent.value
+    def split(batches):
         for batch in common.slices(batches):
-            code, counts = grams(*common.text_buffers(batch.column("text")))
-            sums = np.append(0, np.cumsum(table[code], dtype=np.float64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in names] + [pa.array(np.diff(counts), pa.int64()), pa.array(np.diff(sums[counts]), pa.float64())],
-                names=[*names, "n_symbols", "loss"],
-            )
+            data, offsets = common.text_buffers(batch.column("text"))
+            joined, cuts = apart(data, *split_tokens(data, offsets)[:2])
+            for lo in range(0, len(cuts) - 1, 100_000):
+                own = cuts[lo : lo + 100_001]
+                part = joined[own[0] : own[-1]]
+                column = pa.StringArray.from_buffers(
+                    len(own) - 1, pa.py_buffer((own - own[0]).astype(np.int32)), pa.py_buffer(part.tobytes())
+                )
+                yield pa.RecordBatch.from_arrays([column], names=["text"])
 
-    return docs.mapInArrow(apply, schema)
+    return docs.mapInArrow(split, "text string")
 
 
 class Classifier:
-    """A model and thresholds trained on the trusted rows of ``df``; see ``classify``."""
+    """Models and thresholds trained on the trusted rows of ``df``; see ``classify``."""
 
     def __init__(self, df, labels, text="text", key="doc_id", lang="lang", quantile=QUANTILE, margin=MARGIN):
         common.ship(df.sparkSession)
         self.columns = text, key, lang
-        docs = self._documents(df, ())
+        docs = self._documents(df)
         # a shuffle at every size: how much is trusted has no bound
         good = staged(trusted_ids(labels, key), "trusted").hint("merge")
-        own = docs["doc_id"] == F.col("trusted_id")
-        self.model = fit(docs.join(good, own, "left_semi").select("text"))
-        self.scores = staged(score(docs, self.model).drop("row"), "scores")
+        trusted = staged(docs.join(good, docs["doc_id"] == F.col("trusted_id"), "left_semi").select("text", half().alias("half")), "texts")
+        spellings = fit(text_of_tokens(trusted))
+        table, weights = values(count_words(trusted, spellings))
+        texts = docs.select("text", "dig", half().alias("half"))
+        rows = docs.select("doc_id", "lang", "dig", F.length("text").cast("long").alias("n_symbols"))
+        copies = rows.groupBy("dig").agg(F.count(F.lit(1)).alias("copies"))
+        losses = text_losses(texts, spellings, table, weights)
+        self.losses = staged(losses.join(copies, "dig").select("dig", (F.col("loss") / F.col("copies")).alias("loss")), "losses")
+        self.scores = staged(rows.join(self.losses.hint("merge"), "dig").drop("dig"), "scores")
         trusted = self.scores.join(good, self.scores["doc_id"] == F.col("trusted_id"), "left_semi").where("n_symbols > 0")
         mean = trusted.agg(F.sum("loss") / F.sum("n_symbols")).first()[0]
         self.mean = math.log(SYMBOLS) if mean is None else mean
@@ -184,14 +388,13 @@ class Classifier:
             "limits",
         )
 
-    def _documents(self, df, keep):
+    def _documents(self, df, *more):
         text, key, lang = self.columns
+        own = F.coalesce(F.col(text), F.lit(""))
         return df.select(
-            F.col(key).cast("long").alias("doc_id"),
-            F.coalesce(F.col(text), F.lit("")).alias("text"),
-            F.col(lang).cast("string").alias("lang"),
-            F.struct(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("_")).alias("row"),
-        )
+            F.col(key).cast("long").alias("doc_id"), own.alias("text"), F.col(lang).cast("string").alias("lang"),
+            F.xxhash64(own).alias("dig"), *more,
+        )
 
     def _perplexity(self):
         return F.exp((F.col("loss") + PRIOR * self.mean) / (F.col("n_symbols") + PRIOR))
@@ -206,8 +409,10 @@ class Classifier:
         return judged.withColumn("kept", (F.col("n_symbols") > 0) & below)
 
     def kept_rows(self, df):
-        """The rows of ``df`` that are kept, judged where they are read, so texts are not moved."""
-        judged = self.decide(score(self._documents(df, df.columns), self.model)).where("kept")
+        """The rows of ``df`` that are kept."""
+        row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+        rows = self._documents(df, row).select("lang", "dig", F.length("text").cast("long").alias("n_symbols"), "row")
+        judged = self.decide(rows.join(self.losses.hint("merge"), "dig")).where("kept")
         return judged.select(*[F.col("row").getField(c).alias(c) for c in df.columns])
 
 
