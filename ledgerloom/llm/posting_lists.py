@@ -9,7 +9,9 @@
 3. Every vector goes to its nearest list and, where it lies at a border, to up to
    ``REPLICAS`` lists: those not much further than the nearest whose centroids are not nearer to
    a list already chosen.
-4. A query visits the lists within ``RATIO`` times the distance of its nearest centroid. Lists are
+4. A query visits the lists within ``RATIO`` times the distance of its nearest centroid, as many as
+   ``PROBES`` or the share ``SHARE`` of all lists, whichever is more, so they follow the number of lists. A query
+   that has found fewer than ``k`` then visits all lists. Lists are
    paged by a hash, and a task streams queries past one page of vectors at a time, so neither
    long lists nor many queries have to fit memory. Distances are exact, in double precision.
 """
@@ -25,7 +27,7 @@ from ledgerloom.llm.common import staged
 SAMPLE, MOST_LISTS, LIST_SIZE = 65_536, 8192, 128
 NEIGHBOURS, POOL, SEEDS = 24, 96, 16
 REPLICAS, SPREAD = 8, 1.15
-RATIO, PROBES = 1.6, 64
+RATIO, PROBES, SHARE = 1.6, 64, 0.0625
 #: Vectors of a list that are compared with a query at a time.
 PAGE = 2048
 
@@ -150,11 +152,27 @@ class Graph:
         return who, ids[who, place]
 
     def query_lists(self, x):
-        ids, dist = self.search(x)
-        chosen = (ids >= 0) & (dist <= RATIO * dist[:, :1] + 1e-12)
-        chosen[:, PROBES:] = False
-        who, place = np.nonzero(chosen)
-        return who, ids[who, place]
+        """Pairs (vector, list) for the lists that a query visits, by the distances of all centroids.
+
+        The list that the vector itself was put in first, as the graph found it, is one of them.
+        """
+        if not len(x):
+            return np.zeros(0, int), np.zeros(0, int)
+        own = self.search(x, 4 * REPLICAS)[0][:, 0]
+        probes = max(PROBES, int(np.ceil(SHARE * len(self.centroids))))
+        found = []
+        for lo in range(0, len(x), 256):
+            dist = np.sqrt(squared(x[lo : lo + 256], self.centroids))
+            near = np.argsort(dist, axis=1, kind="stable")[:, :probes]
+            far = np.take_along_axis(dist, near, 1)
+            who, place = np.nonzero(far <= RATIO * far[:, :1] + 1e-12)
+            found.append((who + lo) * len(self.centroids) + near[who, place])
+        pairs = np.unique(np.concatenate([*found, np.arange(len(x)) * len(self.centroids) + own]))
+        return pairs // len(self.centroids), pairs % len(self.centroids)
+
+    def all_lists(self, x):
+        n = len(self.centroids)
+        return np.repeat(np.arange(len(x)), n), np.tile(np.arange(n), len(x))
 
 
 def fit(vectors, dim):
@@ -263,11 +281,19 @@ def nearest(df, queries, vector="embedding", key="vec_id", k=10):
     posted = posted.join(F.broadcast(sizes), "list").select(
         "list", F.pmod(F.xxhash64("vid"), F.col("pages")).cast("int").alias("page"), F.lit(0).alias("kind"), "vid", "vec"
     )
-    visits = _into_lists(asking, graph, dim, "query_lists").join(F.broadcast(sizes), "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"), F.lit(1).alias("kind"), "vid", "vec"
-    )
-    found = _scan(posted.unionByName(visits), dim, k).groupBy("qid", "vid").agg(F.min("score").alias("score"))
-    with_ids = found.join(vectors.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vec_id"))
+
+    def found_by(some, method):
+        visits = _into_lists(some, graph, dim, method).join(F.broadcast(sizes), "list").select(
+            "list", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"), F.lit(1).alias("kind"), "vid", "vec"
+        )
+        found = _scan(posted.unionByName(visits), dim, k).groupBy("qid", "vid").agg(F.min("score").alias("score"))
+        return staged(found.join(vectors.select("vid", "ids"), "vid").select("qid", "score", F.explode("ids").alias("vec_id")), "near")
+
+    with_ids = found_by(asking, "query_lists")
+    enough = with_ids.groupBy("qid").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > k).select(F.col("qid").alias("vid"))
+    short = staged(asking.join(enough, "vid", "left_anti"), "short")
+    if not short.isEmpty():
+        with_ids = with_ids.join(enough, F.col("qid") == F.col("vid"), "left_semi").unionByName(found_by(short, "all_lists"))
     best = Window.partitionBy("qid").orderBy("score", "vec_id")
     lists = staged(
         with_ids.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
