@@ -29,7 +29,7 @@ SKIP = 255
 #: A document's mean is drawn to that of its language as if it had so many more symbols.
 PRIOR = 40
 #: The share of a language's trusted documents, each judged as unseen, below its threshold, and the factor on top.
-QUANTILE, MARGIN = 0.995, 1.25
+QUANTILE, MARGIN = 0.995, 1.0
 #: Length of the longest word n-grams, the models, and words that stand before and after a text.
 WORDS, MODELS = 3, 2
 BEFORE, AFTER = np.uint64(1), np.uint64(2)
