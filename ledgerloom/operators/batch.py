@@ -1,8 +1,49 @@
-"""Balanced groups of partition values, and runs over them."""
+"""Running sums in two levels, balanced groups of partition values, and runs over them."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import small_side
+from ledgerloom.sources.staging import staged
+
+#: ``monotonically_increasing_id`` numbers the rows of a partition in its low 33 bits.
+ROW_BITS = 33
+
+
+def in_order(df, order, name="ordered"):
+    """The rows sorted over all tasks and staged, with ``part`` and ``place``, which follow the order.
+
+    Range partitioning deals the rows, so no task sorts them all; ``running_sum``
+    over the parts gives ranks and totals.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = dealt.withColumn("place", F.monotonically_increasing_id())
+    return staged(placed.withColumn("part", F.shiftright("place", ROW_BITS)), name)
+
+
+def running_sum(df, value, part, order, within=(), name="before"):
+    """The sum of ``value`` over the rows before each one, by group and order, as column ``name``.
+
+    ``part`` numbers consecutive stretches of the order. Sums of the parts are
+    taken in every map task; only they, one row a part, are added up in a row,
+    and each part adds its own rows. So no task reads a group as a whole.
+    """
+    keys = [*within, part]
+    sums = staged(df.groupBy(*keys).agg(F.sum(value).alias("__sum")), "parts")
+    earlier = Window.partitionBy(*within).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        *[F.col(k).alias(f"__{k}") for k in keys], F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset")
+    )
+    offsets = staged(offsets, "offsets")
+    own = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    summed = df.withColumn("__own", F.coalesce(F.sum(value).over(own), F.lit(0)))
+    total = F.col("__own") + F.col("__offset")
+    return (
+        summed.join(small_side(offsets), same).withColumn(name, total)
+        .drop("__own", "__offset", *[f"__{k}" for k in keys])
+    )
+
 
 def running_total(counts, count="cnt"):
     """Running sum of counts by size; equal counts share their sum.
