@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    chat, exact_dedup, kneser_ney, packing, piece_sampling, posting_lists, simhash, substring, suffix_dedup, token_files,
+    chat, exact_dedup, kneser_ney, mixing, packing, piece_sampling, posting_lists, simhash, substring, suffix_dedup, token_files,
 )
 from ledgerloom.llm.common import table
 from ledgerloom.sources.staging import new_location
@@ -133,3 +133,39 @@ def op10(spark, sf_dir):
     own = spark.createDataFrame([(-1, 1, "user", said), (-1, 2, "assistant", said)], given.schema)
     formatted = chat.format_chats(given.unionByName(own), public_tokenizers.path("byte_bpe_50k.json"))
     return chat.digests(formatted)
+
+
+MIX_SQL = r"""
+with docs as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+    md5('42:' || coalesce(doc_id::varchar, '')) as h, text
+  from documents
+), sources as (
+  select source, sum(size)::bigint as source_size, 1 + (row_number() over (order by source nulls last) - 1) % 3 as w
+  from docs group by source
+), levels as (
+  select sum(source_size) over () - sum(3 * source_size) over o as num, sum(w) over () - sum(w) over o as den
+  from sources window o as (order by 3.0 * source_size / w, source rows unbounded preceding)
+  union all select sum(source_size), sum(w) from sources
+), level as (
+  select num, den from levels where den > 0 order by num / den desc limit 1
+), targets as (
+  select source, source_size, least((3 * source_size)::double, (w * num)::double / den::double) as target
+  from sources, level
+), placed as (
+  select doc_id, size, source_size::bigint as source_size, target, floor(target + 0.5)::bigint as take,
+    (sum(size) over (partition by docs.source order by h, doc_id, size, text rows unbounded preceding) - size)::bigint as start
+  from docs join targets on docs.source is not distinct from targets.source
+)
+select doc_id, size, source_size, target, (
+    greatest(0, least(start + size, take) - start)
+    + greatest(0, least(start + size + source_size, take) - start - source_size)
+    + greatest(0, least(start + size + 2 * source_size, take) - start - 2 * source_size)
+  )::bigint as taken
+from placed
+"""
+
+
+@query("op11_source_mix", MIX_SQL)
+def op11(spark, sf_dir):
+    return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
