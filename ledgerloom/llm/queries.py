@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    chat, exact_dedup, kneser_ney, mixing, packing, piece_sampling, posting_lists, simhash, substring, suffix_dedup, token_files,
+    chat, exact_dedup, kneser_ney, mixing, packing, piece_sampling, posting_lists, repair, simhash, substring, suffix_dedup, token_files,
 )
 from ledgerloom.llm.common import table
 from ledgerloom.sources.staging import new_location
@@ -169,3 +169,95 @@ from placed
 @query("op11_source_mix", MIX_SQL)
 def op11(spark, sf_dir):
     return mixing.taken(mixing.mix(table(spark, sf_dir, "documents")))
+
+
+#: CRC-32 of an ASCII text, bit by bit.
+CRC32_SQL = """xor(4294967295, list_reduce(
+  list_transform(range(1, length({0}) + 1), lambda i: ascii(substr({0}, i, 1))::bigint),
+  lambda c, b: list_reduce(range(8), lambda x, n: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+  4294967295::bigint))"""
+
+# each row of p holds the least (cost, audit, lines) that leads to the states: nothing, after s, after u, after a
+REPAIR_SQL = (
+    r"""
+with recursive plain as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k
+  from conversations
+), kinds as (select *, """
+    + CRC32_SQL.format("k")
+    + r""" % 20 as kind from plain
+), damaged as (
+  select conv_id, turn, if(kind = 4, 'user', role) as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end))
+  from kinds
+), ordered as (
+  select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) as i
+  from damaged
+), marked as (
+  select *, not regexp_matches(text, '[^ 	-
+]') as blank,
+    row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+    regexp_extract(text, '(?s)([^ 	-
+])[ 	-
+]*$', 1) not in ('.', '!', '?') as open
+  from ordered
+), flagged as (
+  select *, again and not blank as duplicate, open and not again and not blank as truncated, blank or again as gone,
+    left(role, 1) as r, lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1)
+      not in ('su', 'ua', 'au') as illegal
+  from marked
+), sizes as (select conv_id, count(*) as n from flagged group by conv_id), steps as (
+  select conv_id, n, 0::bigint as i, {'c': 0, 'a': '', 't': ''} as p0, {'c': 1000000000, 'a': '', 't': ''} as p1,
+    {'c': 1000000000, 'a': '', 't': ''} as p2, {'c': 1000000000, 'a': '', 't': ''} as p3
+  from sizes
+  union all
+  select conv_id, n, i, {'c': p0.c + 4, 'a': p0.a || 'D', 't': p0.t},
+    list_min([{'c': p1.c + 4, 'a': p1.a || 'D', 't': p1.t},
+      {'c': p0.c + if(r = 's' and not gone, 3 * truncated::int, 1000000000), 'a': p0.a || 'K', 't': p0.t || line}]),
+    list_min([{'c': q2.c + 4, 'a': q2.a || 'D', 't': q2.t},
+      {'c': b.c + if(r = 'u' and not gone, 3 * truncated::int, 1000000000), 'a': b.a || 'K', 't': b.t || line},
+      {'c': b.c + if(not gone, 3 + 3 * truncated::int, 1000000000), 'a': b.a || 'R', 't': b.t || 'user:' || text || chr(10)}]),
+    list_min([{'c': q3.c + 4, 'a': q3.a || 'D', 't': q3.t},
+      {'c': q2.c + if(r = 'a' and not gone, 3 * truncated::int, 1000000000), 'a': q2.a || 'K', 't': q2.t || line},
+      {'c': q2.c + if(not gone, 3 + 3 * truncated::int, 1000000000), 'a': q2.a || 'R',
+       't': q2.t || 'assistant:' || text || chr(10)}])
+  from (
+    select *, list_min([p0, p1, q3]) as b
+    from (
+      select *, list_min([p3, {'c': q2.c + 3, 'a': q2.a || 'I', 't': q2.t || 'assistant:' || chr(10)}]) as q3
+      from (
+        select *, list_min([p2, {'c': e.c + 3, 'a': e.a || 'I', 't': e.t || 'user:' || chr(10)}]) as q2
+        from (
+          select s.conv_id, n, f.i, p0, p1, p2, p3, r, gone, truncated, text, role || ':' || text || chr(10) as line,
+            list_min([p0, p1, p3]) as e
+          from steps s join flagged f on s.conv_id is not distinct from f.conv_id and f.i = s.i + 1
+        )
+      )
+    )
+  )
+), ends as (
+  select conv_id, list_min([p0, p3, {'c': p2.c + 3, 'a': p2.a || 'I', 't': p2.t || 'assistant:' || chr(10)},
+    {'c': p1.c + 6, 'a': p1.a || 'II', 't': p1.t || 'user:' || chr(10) || 'assistant:' || chr(10)}]) as e
+  from steps where i = n
+), counts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+    count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated, count(*) filter (illegal) as illegal
+  from flagged group by conv_id
+)
+select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+  coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(e.c, 0)::bigint as cost, coalesce(e.a, '') as audit,
+  sha256(coalesce(if(e.t = '', '', left(e.t, length(e.t) - 1)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join counts c on o.conv_id is not distinct from c.conv_id
+left join ends on o.conv_id is not distinct from ends.conv_id
+"""
+)
+
+
+@query("op12_structure_repair", REPAIR_SQL)
+def op12(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations")
+    return repair.report(given, repair.repair(repair.damaged(given)))
