@@ -8,6 +8,8 @@ from ledgerloom.sources.staging import staged
 
 #: ``monotonically_increasing_id`` numbers the rows of a partition in its low 33 bits.
 ROW_BITS = 33
+#: Staged bytes up to which the totals of the parts are broadcast.
+OFFSET_LIMIT = 2 * 1024 * 1024
 
 
 def in_order(df, order, name="ordered"):
@@ -40,7 +42,7 @@ def running_sum(df, value, part, order, within=(), name="before"):
     summed = df.withColumn("__own", F.coalesce(F.sum(value).over(own), F.lit(0)))
     total = F.col("__own") + F.col("__offset")
     return (
-        summed.join(small_side(offsets), same).withColumn(name, total)
+        summed.join(small_side(offsets, OFFSET_LIMIT), same).withColumn(name, total)
         .drop("__own", "__offset", *[f"__{k}" for k in keys])
     )
 
