@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
-    chat, exact_dedup, kneser_ney, mixing, packing, piece_sampling, posting_lists, repair, simhash, substring, suffix_dedup, token_files,
+    burst_trie, chat, exact_dedup, kneser_ney, mixing, packing, piece_sampling, posting_lists, repair, simhash, substring, suffix_dedup, token_files,
 )
 from ledgerloom.llm.common import table
 from ledgerloom.sources.staging import new_location
@@ -261,3 +261,43 @@ left join ends on o.conv_id is not distinct from ends.conv_id
 def op12(spark, sf_dir):
     given = table(spark, sf_dir, "conversations")
     return repair.report(given, repair.repair(repair.damaged(given)))
+
+
+TRIE_SQL = (
+    r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+    sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as name
+  from conversations where conv_id is not null
+), keyed as (
+  select conv_id, conv_id::varchar as k, list({'name': name, 'n': length(text)} order by turn nulls first, role, name) as p
+  from turns group by conv_id
+), convs as (select conv_id, p, """
+    + CRC32_SQL.format("k")
+    + r""" % 6 as h from keyed
+), rebuilt as (
+  select c.conv_id, list_concat(coalesce(b.p[1:c.h], []), c.p[c.h + 1:]) as p
+  from convs c left join convs b on b.conv_id = c.conv_id - c.conv_id % 100
+), prefixes as (select conv_id, p, unnest(range(0, len(p) + 1)) as d from rebuilt
+), nodes as (
+  select p[1:d] as k, d, min(conv_id) as conv_id, count(*) as n_convs,
+    string_agg(conv_id::varchar, ',' order by conv_id) filter (len(p) = d) as ends
+  from prefixes group by p[1:d], d
+), kids as (select k[1:d - 1] as k, count(*) as n from nodes where d > 0 group by k[1:d - 1]
+), shaped as (
+  select nodes.*, coalesce(kids.n, 0) as n_children, if(d = 0, 0, (n_convs - 1) * nodes.k[d].n) as saved
+  from nodes left join kids on kids.k = nodes.k
+), above as (
+  select k[1:a] as k, count(*) filter (n_children = 0) as n_leaves, sum(saved)::bigint as saved_tokens
+  from (select k, n_children, saved, unnest(range(0, d + 1)) as a from shaped) group by k[1:a]
+)
+select s.conv_id, s.d::bigint as depth, p.conv_id as parent_conv_id, s.n_convs::bigint as n_convs,
+  s.n_children::bigint as n_children, n_leaves::bigint as n_leaves, saved_tokens, sha256(coalesce(s.ends, '')) as ends_sha256
+from shaped s join above on above.k = s.k left join nodes p on s.d > 0 and p.k = s.k[1:s.d - 1]
+"""
+)
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13(spark, sf_dir):
+    return burst_trie.conversation_trie(table(spark, sf_dir, "conversations"), rebuild=True)

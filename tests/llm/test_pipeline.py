@@ -66,7 +66,7 @@ def test_every_operator_is_registered():
 
     names = set(__spark_entry__.queries())
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit())
-    assert numbers == list(range(1, 13)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= names
 
 
