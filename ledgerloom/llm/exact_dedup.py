@@ -99,7 +99,9 @@ def exact_groups(df, text="text", key="doc_id", fingerprint=F.xxhash64):
             "stays"
         ),
     )
-    return rows.join(groups, ["recipe", "ordinals"]).select(
+    # written first: a join that reads an aggregate of its own key is not split where one text has very many rows
+    groups = staged(groups, "groups")
+    return rows.join(groups.hint("merge"), ["recipe", "ordinals"]).select(
         "doc_id",
         F.col("stays.doc_id").alias("keep_id"),
         "group_size",
