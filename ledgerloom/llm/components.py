@@ -1,8 +1,8 @@
 """Connected components of a graph given by edges, by alternating star steps on tables.
 
-Neither edges nor labels ever reach the driver: each round is two joins whose right
-side has one row per node, so Spark can split a node with very many edges, and
-the round's edges are written to the shared folder, which ends the lineage.
+Neither edges nor labels ever reach the driver. Each round is two joins whose right side, the smallest
+neighbour of each node, is written first: a join that reads an aggregate of its own key is not split, this one
+is where a node has very many edges. The round's edges are written to the shared folder, which ends the lineage.
 """
 
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ def _star(edges, large):
     ends = edges.select("a", "b")
     both = ends.unionByName(ends.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else ends
     least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
-    linked = both.join(least, "a")
+    least = staged(least, "least")
+    linked = both.join(least.hint("merge"), "a")
     if large:
         out = linked.where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     else:
@@ -34,7 +35,7 @@ def components(edges):
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     before = None
     while True:
-        edges = staged(_star(_star(edges, True), False), "stars")
+        edges = staged(_star(staged(_star(edges, True), "stars"), False), "stars")
         now = edges.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum(F.hash("a", "b").cast("long"))
         ).first()
