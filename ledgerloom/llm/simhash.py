@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import common
 from ledgerloom.llm.common import staged
 from ledgerloom.llm.components import components
+from ledgerloom.llm.survivors import one_per_group
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 NODE, FAN = 2048, 8
@@ -227,36 +228,36 @@ def links(prints, node=NODE):
     return out.distinct()
 
 
-def near_groups(df, text="text", key="doc_id", node=NODE):
-    """Each row's fingerprint (long) and component: doc_id, fp, component_id, the smallest doc_id reachable.
+def prints_of(docs):
+    """doc_id and fp, the fingerprint, of documents (doc_id, text)."""
 
-    Null text is empty; a text without words has fingerprint zero, which links like any
-    other; a null key takes part but names no component unless all keys in it are null.
-    Repeated rows and equal texts share a fingerprint. Other columns do not matter.
-    """
-
-    def prints_of(batches):
+    def work(batches):
         for batch in common.slices(batches):
             found = fingerprints(*common.text_buffers(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
             )
 
-    rows = staged(common.documents(df, text, key).mapInArrow(prints_of, "doc_id long, fp long"), "fingerprints")
+    return docs.mapInArrow(work, "doc_id long, fp long")
+
+
+def near_groups(df, text="text", key="doc_id", node=NODE):
+    """Each row's fingerprint (long) and component: doc_id, fp, component_id, the smallest doc_id reachable.
+
+    Null text is empty; a text without words has fingerprint zero, which links like any
+    other; a null key takes part but names no component unless all keys in it are null.
+    Repeated rows and equal texts share a fingerprint. Other columns do not matter.
+    """
+    rows = staged(prints_of(common.documents(df, text, key)), "fingerprints")
     prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     labels = components(links(prints.select("fp"), node)).select(F.col("node").alias("fp"), "root")
-    named = prints.join(labels, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = staged(named.join(names, "root").select("fp", "component_id"), "components")
-    return rows.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    named = staged(prints.join(labels, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "named")
+    names = staged(named.groupBy("root").agg(F.min("least").alias("component_id")), "names")
+    by_print = staged(named.join(names.hint("merge"), "root").select("fp", "root", "component_id"), "components")
+    return rows.join(by_print, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def kept_rows(df, text="text", key="doc_id"):
-    """The rows of ``df`` whose key is the smallest of its component, with all their columns.
-
-    In a component whose keys are all null no key is smallest and all rows stay.
-    """
-    groups = near_groups(df, text, key)
-    gone = groups.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``df`` that are the first of their component, with all their columns; see ``one_per_group``."""
+    groups = near_groups(df, text, key).select("doc_id", F.col("fp").alias("sig"), F.col("root").alias("component"))
+    return one_per_group(df, staged(groups, "groups"), lambda docs: prints_of(docs).withColumnRenamed("fp", "sig"), text, key)

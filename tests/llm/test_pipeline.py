@@ -1,6 +1,7 @@
 """The pipeline against plain restatements of its stages, and how its parts are registered."""
 
 import re
+import shutil
 import subprocess
 import sys
 import zlib
@@ -9,11 +10,13 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from ledgerloom.llm import kneser_ney
-from tests.llm.test_text_operators import brute_windows, exact_expected, near_expected, print_of
+from tests.llm.test_shingle_sets import brute_kept
+from tests.llm.test_text_operators import brute_windows, exact_expected
 
 SF_DIR = "/root/testdata/sf0.001"
 ROOT = Path(__file__).resolve().parents[2]
@@ -28,8 +31,8 @@ def test_run_equals_the_stages_restated(spark):
     rows = [r for r in rows if r[0] in kept]
     stay = {r[0] for r in exact_expected(rows) if r[3]}
     rows = [r for r in rows if r[0] in stay]
-    roots = near_expected([r[0] for r in rows], [print_of(r[1]) for r in rows])
-    rows = [r for r, root in zip(rows, roots) if r[0] == root]
+    stay, _ = brute_kept([(r[0], r[1] or "") for r in rows])
+    rows = [r for r in rows if r[0] in stay]
     texts = {}
     for r, (words, hit) in zip(rows, brute_windows([r[1] for r in rows], 35)):
         if not all(hit):
@@ -70,19 +73,20 @@ def test_every_operator_is_registered():
     assert set(__spark_entry__.oracle_sql()) <= names
 
 
-def test_the_rest_does_without_this_part(tmp_path):
-    """Without the folder and the pipeline the entry points still give the other queries."""
-    for name in ("ledgerloom", "__spark_entry__.py"):
-        (tmp_path / name).symlink_to(ROOT / name) if name.endswith(".py") else _copy_without_llm(ROOT / name, tmp_path / name)
-    code = "import __spark_entry__ as e; q = e.queries(); assert q and 'pipeline' not in q and not any(n.startswith('op1_') for n in q)"
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin:/bin"})
-
-
-def _copy_without_llm(source, target):
-    target.mkdir()
-    for path in source.iterdir():
-        if path.name not in ("llm", "__pycache__"):
-            (target / path.name).symlink_to(path)
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_the_rest_does_without_this_part(tmp_path, pipeline):
+    """A copy without both folders, with and without the pipeline, gives the other queries and collects the other tests."""
+    for name in ("ledgerloom", "tests"):
+        shutil.copytree(ROOT / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "bench.py", *(["corpus_pipeline.py"] if pipeline else [])):
+        shutil.copy(ROOT / name, tmp_path / name)
+    code = (
+        "import __spark_entry__ as e; q = e.queries(); e.oracle_sql(); "
+        "assert len(q) > 150 and 'pipeline' not in q and not any(n.startswith('op1_') for n in q)"
+    )
+    own = {"PYTHONPATH": str(tmp_path), "PATH": "/usr/bin:/bin"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=own)
+    subprocess.run([sys.executable, "-m", "pytest", "tests", "--collect-only", "-q"], cwd=tmp_path, check=True, env=own)
 
 
 def test_nothing_else_imports_this_part():

@@ -2,7 +2,10 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
+from ledgerloom.llm import shingle_sets, simhash
 
 
 def brute_kept(rows):
@@ -43,5 +46,49 @@ def test_near_stage_drops_all_that_brute_force_drops(spark):
     want, pairs = brute_kept(rows)
     assert pairs > 200 and len(want) < len(rows) // 2
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    near = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    near = dict(corpus_pipeline.STAGES)["near_dedup"]
     assert {r.doc_id for r in near(spark, docs, None).collect()} == want
+
+
+def sentence(seed, n=60):
+    rng = random.Random(seed)
+    return " ".join(f"w{seed}x{rng.randrange(400)}" for _ in range(n))
+
+
+X, Y, Z = sentence(1), sentence(2), sentence(3)
+ODD = {
+    "a null key goes without other rows of null keys": ([(1, X), (None, X), (None, Y)], [(None, Y), (1, X)]),
+    "a repeated key goes by row": ([(1, X), (2, X), (2, Y)], [(1, X), (2, Y)]),
+    "of groups of null keys one row stays": ([(None, X), (None, X), (None, Y), (None, Y)], [(None, X), (None, Y)]),
+    "equal rows leave one": ([(5, X), (5, X), (5, X), (6, Z)], [(5, X), (6, Z)]),
+    "a key in two groups": ([(3, X), (3, Y), (4, Y), (2, X)], [(2, X), (3, Y)]),
+    "null and empty texts are equal": ([(7, None), (8, ""), (9, " \t"), (None, None)], [(7, None)]),
+    "no rows": ([], []),
+}
+
+
+@pytest.mark.parametrize("case", list(ODD))
+@pytest.mark.parametrize("way", [shingle_sets.kept_rows, simhash.kept_rows])
+def test_rows_go_one_by_one(spark, case, way):
+    rows, want = ODD[case]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as sig", "2 as id", "3 as row", "4 as n")
+    got = way(df.repartition(3))
+    assert got.columns == df.columns
+    assert sorted(map(repr, got.select("doc_id", "text").toLocalIterator())) == sorted(map(repr, spark.createDataFrame(want, "doc_id long, text string").collect()))
+
+
+@pytest.mark.parametrize("own", [14, 18, 24, "mixed"])
+def test_pages_of_one_template_make_few_candidates(spark, monkeypatch, own):
+    """Candidates grow with the number of pages, not with its square, whether pages are near or not."""
+    measured = []
+    near = shingle_sets._near
+    monkeypatch.setattr(shingle_sets, "_near", lambda pairs, of, least: measured.append(pairs.count()) or near(pairs, of, least))
+    rng = random.Random(6)
+    template = sentence(9, 100)
+    for n in (100, 400):
+        rows = [(i, template + " " + " ".join(f"o{i}x{k}" for k in range(rng.randrange(40) if own == "mixed" else own))) for i in range(n)]
+        want, _ = brute_kept(rows)
+        measured.clear()
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert {r.doc_id for r in shingle_sets.kept_rows(df).collect()} == want
+        assert sum(measured) <= 4 * n
