@@ -191,9 +191,12 @@ def trie(convs, limit=LIMIT, size=SIZE):
     distinct = convs.groupBy("sig", "path").agg(F.count(F.lit(1)).alias("n"), F.min("conv_id").alias("least"))
     live = staged(distinct.select(F.lit(ROOT).alias("head"), F.col("path").alias("suffix"), "n", "least", "sig"), "live")
     none = F.lit(None).cast("long")
-    heads = spark.range(1).select(
-        F.lit(ROOT).alias("head"), F.lit(None).cast("string").alias("parent"), F.lit(0).cast("long").alias("depth"),
-        none.alias("above"), F.lit(0).cast("long").alias("own"),
+    heads = staged(
+        spark.range(1).select(
+            F.lit(ROOT).alias("head"), F.lit(None).cast("string").alias("parent"), F.lit(0).cast("long").alias("depth"),
+            none.alias("above"), F.lit(0).cast("long").alias("own"),
+        ),
+        "root",
     )
     settled, rounds = [], []
     while True:
