@@ -8,20 +8,29 @@ signatures that two strings within the allowed number of edits must share:
 * few edits: equal after dropping at most that many characters each. Each name
   emits itself and what is left of it after one deletion, or two where the
   name is short. Such a signature has few owners, whatever the names look like.
-* more edits, say t: of t + 1 consecutive pieces of one name, one survives
-  unedited in the other. The piece numbered i (from 0) need only be sought
-  where at most i edits lie before it and t - i after it (partition scheme and
-  multi-match-aware selection of Pass-Join, Li et al., VLDB 2011).
+* more edits, say t: an edit touches at most q of a name's q-grams, so of the
+  q t + 1 grams that come first in any one order one is left unedited, at most t
+  places away in the other name. The order is from rare to common among the trusted
+  names of the block. So names that share a tail, or words, meet by what
+  is their own (prefix filtering on positional grams; Ed-Join, Xiao et al., VLDB 2008).
+* more edits than a short name has grams for: of t + 1 consecutive pieces of one
+  name, one survives unedited in the other. The piece numbered i (from 0) need only
+  be sought where at most i edits lie before it and t - i after it (partition scheme
+  and multi-match-aware selection of Pass-Join, Li et al., VLDB 2011).
 
-Both are exact: no match is lost, and the bounded distance settles the rest.
-Names are made distinct first, so copies of a name cost nothing.
+All are exact: no match is lost, and the bounded distance settles the rest.
+Names are made distinct first, so copies of a name cost nothing; so are pairs,
+before they are measured.
 """
 
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.dedupe import first_per_key
+from ledgerloom.sources.staging import staged
 
 SHORT_REST = 16
+#: Letters of the shortest gram; names with too few of these are cut into pieces.
+LEAST_GRAM = 2
 
 
 def blocking_features(df, base="pure_name", first_chars=6):
@@ -47,69 +56,125 @@ def _deletions(texts):
             i -> concat(substring(v, 1, i - 1), substring(v, i + 1))))))"""
 
 
-def _signatures(df, threshold, length_diff, stripped, indexed):
-    """Add ``sig``: one row per signature of a name.
+def _by_deletion(length, threshold, stripped):
+    """Whether a pair whose longer name has this length is found by deletions."""
+    edits = _edits(length, threshold)
+    return f"({edits} < 2 or ({edits} = 2 and ({length}) - {stripped} <= {SHORT_REST}))"
+
+
+def _dropped(df, threshold, length_diff, stripped):
+    """Add ``sig``: a row per text that is left of ``rest`` after the deletions that count for a name.
 
     ``rest`` is the part of the name in which a pair can differ, ``len`` the
     length of the whole name, of which ``stripped`` letters are not in the
     rest. The longer length of a pair decides which signatures count for it,
     so a name emits those of every length its partners may bring it to.
-    Indexed names emit their pieces, probing names every place where a piece
-    of a possible partner can stand.
     """
-    edits = lambda length: _edits(length, threshold)
-    by_deletion = lambda length: (
-        f"({edits(length)} < 2 or ({edits(length)} = 2 and ({length}) - {stripped} <= {SHORT_REST}))"
-    )
+    found = lambda n: _by_deletion(n, threshold, stripped)
     longest = f"transform(sequence(0, {length_diff}), k -> len + k)"
-    depth = f"""array_max(transform(filter({longest}, n -> {by_deletion('n')}), n -> {edits('n')}))"""
+    depth = f"array_max(transform(filter({longest}, n -> {found('n')}), n -> {_edits('n', threshold)}))"
     one = _deletions("array(rest)")
     drops = f"""
-        transform(case {depth}
+        case {depth}
              when 0 then array(rest)
              when 1 then concat(array(rest), {one})
              when 2 then concat(array(rest), {one}, {_deletions(one)})
-             else array() end, v -> concat('d', v))"""
+             else array() end"""
+    return df.withColumn("sig", F.explode(F.expr(f"array_distinct(transform({drops}, v -> xxhash64(v)))")))
+
+
+def _cases(df, threshold, length_diff, stripped, indexed):
+    """A row per number of edits ``t`` and length ``m`` of the trusted name under which a name is cut into pieces.
+
+    ``q`` is the length of the grams by which such a pair is found, 0 where it is by pieces.
+    """
+    found = lambda n: _by_deletion(n, threshold, stripped)
+    if indexed:
+        longest = f"transform(sequence(0, {length_diff}), k -> len + k)"
+        cases = f"""transform(
+            array_distinct(transform(filter({longest}, n -> not {found('n')}), n -> {_edits('n', threshold)})),
+            t -> named_struct('m', len, 't', t))"""
+    else:
+        cases = f"""transform(
+            filter(sequence(len - {length_diff}, len + {length_diff}),
+                   m -> m >= 0 and length(rest) + m - len >= 0 and not {found('greatest(len, m)')}),
+            m -> named_struct('m', m, 't', {_edits('greatest(len, m)', threshold)}))"""
+    own = _trusted_rest(indexed)
+    # long grams are rare; at half the length of a piece half of the grams are first ones, the common half is not
+    length = F.expr(f"if({own} >= {LEAST_GRAM} * (t + 1), greatest({LEAST_GRAM}, cast(floor({own} / (2 * (t + 1))) as int)), 0)")
+    cased = df.withColumn("case", F.explode(F.expr(cases))).select(*df.columns, "case.m", "case.t")
+    return cased.withColumn("q", length)
+
+
+def _trusted_rest(indexed):
+    """The length of the trusted name's rest, as either side of a pair knows it."""
+    return "length(rest)" if indexed else "(length(rest) + m - len)"
+
+
+NAMED = ["jurisdiction", "block", "name_text"]
+SIGNED = ["jurisdiction", "block", "sig"]
 
-    size = lambda length, t: f"cast(floor(({length}) / ({t} + 1)) as int)"
-    plain = lambda length, t: f"({t} + 1 - ({length}) % ({t} + 1))"
-    start = lambda length, t, i: (
-        f"({i} * {size(length, t)} + greatest({i} - {plain(length, t)}, 0))"
+
+def _grams(cases):
+    """The grams of names, with their places: one row each, by name and q."""
+    places = "filter(sequence(1, length(rest)), p -> p <= length(rest) - q + 1)"
+    own = cases.where("q > 0 and length(rest) > 0").select(*NAMED, "rest", "q").distinct()
+    return own.withColumn("at", F.explode(F.expr(places))).select(
+        *NAMED, "q", "at", F.expr("substring(rest, at, q)").alias("gram")
     )
-    width = lambda length, t, i: (
-        f"({size(length, t)} + if({i} >= {plain(length, t)}, 1, 0))"
+
+
+def _first_grams(cases, grams, uses):
+    """Add ``sig`` and ``at``: a row per gram of a name that comes first in the order from rare to common."""
+    counted = grams.join(uses, ["jurisdiction", "block", "q", "gram"], "left")
+    ranked = counted.groupBy(*NAMED, "q").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("uses", F.lit(0).cast("long")).alias("uses"), "gram", "at"))).alias("grams")
     )
+    first = cases.join(ranked, [*NAMED, "q"]).withColumn("g", F.explode(F.expr("slice(grams, 1, q * t + 1)")))
+    return first.withColumns({"sig": F.expr("xxhash64(t, m, q, g.gram)"), "at": F.col("g.at")}).drop("grams", "g")
+
+
+def _pieces(cases, indexed):
+    """Add ``sig``: a row per piece of ``rest`` (trusted), or per place where a trusted one may stand."""
+    own = _trusted_rest(indexed)
+    size = f"cast(floor({own} / (t + 1)) as int)"
+    plain = f"(t + 1 - {own} % (t + 1))"
+    start = f"(i * {size} + greatest(i - {plain}, 0))"
+    width = f"({size} + if(i >= {plain}, 1, 0))"
     if indexed:
-        pieces = f"""
-            flatten(transform(
-                array_distinct(transform(filter({longest}, n -> not {by_deletion('n')}),
-                    n -> {edits('n')})),
-                t -> transform(sequence(0, t), i -> concat_ws('|', t, len, i,
-                    substring(rest, {start('length(rest)', 't', 'i')} + 1,
-                              {width('length(rest)', 't', 'i')})))))"""
+        places = f"transform(sequence(0, t), i -> named_struct('i', i, 'at', {start}, 'width', {width}))"
     else:
-        pieces = f"""
-            flatten(transform(
-                transform(
-                    filter(sequence(len - {length_diff}, len + {length_diff}),
-                           m -> m >= 0 and length(rest) + m - len >= 0
-                                and not {by_deletion('greatest(len, m)')}),
-                    m -> named_struct('m', m, 't', {edits('greatest(len, m)')})),
-                p -> flatten(transform(sequence(0, p.t), i ->
-                    transform(
-                        filter(sequence(-i, i), s ->
-                            abs(s - (len - p.m)) <= p.t - i and
-                            {start('(length(rest) + p.m - len)', 'p.t', 'i')} + s >= 0
-                            and {start('(length(rest) + p.m - len)', 'p.t', 'i')} + s
-                                + {width('(length(rest) + p.m - len)', 'p.t', 'i')}
-                                <= length(rest)),
-                        s -> concat_ws('|', p.t, p.m, i,
-                            substring(rest,
-                                {start('(length(rest) + p.m - len)', 'p.t', 'i')} + s + 1,
-                                {width('(length(rest) + p.m - len)', 'p.t', 'i')})))))))"""
-    return df.withColumn("sig", F.explode(F.expr(f"array_distinct(concat({drops}, {pieces}))"))).withColumn(
-        "sig", F.xxhash64("sig")
+        places = f"""flatten(transform(sequence(0, t), i -> transform(
+            filter(sequence(-i, i), s -> abs(s - (len - m)) <= t - i and {start} + s >= 0
+                                         and {start} + s + {width} <= length(rest)),
+            s -> named_struct('i', i, 'at', {start} + s, 'width', {width}))))"""
+    cut = cases.where("q = 0").withColumn("piece", F.explode(F.expr(places)))
+    return cut.withColumn(
+        "sig", F.expr("xxhash64(t, m, piece.i, substring(rest, piece.at + 1, piece.width))")
+    ).drop("piece")
+
+
+def _candidates(probing, trusted, threshold, length_diff, stripped):
+    """Pairs of distinct names that share a signature: of deletions, of rare grams, or of pieces."""
+    limits = threshold, length_diff, stripped
+    pairs = _meet(_dropped(probing, *limits), _dropped(trusted, *limits))
+    sought, owned = _cases(probing, *limits, indexed=False), _cases(trusted, *limits, indexed=True)
+    grams = _grams(owned)
+    # written first: a join that reads an aggregate of its own key is not split where a gram is in very many names
+    uses = staged(grams.groupBy("jurisdiction", "block", "q", "gram").agg(F.count(F.lit(1)).alias("uses")), "grams")
+    by_gram = _meet(_first_grams(sought, _grams(sought), uses), _first_grams(owned, grams, uses), at=True)
+    return pairs.unionByName(by_gram).unionByName(_meet(_pieces(sought, indexed=False), _pieces(owned, indexed=True)))
+
+
+def _meet(sought, owned, at=False):
+    """Pairs by equal signatures, with ``at`` only where the places of the grams are within the edits."""
+    features = ["name_text", "len", "spaces"]
+    places = ["at"] if at else []
+    both = sought.select(*SIGNED, *features, *places, *(["t"] if at else [])).join(
+        owned.select(*SIGNED, *[F.col(c).alias(f"m_{c}") for c in [*features, *places]]), SIGNED
     )
+    near = both.where("abs(at - m_at) <= t") if at else both
+    return near.drop("sig", "t", "at", "m_at")
 
 
 def _distinct_names(df, base, first_chars, case_folded):
@@ -136,24 +201,15 @@ def similar_names(
     """Distinct pairs of names that match, with distance and similarity."""
     case_folded = base in ("pure_name", "regexed_name")
     stripped = first_chars if case_folded else 0
-    t = _signatures(
-        _distinct_names(to_verify, base, first_chars, case_folded), threshold, length_diff, stripped,
-        indexed=False,
-    )
-    m = _signatures(
-        _distinct_names(trusted, base, first_chars, case_folded), threshold, length_diff, stripped,
-        indexed=True,
-    ).select(
-        "jurisdiction", "block", "sig",
-        *[F.col(c).alias(f"m_{c}") for c in ("name_text", "len", "spaces")],
-    )
+    t, m = (_distinct_names(df, base, first_chars, case_folded) for df in (to_verify, trusted))
     longest = "greatest(len, m_len)"
     return (
-        t.join(m, ["jurisdiction", "block", "sig"])
+        _candidates(t, m, threshold, length_diff, stripped)
         .where(
             (F.abs(F.col("len") - F.col("m_len")) <= length_diff)
             & (F.abs(F.col("spaces") - F.col("m_spaces")) <= space_diff)
         )
+        .distinct()
         .withColumn(
             "distance", F.expr(f"levenshtein(name_text, m_name_text, {_edits(longest, threshold)})")
         )
@@ -167,7 +223,6 @@ def similar_names(
             "jurisdiction", "name_text", F.col("m_name_text").alias("verified_text"),
             "distance", F.expr(longest).alias("max_length"), "similarity_percentage",
         )
-        .distinct()
     )
 
 
