@@ -5,14 +5,56 @@ base is read but never rewritten; the others give the next state, of which a
 writer replaces only the touched partitions (see ``touched``).
 """
 
+from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import with_hash_diff
 from ledgerloom.operators.dedupe import first_per_key
 from ledgerloom.operators.frames import enforce_schema
-from ledgerloom.operators.joins import anti, keys_equal, outer_compare, semi
+from ledgerloom.operators.joins import anti, keys_equal, outer_compare, semi, small_side
+from ledgerloom.sources.staging import staged
+
+FEED = ("_change_type", "_commit_version", "_commit_timestamp")
+
+
+@dataclass(frozen=True)
+class Changes:
+    """M8: what one merge does to a table: rows that stay, come in, and are replaced (``before`` by ``after``).
+
+    The merge finds them from keys and hashes; payloads are read for changed
+    keys only, and the change feed is these frames, so no two states are compared.
+    """
+
+    kept: DataFrame
+    inserts: DataFrame
+    before: DataFrame
+    after: DataFrame
+
+    def state(self):
+        """The next state of the table."""
+        return self.kept.unionByName(self.changed(), allowMissingColumns=True)
+
+    def changed(self):
+        """The rows that the next state has and the table had not."""
+        return self.after.unionByName(self.inserts, allowMissingColumns=True)
+
+    def staged(self):
+        """The changes written, so that the table may be replaced before they are read."""
+        return Changes(self.kept, *(staged(df, "changes") for df in (self.inserts, self.before, self.after)))
+
+    def feed(self, version, committed=None):
+        """The changes as ``change_feed`` gives them."""
+        moment = F.current_timestamp() if committed is None else F.lit(committed).cast("timestamp")
+        kinds = (("insert", self.inserts), ("update_preimage", self.before), ("update_postimage", self.after))
+        named = [df.withColumn(FEED[0], F.lit(kind)) for kind, df in kinds]
+        united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+        plain = [c for c in united.columns if c not in FEED]
+        return united.select(
+            *plain, FEED[0], F.lit(version).cast("bigint").alias(FEED[1]), moment.alias(FEED[2])
+        )
 
 
 def new_rows(base, updates, keys, order=(), null_safe=True):
@@ -27,7 +69,7 @@ def insert_only(base, updates, keys, order=(), null_safe=True):
     return fresh if base is None else base.unionByName(fresh, allowMissingColumns=True)
 
 
-def satellite_rows(base, updates, schema, keys, parent=None):
+def satellite_rows(base, updates, schema, keys, parent=None, null_safe=True):
     """M4: rows to append to a satellite.
 
     Payload is cast to the contract and hashed; a row counts as known when a
@@ -38,7 +80,7 @@ def satellite_rows(base, updates, schema, keys, parent=None):
     distinct_by = [parent, "dv_hashdiff"] if parent else ["dv_hashdiff"]
     distinct = first_per_key(hashed, distinct_by)
     known = list(dict.fromkeys([*keys, *([parent] if parent else [])]))
-    return distinct if base is None else anti(distinct, base, known)
+    return distinct if base is None else anti(distinct, base, known, null_safe)
 
 
 def satellite(base, updates, schema, keys, parent=None):
@@ -53,24 +95,36 @@ def upsert(base, updates, keys, order=(), keep=("created_at",), null_safe=True):
     A base row without hash counts as changed. Columns that only the updates
     have come in, null where a base row stays as it is.
     """
-    incoming = with_hash_diff(first_per_key(updates, keys, order))
     if base is None:
-        return incoming
-    both = outer_compare(base, incoming, keys, null_safe)
-    changed = F.col("l").isNull() | (
-        F.col("r").isNotNull() & ~F.col("l.dv_hashdiff").eqNullSafe(F.col("r.dv_hashdiff"))
-    )
+        return with_hash_diff(first_per_key(updates, keys, order))
+    return upsert_changes(base, updates, keys, order, keep, null_safe).state()
 
-    def next_value(name):
-        if name not in incoming.columns:
-            return F.col(f"l.{name}")
-        if name not in base.columns:
-            return F.when(changed, F.col(f"r.{name}"))
-        taken = changed & ~(F.col("l").isNotNull() & F.lit(name in keep))
-        return F.when(taken, F.col(f"r.{name}")).otherwise(F.col(f"l.{name}"))
 
+def upsert_changes(base, updates, keys, order=(), keep=("created_at",), null_safe=True):
+    """M3 / M8: what an upsert changes; the base must have one row per key.
+
+    Of the base only keys and hashes meet the updates' keys, which are
+    broadcast while they are few; then the rows of changed keys are fetched.
+    """
+    incoming = staged(with_hash_diff(first_per_key(updates, keys, order)), "incoming")
+    slim = base if "dv_hashdiff" in base.columns else base.withColumn("dv_hashdiff", F.lit(None).cast("string"))
+    known = semi(slim.select(*keys, "dv_hashdiff"), small_side(incoming.select(*keys)), keys, null_safe)
+    known = known.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("dv_hashdiff").alias("__hash"), F.lit(True).alias("__there"))
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(k).eqNullSafe(F.col(f"__{k}")) if null_safe else F.col(k) == F.col(f"__{k}") for k in keys],
+    )
+    new = F.col("__there").isNull()
+    tagged = incoming.join(staged(known, "known"), same, "left").where(new | ~F.col("dv_hashdiff").eqNullSafe(F.col("__hash")))
+    tagged = staged(tagged.select(*incoming.columns, new.alias("__new")), "tagged")
+    inserts, fresh = (tagged.where(c).drop("__new") for c in ("__new", "not __new"))
+    reached = small_side(fresh.select(*keys))
+    before = semi(base, reached, keys, null_safe)
     names = [*base.columns, *[name for name in incoming.columns if name not in base.columns]]
-    return both.select(*[next_value(name).alias(name) for name in names])
+    taken = [c for c in incoming.columns if c not in base.columns or c not in (*keys, *keep)]
+    both = before.alias("l").join(small_side(fresh).alias("r"), keys_equal("l", "r", keys, null_safe))
+    after = both.select(*[F.col(f"{'r' if name in taken else 'l'}.{name}") for name in names])
+    return Changes(anti(base, reached, keys, null_safe), inserts, before, after)
 
 
 def scd2(base, updates, schema, keys, as_of, reopen=True, order=()):
@@ -83,11 +137,18 @@ def scd2(base, updates, schema, keys, as_of, reopen=True, order=()):
     itself. With ``reopen=False`` a payload that was ever seen is never opened
     again.
     """
+    if base is None:
+        return _versions(updates, schema, keys, as_of, order)
+    return scd2_changes(base, updates, schema, keys, as_of, reopen, order).state()
+
+
+def _versions(updates, schema, keys, as_of, order):
+    """One row per key of the updates, as a version that is current from ``as_of``."""
     day = F.lit(as_of).cast("date")
     hashed = with_hash_diff(
         enforce_schema(updates, schema), exclude=("created_at", "updated_at")
     )
-    incoming = first_per_key(hashed, keys, order).withColumns(
+    return first_per_key(hashed, keys, order).withColumns(
         {
             "dv_status": F.lit(1),
             "dv_valid_from": F.coalesce(F.col("dv_valid_from"), day)
@@ -96,27 +157,23 @@ def scd2(base, updates, schema, keys, as_of, reopen=True, order=()):
             "dv_valid_to": F.lit(None).cast("date"),
         }
     )
-    if base is None:
-        return incoming
-    if reopen:
-        fresh = anti(incoming, base.where("dv_status = 1"), [*keys, "dv_hashdiff"])
-    else:
-        fresh = anti(incoming, base, ["dv_hashdiff"])
-    arriving = fresh.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct().withColumn(
-        "__arrives", F.lit(True)
-    )
-    closes = (F.col("dv_status") == 1) & F.col("__arrives").isNotNull()
-    kept = (
-        base.join(arriving, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left")
-        .withColumns(
-            {
-                "dv_status": F.when(closes, 0).otherwise(F.col("dv_status")),
-                "dv_valid_to": F.when(closes, F.date_sub(day, 1)).otherwise(F.col("dv_valid_to")),
-            }
-        )
-        .select(*base.columns)
+
+
+def scd2_changes(base, updates, schema, keys, as_of, reopen=True, order=()):
+    """M5 / M8: what ``scd2`` changes: versions it closes, before and after, and versions it opens."""
+    incoming = staged(_versions(updates, schema, keys, as_of, order), "incoming")
+    seen_by = [*keys, "dv_hashdiff"] if reopen else ["dv_hashdiff"]
+    seen = (base.where("dv_status = 1") if reopen else base).select(*seen_by)
+    known = semi(seen, small_side(incoming.select(*seen_by)), seen_by, null_safe=True)
+    fresh = staged(anti(incoming, staged(known, "known"), seen_by).select(*base.columns), "fresh")
+    arriving = small_side(fresh.select(*keys))
+    current = F.col("dv_status").eqNullSafe(1)
+    before = semi(base.where(current), arriving, keys, null_safe=True)
+    after = before.withColumns(
+        {"dv_status": F.lit(0).cast(base.schema["dv_status"].dataType), "dv_valid_to": F.date_sub(F.lit(as_of).cast("date"), 1)}
     )
-    return kept.unionByName(fresh.select(*base.columns))
+    kept = base.where(~current).unionByName(anti(base.where(current), arriving, keys))
+    return Changes(kept, fresh, before, after.select(*base.columns))
 
 
 def valid_at(history, moment):
@@ -195,7 +252,7 @@ def change_feed(before, after, keys, version, exclude=("created_at", "updated_at
 def split_feed(feed, after_version=None):
     """M8: rows to upsert and rows to delete since a processed version."""
     seen = feed if after_version is None else feed.where(F.col("_commit_version") > after_version)
-    plain = lambda df: df.drop("_change_type", "_commit_version", "_commit_timestamp")
+    plain = lambda df: df.drop(*FEED)
     return (
         plain(seen.where("_change_type in ('insert', 'update_postimage')")),
         plain(seen.where("_change_type = 'delete'")),

@@ -1,5 +1,7 @@
 """Sinks (S9, S11-S13) and the high-water log (M9)."""
 
+import logging
+
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -8,6 +10,30 @@ from ledgerloom.operators.dedupe import first_per_key
 from ledgerloom.operators.frames import enforce_schema
 from ledgerloom.sources.staging import staged
 
+LOG = logging.getLogger(__name__)
+
+
+def roots_read(df):
+    """The folders that a frame reads, from its plan (no job)."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = set()
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and "location" in dir(leaf.relation()):
+            paths = leaf.relation().location().rootPaths()
+            found.update(str(paths.apply(i).toString()) for i in range(paths.size()))
+    return found
+
+
+def _not_its_own(df, contract):
+    """Refuse to replace a table by a frame that reads it; log what replaces it."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(contract.location)
+    target = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    read = roots_read(df)
+    if any(f"{root}/".startswith(f"{target}/") for root in read):
+        raise ValueError(f"the frame reads {target}, which it is to replace; stage it first")
+    LOG.info("replacing %s by rows of %s", target, sorted(read))
+
 
 def table_state(spark, contract):
     """The table as it is, empty by its declared schema before the first load.
@@ -50,6 +76,7 @@ def replace_partitions(df, contract):
 
     The frame must not read from the location it replaces; stage it first.
     """
+    _not_its_own(df, contract)
     (
         _for_layout(df, contract.partition_by)
         .write.format(contract.format)
@@ -64,21 +91,35 @@ def replace_partitions(df, contract):
 def merge_write(spark, contract, updates, keys, step, version=None, committed=None):
     """M3 / M5 / M8 in one call: merge the updates into a table and give the changes.
 
-    Only partitions that the updates reach are read, merged and replaced.
-    ``step(base, updates)`` is the next state of that part (``merge.upsert``,
-    ``merge.scd2``); it is staged before the table it came from is touched. A key
-    must not move between partitions. The change feed compares the part alone.
+    Only partitions that the updates reach are read. ``step(base, updates)`` is
+    what the merge does to that part, as ``merge.Changes`` (``merge.upsert_changes``,
+    ``merge.scd2_changes``), or its next state. With changes only partitions that
+    really change are rewritten, none where nothing does, and the feed is
+    the changes; a next state is compared with the part. What replaces a partition is
+    staged first, and its location logged, so a broken write can be repeated
+    from there. A key must not move between partitions.
     """
     base = table_state(spark, contract)
     reached = merge.touched(base, updates, contract.partition_by) if contract.partition_by else base
-    before = staged(reached, "before")
-    after = staged(enforce_schema(step(before, updates), contract.struct_type or before.schema), "after")
-    (replace_partitions if contract.partition_by else replace_all)(after, contract)
-    return merge.change_feed(before, after, keys, version, committed=committed)
+    replace = replace_partitions if contract.partition_by else replace_all
+    result = step(reached, updates)
+    if not isinstance(result, merge.Changes):
+        before = staged(reached, "before")
+        after = staged(enforce_schema(step(before, updates), contract.struct_type or before.schema), "after")
+        replace(after, contract)
+        return merge.change_feed(before, after, keys, version, committed=committed)
+    changes = result.staged()
+    changed = changes.changed()
+    if not changed.isEmpty():
+        kept = merge.touched(changes.kept, changed, contract.partition_by) if contract.partition_by else changes.kept
+        after = kept.unionByName(changed, allowMissingColumns=True)
+        replace(staged(enforce_schema(after, contract.struct_type or base.schema), "after"), contract)
+    return changes.feed(version, committed)
 
 
 def replace_all(df, contract):
-    """Truncate and insert."""
+    """Truncate and insert; the frame must not read the table."""
+    _not_its_own(df, contract)
     (
         _for_layout(df, contract.partition_by)
         .write.format(contract.format)
