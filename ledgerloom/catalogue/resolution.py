@@ -10,6 +10,7 @@ from ledgerloom.contract import TableContract
 from ledgerloom.functions.keys import hash_key
 from ledgerloom.functions.text import pure_name
 from ledgerloom.operators import merge, resolve
+from ledgerloom.operators.joins import anti
 from ledgerloom.operators.similarity import blocking_features, levenshtein_match, matched_names
 from ledgerloom.plans import golden
 from ledgerloom.plans.vault import company_hub, load_history
@@ -422,3 +423,22 @@ def golden_incremental(spark, sf_dir):
         keys, satellite(spark, sf_dir), GOLDEN_ORDER, verified=verified
     )
     return again.select("dv_hashkey_company", "jurisdiction", "status", "legal_form")
+
+
+@query("golden_by_load", f"with {GOLDEN} select {', '.join(GOLDEN_COLUMNS)} from golden")
+def golden_by_load(spark, sf_dir):
+    """A second load and matches that came with it reach some survivors; only those are folded again."""
+    keys, rows = bridge(spark, sf_dir), satellite(spark, sf_dir)
+    late = keys.where("from_key is not null and crc32(from_key) % 2 = 0")
+    alone = late.select("jurisdiction", F.col("from_key").alias("to_key")).union(late.select("jurisdiction", "to_key"))
+    alone = alone.distinct().withColumn("from_key", F.lit(None).cast("string"))
+    columns = ["to_key", "from_key", "jurisdiction"]
+    before = keys.where("from_key is null or crc32(from_key) % 2 <> 0").select(*columns).unionByName(alone)
+    first, second = rows.where("k % 3 <> 0"), rows.where("k % 3 = 0")
+    state = staged(golden.fold_state(first, GOLDEN_ORDER), "golden-state")
+    records = staged(golden.golden_record(before, first, GOLDEN_ORDER), "golden-records")
+    moved = late.select(*columns).unionByName(alone)
+    _, again, gone = golden.golden_changes(state, keys, second, moved, GOLDEN_ORDER)
+    key = ["dv_hashkey_company", "jurisdiction"]
+    now = anti(records, gone, key).unionByName(again)
+    return now.withColumn("category", F.array_join("category", "|")).select(*GOLDEN_COLUMNS)

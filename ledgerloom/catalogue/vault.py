@@ -11,7 +11,10 @@ from ledgerloom.functions.keys import audit_columns, hash_key
 from ledgerloom.functions.text import pure_name
 from ledgerloom.operators import merge
 from ledgerloom.operators.dedupe import first_per_key
+from ledgerloom.operators.history import versions_at
 from ledgerloom.plans.vault import load_history, load_hub, load_satellite
+from ledgerloom.sources import buckets
+from ledgerloom.sources.staging import new_location
 
 HUB_KEYS = ["jurisdiction", "dv_hashkey_company"]
 HUB_COLUMNS = [
@@ -30,6 +33,26 @@ def hub_company_load(spark, sf_dir):
     return base.unionByName(added).select(*HUB_COLUMNS)
 
 
+def _declared(name, location, df):
+    columns = tuple({"name": f.name, "type": f.dataType.typeName()} for f in df.schema.fields)
+    return TableContract(name=name, location=location, columns=columns)
+
+
+@query(
+    "bucketed_hub_load",
+    f"with {HUB} select {', '.join(HUB_COLUMNS)} from hub",
+)
+def bucketed_hub_load(spark, sf_dir):
+    """The hub in buckets by its hash key: three loads, the last of which brings nothing new."""
+    rows = hub(spark, sf_dir, "supplier").select(*HUB_COLUMNS)
+    contract = _declared("h_company_bucketed", new_location(spark, "hub-buckets"), rows)
+    keys, dealt = HUB_KEYS, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for source in ("supplier", "customer", "customer"):
+        load = hub(spark, sf_dir, source).select(*HUB_COLUMNS)
+        buckets.append_bucketed(buckets.merge_hub(spark, contract, load, keys, dealt), contract, keys, dealt)
+    return buckets.bucketed(spark, contract, keys, dealt)
+
+
 @query(
     "hub_insert_only_rerun",
     f"""with {HUB}, first_batch as (
@@ -209,6 +232,12 @@ def pit_lookup(spark, sf_dir):
 )
 def gold_upsert_hashdiff(spark, sf_dir):
     """Changed rows are replaced but keep their creation date, new ones come in."""
+    first, second = _customer_batches(spark, sf_dir)
+    state = merge.upsert(None, first, ["id"])
+    return merge.upsert(state, second, ["id"])
+
+
+def _customer_batches(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     renamed = "case when c_mktsegment = 'BUILDING' then 'CONSTRUCTION' else c_mktsegment end"
     first = customer.where("c_acctbal >= 0").selectExpr(
@@ -219,8 +248,83 @@ def gold_upsert_hashdiff(spark, sf_dir):
         "c_custkey as id", "c_name as name", f"{renamed} as segment",
         "date '2024-02-01' as created_at", "'second' as dv_source_version",
     )
-    state = merge.upsert(None, first, ["id"])
-    return merge.upsert(state, second, ["id"])
+    return first, second
+
+
+@query(
+    "upsert_change_feed",
+    """with changed as (
+        select c_custkey as id, c_name as name, c_mktsegment as old, c_acctbal < 0 as fresh,
+            case when c_mktsegment = 'BUILDING' then 'CONSTRUCTION' else c_mktsegment end as new
+        from customer
+    )
+    select id, name, new as segment, date '2024-02-01' as created_at, 'second' as dv_source_version,
+        'insert' as _change_type, 2::bigint as _commit_version from changed where fresh
+    union all
+    select id, name, old, date '2024-01-01', 'first', 'update_preimage', 2 from changed where not fresh and old <> new
+    union all
+    select id, name, new, date '2024-01-01', 'second', 'update_postimage', 2 from changed where not fresh and old <> new""",
+)
+def upsert_change_feed(spark, sf_dir):
+    """M3 and M8 in one pass: the feed is what the merge has found, no states are compared."""
+    first, second = _customer_batches(spark, sf_dir)
+    changes = merge.upsert_changes(merge.upsert(None, first, ["id"]), second, ["id"])
+    return changes.feed(2).select(
+        "id", "name", "segment", "created_at", "dv_source_version", "_change_type", "_commit_version"
+    )
+
+
+SEGMENT = TableContract(
+    name="s_customer_segment",
+    location="",
+    unique_key="o_custkey",
+    columns=tuple(
+        {"name": name, "type": kind}
+        for name, kind in [
+            ("o_custkey", "long"), ("segment", "string"),
+            ("dv_status", "integer"), ("dv_valid_from", "date"), ("dv_valid_to", "date"),
+        ]
+    ),
+)
+
+
+@query(
+    "as_of_satellites",
+    f"""with {HISTORY}, s1 as (
+        select c_custkey as o_custkey, c_mktsegment as segment from customer where c_acctbal >= 0
+    ), s2 as (
+        select c_custkey as o_custkey,
+            case when c_mktsegment = 'BUILDING' then 'CONSTRUCTION' else c_mktsegment end as segment
+        from customer where c_custkey % 5 <> 0
+    ), opened as (select * from s2 where not exists (
+        select 1 from s1 where s1.o_custkey = s2.o_custkey and s1.segment = s2.segment)
+    ), segments as (
+        select s1.*, date '1995-01-01' as dv_valid_from, case when opened.o_custkey is not null
+            then date '1996-06-01' - 1 end as dv_valid_to
+        from s1 left join opened on s1.o_custkey = opened.o_custkey
+        union all
+        select *, date '1996-06-01', null from opened
+    )
+    select o.o_orderkey, h.o_orderstatus as status_then, h.dv_valid_from as status_since, s.segment as segment_then
+    from orders o
+    left join history h on h.o_custkey = o.o_custkey and h.dv_valid_from <= o.o_orderdate
+        and (h.dv_valid_to is null or h.dv_valid_to >= o.o_orderdate)
+    left join segments s on s.o_custkey = o.o_custkey and s.dv_valid_from <= o.o_orderdate
+        and (s.dv_valid_to is null or s.dv_valid_to >= o.o_orderdate)""",
+)
+def as_of_satellites(spark, sf_dir):
+    """Every order with its customer's status and segment at the time."""
+    customer = table(spark, sf_dir, "customer")
+    renamed = "case when c_mktsegment = 'BUILDING' then 'CONSTRUCTION' else c_mktsegment end"
+    first = customer.where("c_acctbal >= 0").selectExpr("c_custkey as o_custkey", "c_mktsegment as segment")
+    second = customer.where("c_custkey % 5 <> 0").selectExpr("c_custkey as o_custkey", f"{renamed} as segment")
+    segments = load_history(load_history(None, first, SEGMENT, "1995-01-01"), second, SEGMENT, "1996-06-01")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    satellites = {"status": history(spark, sf_dir), "segment": segments}
+    return versions_at(orders, "o_orderdate", satellites, ["o_custkey"]).select(
+        "o_orderkey", F.col("status.o_orderstatus").alias("status_then"),
+        F.col("status.dv_valid_from").alias("status_since"), F.col("segment.segment").alias("segment_then"),
+    )
 
 
 def _order_states(spark, sf_dir):
