@@ -28,6 +28,8 @@ SHIFT, SHARPNESS, SEED = 10.0, 1.0, 17
 #: Base of the hashes that find pieces, whose characters are then compared; weights are scaled by
 #: length to stay near one, which changes no share.
 HASH, SCALE = np.uint64(0x9E3779B97F4A7C15), 10.0
+#: Bits of a hash by which most places without a piece are seen at once.
+SIEVE = 20
 #: Words whose lattices a worker keeps before it starts anew.
 REMEMBERED = 200_000
 #: Bytes of text at a time, and characters from which the lattice of a word is not kept.
@@ -39,6 +41,13 @@ def codes(text):
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def _spans(begin, end):
+    """The numbers of all spans, one span after another, and where each span begins among them."""
+    size = end - begin
+    moved = np.cumsum(size) - size
+    return np.repeat(begin - moved, size) + np.arange(size.sum()), moved
+
+
 class Lattices:
     def __init__(self, path, sharpness=SHARPNESS):
         import sentencepiece
@@ -57,11 +66,15 @@ class Lattices:
         self.bytes = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         self.text = {i: p.replace(MARK, " ").encode() for p, i in pieces.items()}
         self.text.update({i: bytes([b]) for b, i in self.bytes.items()})
+        known = [self.text.get(i, b"") for i in range(model.get_piece_size())]
+        self.sizes = np.fromiter(map(len, known), np.int64, len(known))
+        self.starts, self.blob = np.cumsum(self.sizes) - self.sizes, np.frombuffer(b"".join(known), np.uint8)
         self.tables = self._tables()
         self._forget()
 
     def _forget(self):
         self.index = {}
+        self.uses = np.zeros(0, np.int64)  # of each word, halved whenever words are left out
         self.node_of = np.zeros(0, np.int64)  # last node of each word
         self.edges = np.zeros(1, np.int64)  # first edge into each node, and one more at the end
         self.cum = np.zeros(0, np.int64)  # of each edge: the share of the node's edges up to it, of 2 ** 32
@@ -69,6 +82,26 @@ class Lattices:
         self.first = np.zeros(1, np.int64)  # where the ids of an edge begin, and one more at the end
         self.ids = np.zeros(0, np.int32)
 
+    def _keep_used(self):
+        """Leave out words that have been used once, all if too many are left. What a word is cut into does not depend on it."""
+        kept = np.flatnonzero(self.uses > 1)
+        if not 0 < len(kept) <= REMEMBERED // 2:
+            return self._forget()
+        words = list(self.index)
+        begin = np.append(0, self.node_of[:-1] + 1)[kept]
+        nodes, moved = _spans(begin, self.node_of[kept] + 1)
+        degree = np.diff(self.edges)[nodes]
+        edges, _ = _spans(self.edges[begin], self.edges[self.node_of[kept] + 1])
+        ids, _ = _spans(self.first[self.edges[begin]], self.first[self.edges[self.node_of[kept] + 1]])
+        shift = np.repeat(np.repeat(begin - moved, self.node_of[kept] + 1 - begin), degree)
+        back, count = self.back[edges], np.diff(self.first)[edges]
+        self.back = np.where(back < 0, -1, back - shift).astype(np.int32)
+        self.cum, self.ids = self.cum[edges], self.ids[ids]
+        self.edges, self.first = np.append(0, np.cumsum(degree)), np.append(0, np.cumsum(count))
+        self.node_of = moved + self.node_of[kept] - begin
+        self.uses = self.uses[kept] // 2
+        self.index = {words[k]: i for i, k in enumerate(kept.tolist())}
+
     def _tables(self):
         """By length: sorted hashes of the pieces, their characters, ids and weights."""
         tables = {}
@@ -81,20 +114,23 @@ class Lattices:
                 hashes = hashes * HASH + chars[:, k].astype(np.uint64) + np.uint64(1)
             order = np.argsort(hashes, kind="stable")
             ids, weights = np.array([i for _, i, _ in rows], np.int32), np.array([w for _, _, w in rows])
-            tables[n] = hashes[order], chars[order], ids[order], weights[order] * SCALE**n
+            sieve = np.zeros(1 << SIEVE, bool)
+            sieve[hashes & np.uint64((1 << SIEVE) - 1)] = True
+            tables[n] = hashes[order], chars[order], ids[order], weights[order] * SCALE**n, sieve
         return tables
 
     def _edges(self, chars, place):
         """(last character, length, piece, weight) of all pieces in words that stand one after another."""
+        alone = chars.astype(np.uint64) + np.uint64(1)
         found, hashes = [], np.zeros(len(chars), np.uint64)
         for n in range(1, self.longest + 1):
-            longer = chars.astype(np.uint64) + np.uint64(1)
+            longer = alone.copy()
             longer[1:] += hashes[:-1] * HASH
             hashes = longer
             if n not in self.tables:
                 continue
-            table, own, ids, weights = self.tables[n]
-            last = np.flatnonzero(place >= n - 1)
+            table, own, ids, weights, sieve = self.tables[n]
+            last = np.flatnonzero(sieve[hashes & np.uint64((1 << SIEVE) - 1)] & (place >= n - 1))
             at = np.minimum(np.searchsorted(table, hashes[last]), len(table) - 1)
             hit = table[at] == hashes[last]
             last, at = last[hit], at[hit]
@@ -120,7 +156,7 @@ class Lattices:
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         place = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         last, length, piece, weight = self._edges(chars, place)
-        order = np.lexsort([-length, last])
+        order = np.argsort((last << 32) - length, kind="stable")
         last, length, piece, weight = last[order], length[order], piece[order], weight[order]
         degree = np.bincount(last, minlength=len(chars))
         rank = np.arange(len(last)) - np.repeat(np.cumsum(degree) - degree, degree)
@@ -170,11 +206,13 @@ class Lattices:
         flat = list(chain.from_iterable(words))
         distinct = set(flat)
         if len(self.index) + len(distinct) > REMEMBERED:
-            self._forget()
+            self._keep_used()
         fresh = [w for w in distinct if w not in self.index]
         if fresh:
             self._learn(fresh)
         which = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
+        self.uses = np.append(self.uses, np.zeros(len(self.index) - len(self.uses), np.int64))
+        self.uses += np.bincount(which, minlength=len(self.uses))
         doc = np.repeat(np.arange(len(texts)), sizes)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         state = common.mix(np.asarray(keys, np.uint64)[doc] + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -207,6 +245,21 @@ class Lattices:
             self._forget()
         return ids, np.diff(of_text)
 
+    def lossless(self, ids, counts, data, offsets):
+        """Whether decoding the ids of each text gives back its bytes, ``data`` from one offset to the next."""
+        sizes = self.sizes[ids]
+        ends = np.append(0, np.cumsum(sizes))
+        raw = self.blob[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
+        first = ends[np.append(0, np.cumsum(counts))]
+        same = np.diff(first) == np.diff(offsets) + 1  # a blank stands before the text
+        if same.all():
+            own = np.ones(len(raw), bool)
+            own[first[:-1]] = False
+            wrong = np.append(0, np.cumsum(raw[own] != data))
+            return np.diff(wrong[offsets]) == 0
+        pairs = zip(first[:-1].tolist(), first[1:].tolist(), offsets[:-1].tolist(), offsets[1:].tolist())
+        return np.array([s and np.array_equal(raw[a + 1 : b], data[c:d]) for s, (a, b, c, d) in zip(same.tolist(), pairs)])
+
     def decode(self, ids):
         raw = b"".join(map(self.text.__getitem__, ids))
         return raw[1:].decode()
@@ -231,10 +284,7 @@ def encode(df, model, text="text", key="doc_id", seed=SEED, sharpness=SHARPNESS)
             keys = batch.column("seed_key").to_numpy().view(np.uint64)
             ids, counts = code.sample(texts, keys, seed)
             offsets = np.append(0, np.cumsum(counts))
-            whole = ids.tolist()
-            same = [
-                code.decode(whole[a:b]) == t for t, a, b in zip(texts, offsets[:-1].tolist(), offsets[1:].tolist())
-            ]
+            same = code.lossless(ids, counts, *common.text_buffers(batch.column("text")))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), lists, pa.array(same)],

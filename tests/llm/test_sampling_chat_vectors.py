@@ -263,3 +263,25 @@ def test_classifier_edges(spark, edge_docs, edge_rows, empty_docs):
     none = kneser_ney.classify(edge_docs, labels.where("false")).collect()
     assert all(r.kept == (r.n_symbols > 0) and r.threshold is None for r in none)
     assert kneser_ney.classify(empty_docs, labels).count() == 0
+
+
+def test_words_left_out_do_not_change_a_segmentation(monkeypatch):
+    import random
+
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdeéß漢 .") for _ in range(rng.randrange(1, 12))) for _ in range(400)]
+    batches = [[" ".join(rng.choice(vocabulary[: rng.choice([20, 400])]) for _ in range(60)) for _ in range(5)] for _ in range(12)]
+    keys = np.arange(5, dtype=np.uint64)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    whole = [piece_sampling.Lattices(path).sample(texts, keys) for texts in batches]
+    monkeypatch.setattr(piece_sampling, "REMEMBERED", 150)
+    code = piece_sampling.Lattices(path)
+    for texts, (ids, counts) in zip(batches, whole):
+        got, lengths = code.sample(texts, keys)
+        assert np.array_equal(got, ids) and np.array_equal(lengths, counts)
+        raw = [t.encode() for t in texts]
+        data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw]))
+        assert code.lossless(ids, counts, data, offsets).all()
+        broken = ids.copy()
+        broken[0] = next(i for i in range(300, 400) if i != ids[0])
+        assert code.lossless(broken, counts, data, offsets).tolist() == [False, True, True, True, True]
