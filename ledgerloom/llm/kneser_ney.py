@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm import common
 from ledgerloom.llm.common import staged
+from ledgerloom.operators.batch import in_order, running_sum
+from ledgerloom.operators.joins import small_side
 
 SYMBOLS, ORDER = 40, 4
 START, UPPER, ACCENTED, OTHER, DIGIT, SPACE, LINE = 0, 27, 28, 29, 30, 31, 32
@@ -270,6 +272,21 @@ def text_losses(docs, spellings, table, weights):
     return found.groupBy("dig").agg(loss.alias("loss"))
 
 
+def quantiles(placed, within, quantile):
+    """The smallest value ``own`` of each group that ``quantile`` of its rows do not exceed, exactly, and their number n.
+
+    Ranks are running sums in two levels, so the result depends neither on the layout nor on a sketch.
+    """
+    ranked = running_sum(placed, "one", "part", ["place"], within, "rank")
+    if within:
+        sizes = staged(placed.groupBy(*within).agg(F.count(F.lit(1)).alias("n")), "sizes")
+        sizes = sizes.withColumnsRenamed({k: f"_{k}" for k in within})
+        both = ranked.join(small_side(sizes), [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in within])
+    else:
+        both = ranked.withColumn("n", F.lit(placed.count()))
+    return both.where(F.col("rank") == F.greatest(F.ceil(F.col("n") * quantile), F.lit(1)) - 1).drop(*[f"_{k}" for k in within])
+
+
 def trusted_ids(labels, key="doc_id"):
     """Keys that are labelled good and not toxic, and never otherwise."""
     own = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("trusted_id"))
@@ -366,8 +383,8 @@ class Classifier:
         common.ship(df.sparkSession)
         self.columns = text, key, lang
         docs = self._documents(df)
-        # a shuffle at every size: how much is trusted has no bound
-        good = staged(trusted_ids(labels, key), "trusted").hint("merge")
+        # how much is trusted has no bound: its keys are broadcast only while they are few
+        good = small_side(staged(trusted_ids(labels, key), "trusted"))
         trusted = staged(docs.join(good, docs["doc_id"] == F.col("trusted_id"), "left_semi").select("text", half().alias("half")), "texts")
         spellings = fit(text_of_tokens(trusted))
         table, weights = values(count_words(trusted, spellings))
@@ -380,13 +397,12 @@ class Classifier:
         trusted = self.scores.join(good, self.scores["doc_id"] == F.col("trusted_id"), "left_semi").where("n_symbols > 0")
         mean = trusted.agg(F.sum("loss") / F.sum("n_symbols")).first()[0]
         self.mean = math.log(SYMBOLS) if mean is None else mean
-        limit = F.percentile_approx(self._perplexity(), quantile, 10_000) * margin
-        self.overall = trusted.agg(limit).first()[0]
-        self.limits = staged(
-            trusted.groupBy("lang").agg(limit.alias("own"), F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") >= LEAST_TRUSTED).select(F.col("lang").alias("of"), "own"),
-            "limits",
-        )
+        judged = in_order(trusted.select("lang", self._perplexity().alias("own")), ["lang", "own"], "trusted-order")
+        judged = judged.withColumn("one", F.lit(1))
+        overall = quantiles(in_order(judged.select("own", "one"), ["own"], "trusted-order"), [], quantile).first()
+        self.overall = overall and overall["own"] * margin
+        by_lang = quantiles(judged, ["lang"], quantile).where(F.col("n") >= LEAST_TRUSTED)
+        self.limits = staged(by_lang.select(F.col("lang").alias("of"), (F.col("own") * margin).alias("own")), "limits")
 
     def _documents(self, df, *more):
         text, key, lang = self.columns
@@ -421,7 +437,8 @@ def classify(df, labels, **options):
 
     ``labels`` has the key, quality and toxic; the model is trained on all rows whose key is trusted.
     The perplexity is per symbol, with short texts drawn to the mean; a language's threshold is
-    ``margin`` times a quantile of its trusted documents. Null or empty texts have no perplexity and
+    ``margin`` times a quantile of its trusted documents, or of all trusted documents
+    where it has fewer than ``LEAST_TRUSTED`` of them. Null or empty texts have no perplexity and
     are not kept; a null language is a language; a null key is never trusted; repeated rows count
     as often as they occur. Without trusted text there is no threshold, and texts are kept.
     """

@@ -43,9 +43,8 @@ def op1(spark, sf_dir):
 
 @query("op2_quality_classifier")
 def op2(spark, sf_dir):
-    """The documents that the classifier keeps, with their perplexity and threshold."""
-    scores = kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scores.where("kept").drop("kept")
+    """All documents with their perplexity, their language's threshold, and whether they are kept."""
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query("op3_token_files")

@@ -83,3 +83,20 @@ def test_model_grows_with_trusted_text(spark):
         return kneser_ney.values(kneser_ney.count_words(docs, table))[0].count()
 
     assert grams(200) > 1.9 * grams(100) > 10_000
+
+
+def test_quantiles_are_exact(spark):
+    import math
+    import random
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "a", "a", None, "b"]), round(rng.random(), 2)) for _ in range(700)] + [("one", 5.0)]
+    df = spark.createDataFrame(rows, "lang string, own double").repartition(5)
+    placed = kneser_ney.in_order(df, ["lang", "own"]).withColumn("one", kneser_ney.F.lit(1))
+    for q in (0.0, 0.5, 0.995, 1.0):
+        want = {}
+        for lang in {r[0] for r in rows}:
+            own = sorted(r[1] for r in rows if r[0] == lang)
+            want[lang] = own[max(math.ceil(len(own) * q), 1) - 1], len(own)
+        got = {r["lang"]: (r["own"], r["n"]) for r in kneser_ney.quantiles(placed, ["lang"], q).collect()}
+        assert got == want
