@@ -529,7 +529,8 @@ def trade_entity(spark, sf_dir):
         coalesce(b.to_key, buyer_dv_hashkey_company) as buyer_id,
         coalesce(p.to_key, supplier_dv_hashkey_company) as supplier_id,
         coalesce(p.to_key, supplier_dv_hashkey_company) as shipper_id,
-        coalesce(code, 'dummy') as hs_code_ref, import_port, export_port
+        coalesce(code, 'dummy') as hs_code_ref, import_port, export_port,
+        '{LOAD_TS}' as dv_loaddts, '{LOAD_TS}' as created_at, '{LOAD_TS}' as updated_at
     from hashed_ship s join (select distinct * from l_bol) l on s.dv_hashkey_bol = l.dv_hashkey_bol
     left join moves b on b.from_key = buyer_dv_hashkey_company
     left join moves p on p.from_key = supplier_dv_hashkey_company
@@ -542,8 +543,9 @@ def trade_transaction(spark, sf_dir):
         "lpad(cast(p_partkey as string), 8, '0') as code"
     )
     links = shipment_links(spark, sf_dir).drop("dv_loaddts").distinct()
-    fact = marts.trade_transactions(rows, links, bridge(spark, sf_dir), codes)
+    fact = marts.trade_transactions(rows, links, bridge(spark, sf_dir), codes, LOAD_TS)
     return fact.select(
         "id", "bol", "value_usd", "yyyy", "yyyymm", "yyyymmdd", "buyer_id", "supplier_id", "shipper_id",
         "hs_code_ref", "import_port", "export_port",
+        *[F.col(c).cast("string").alias(c) for c in ("dv_loaddts", "created_at", "updated_at")],
     )

@@ -283,6 +283,17 @@ def frame_diff(spark, sf_dir):
     return profile.compare(*_two_orders(spark, sf_dir), ["o_orderkey"])
 
 
+@query(
+    "frame_diff_buckets",
+    f"""with {COMPARED} {_compared('o_orderstatus', 's1', 's2')} union all {_compared('o_orderpriority', 'p1', 'p2')}
+    union all select c, count(ak), count(bk), count(*), null, null, null, null, null, null
+        from j cross join (values ('o_custkey'), ('o_totalprice')) v(c) group by c""",
+)
+def frame_diff_buckets(spark, sf_dir):
+    """Q9 by checksums: only rows of buckets that differ meet."""
+    return profile.compare_buckets(*_two_orders(spark, sf_dir), ["o_orderkey"], 256)
+
+
 @query(
     "frame_diff_samples",
     f"""with {COMPARED} select ak as o_orderkey, 'o_orderstatus' as "column", s1 as left_value,

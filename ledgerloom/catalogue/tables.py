@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgerloom.catalogue.registry import query, table
 from ledgerloom.contract import SourceSpec, TableContract
 from ledgerloom.sources import readers, writers
+from ledgerloom.sources.ingest import ingest_new, stamped
 from ledgerloom.sources.staging import new_location, staged
 
 CUSTOMER_DDL = "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string"
@@ -197,3 +198,23 @@ def high_water_mark(spark, sf_dir):
     for version in (1, 2, 2):
         writers.advance(spark, log, version)
     return writers.unprocessed(feed, writers.last_version(spark, log))
+
+
+@query(
+    "ingest_new_parts",
+    """select o_orderkey, o_orderstatus, if(o_orderdate < '1996-01-01', 'first', 'second') as dv_source_version,
+        null as late from orders
+    union all select null, null, null, 0""",
+)
+def ingest_new_parts(spark, sf_dir):
+    """A folder that gets a second part between runs: each part is taken once, a run without a new part takes nothing."""
+    orders = table(spark, sf_dir, "orders")
+    columns = ["o_orderkey", "o_orderstatus"]
+    source, target, log = (new_location(spark, name) for name in ("parts", "taken", "taken-log"))
+    early = F.col("o_orderdate") < F.lit("1996-01-01")
+    for condition, version in ((early, "first"), (~early, "second")):
+        orders.where(condition).select(*columns).write.mode("append").parquet(source)
+        ingest_new(spark, source, target, log, orders.select(*columns).schema, transform=stamped(version))
+    again = ingest_new(spark, source, target, log, orders.select(*columns).schema, transform=stamped("third"))
+    rows = spark.read.parquet(target).select(*columns, "dv_source_version", F.lit(None).cast("int").alias("late"))
+    return rows.unionByName(spark.range(1).select(F.lit(again).cast("int").alias("late")), allowMissingColumns=True)

@@ -50,18 +50,20 @@ def running_sum(df, value, part, order, within=(), name="before"):
 def running_total(counts, count="cnt"):
     """Running sum of counts by size; equal counts share their sum.
 
-    The sum depends on the count alone, so the window runs over distinct
-    counts. With N rows in total there are fewer than sqrt(2 N) of them.
+    The sum depends on the count alone, so it runs over distinct counts, of
+    which N rows have fewer than sqrt(2 N), in two levels.
     """
     return _running(counts, count).drop("__total")
 
 
 def _running(counts, count):
     by_size = counts.groupBy(count).agg(F.sum(count).alias("size_total"))
-    sums = by_size.select(
+    placed = in_order(by_size, [F.col(count)], "sizes")
+    total = placed.agg(F.sum("size_total")).first()[0]
+    sums = running_sum(placed, "size_total", "part", ["place"], name="earlier").select(
         F.col(count).alias("__size"),
-        F.sum("size_total").over(Window.orderBy(count)).alias("running_sum"),
-        F.sum("size_total").over(Window.partitionBy()).alias("__total"),
+        (F.col("earlier") + F.col("size_total")).alias("running_sum"),
+        F.lit(total).cast("bigint").alias("__total"),
     )
     return counts.join(sums, F.col(count) == F.col("__size")).drop("__size")
 

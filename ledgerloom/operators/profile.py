@@ -1,12 +1,15 @@
 """Profiles of a frame and comparison of two (Q7, Q9, A10)."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType, DateType, DoubleType, FloatType, NumericType, StringType, TimestampNTZType, TimestampType,
 )
 
 from ledgerloom.operators.dedupe import first_per_key
-from ledgerloom.operators.joins import outer_compare
+from ledgerloom.operators.joins import outer_compare, small_side
+from ledgerloom.sources.staging import staged
 
 
 def _statistics(field):
@@ -162,6 +165,70 @@ def compare(left, right, keys):
     return row.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
 
 
+def bucket_sums(df, keys, columns, buckets):
+    """One row per bucket of keys: rows, and of each column two order-free checksums and the values that are not null.
+
+    Rows with a null key are in bucket -1. Only these sums move, one row a task and bucket.
+    """
+    return _bucketed(df, keys, buckets).groupBy("__bucket").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[
+            agg.alias(f"{kind}{i}")
+            for i, name in enumerate(columns)
+            for kind, agg in (
+                ("x", F.bit_xor(F.xxhash64(*keys, F.col(f"`{name}`")))),
+                ("s", F.sum(F.xxhash64(F.col(f"`{name}`"), *keys) % F.lit(1 << 31))),
+                ("n", F.count(F.col(f"`{name}`"))),
+            )
+        ],
+    )
+
+
+def _bucketed(df, keys, buckets):
+    whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    number = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+    return df.withColumn("__bucket", F.when(whole, number).otherwise(F.lit(-1)))
+
+
+def compare_buckets(left, right, keys, buckets=4096):
+    """Q9: ``compare``, joining only the rows of buckets whose checksums differ.
+
+    Keys must be unique on either side, as a frame's key is. A bucket whose
+    rows, checksums and numbers of values agree for every common column is
+    equal but for a collision of two 64-bit sums; its figures follow from its sums. So two
+    loads of a table that differ in a few places move a few buckets, not the table.
+    Common columns need the same type on both sides, else every bucket differs.
+    """
+    common = [c for c in left.columns if c in right.columns and c not in keys]
+    sums = [staged(bucket_sums(df, keys, common, buckets), "bucket-sums") for df in (left, right)]
+    names = [c for c in sums[0].columns if c != "__bucket"]
+    theirs = sums[1].select(F.col("__bucket").alias("__other"), *[F.col(c).alias(f"__{c}") for c in names])
+    agree = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names])
+    pairs = sums[0].join(theirs, F.col("__bucket") == F.col("__other"), "full_outer").withColumn(
+        "__equal", F.coalesce(agree & (F.col("__bucket") >= 0), F.lit(False))
+    )
+    pairs = staged(pairs, "bucket-pairs")
+    open_buckets = small_side(pairs.where("not __equal").select(F.coalesce("__bucket", "__other").alias("__bucket")))
+    rest = [_bucketed(df, keys, buckets).join(open_buckets, "__bucket", "left_semi").drop("__bucket") for df in (left, right)]
+    found = compare(*rest, keys)
+
+    same = pairs.where("__equal").agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(common))],
+    )
+    cells = [F.struct(F.lit(name).alias("__column"), "rows", F.col(f"n{i}").alias("values")) for i, name in enumerate(common)]
+    lonely = [c for c in [*left.columns, *right.columns] if (c in left.columns) != (c in right.columns)]
+    cells += [F.struct(F.lit(name).alias("__column"), "rows", F.lit(None).cast("bigint").alias("values")) for name in lonely]
+    settled = same.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    nulls = F.col("rows") - F.col("values")
+    more = {
+        "left_rows": F.col("rows"), "right_rows": F.col("rows"), "total_rows": F.col("rows"), "matching": F.col("values"),
+        "left_nulls": nulls, "right_nulls": nulls,
+    }
+    both = found.join(settled, F.col("column") == F.col("__column"))
+    return both.select(*[(F.col(c) + more[c]).alias(c) if c in more else F.col(c) for c in found.columns])
+
+
 def differences(left, right, keys, samples=5):
     """Q9: per column up to ``samples`` differing rows, the first by key."""
     common = [c for c in left.columns if c in right.columns and c not in keys]

@@ -1,9 +1,12 @@
 """Constraint suites, frame validation and orphan checks."""
 
 import operator
+from functools import reduce
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructType
 
+from ledgerloom.functions.keys import _written_out
 from ledgerloom.functions.text import _col
 from ledgerloom.operators.joins import anti
 
@@ -54,15 +57,15 @@ def _measure(check):
 def run_suite(df, suite):
     """Q1: one row per constraint with value and status.
 
-    All aggregates share one pass over the frame, each uniqueness check is one
-    grouping; the one-row results are unpivoted and put together by union.
-    A check on an absent column fails.
+    All aggregates share one pass over the frame, and all uniqueness checks one
+    grouping of their keys (``_unique_shares``); the one-row results are unpivoted
+    and put together by union. A check on an absent column fails.
     """
     present = set(df.columns)
     needs = lambda check: check.get("columns") or (
         [check["column"]] if "column" in check else []
     )
-    parts, single = [], []
+    single, unique = [], []
     for position, check in enumerate(suite):
         label = F.lit(_label(check)).alias("constraint")
         rule = check.get("predicate", ("==", 1.0))
@@ -70,32 +73,59 @@ def run_suite(df, suite):
         if not set(needs(check)) <= present:
             single.append((tagged, F.lit(None).cast("double")))
         elif check["check"] == "isUnique":
-            keys = needs(check)
-            groups = (
-                df.where(F.coalesce(*keys).isNotNull())
-                .groupBy(*keys)
-                .agg(F.count("*").alias("n"))
-                .agg(
-                    F.try_divide(F.count(F.when(F.col("n") == 1, 1)), F.sum("n")).alias("value")
-                )
-            )
-            parts.append(groups.select(_result(tagged, F.col("value"))))
+            unique.append((tagged, needs(check)))
         else:
             single.append((tagged, _measure(check)))
+    measured = []
     if single:
-        measured = df.agg(*[value.alias(f"v{i}") for i, (_, value) in enumerate(single)])
-        parts.append(
-            measured.select(
-                F.explode(F.array(*[_result(t, F.col(f"v{i}")) for i, (t, _) in enumerate(single)]))
-                .alias("result")
-            )
-        )
+        measured.append((df.agg(*[value.alias(f"v{i}") for i, (_, value) in enumerate(single)]), [t for t, _ in single]))
+    if unique:
+        measured.append((_unique_shares(df, [keys for _, keys in unique]), [t for t, _ in unique]))
+    parts = [
+        row.select(F.explode(F.array(*[_result(t, F.col(f"v{i}")) for i, t in enumerate(tags)])).alias("result"))
+        for row, tags in measured
+    ]
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.union(part)
     return rows.select("result.*").orderBy("position").drop("position")
 
 
+def _unique_shares(df, checks):
+    """One row with v0, v1, ...: of each check's keys, the share of rows whose key occurs once.
+
+    A row gives one cell per check, its number and its key written out with
+    lengths, so the frame is read once however many checks there are, and
+    keys are counted in every map task before they move. Rows whose keys are all null do not count.
+    """
+    fields = {f.name: f for f in df.schema.fields}
+    cells = [
+        F.when(
+            reduce(operator.or_, [F.col(f"`{k}`").isNotNull() for k in keys]),
+            F.struct(F.lit(i).alias("check"), F.concat_ws(";", *[_written_out(_key_text(fields[k])) for k in keys]).alias("key")),
+        )
+        for i, keys in enumerate(checks)
+    ]
+    counted = (
+        df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
+        .groupBy("cell.check", "cell.key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    shares = counted.groupBy("check").agg(
+        F.try_divide(F.count(F.when(F.col("n") == 1, 1)), F.sum("n")).alias("share")
+    )
+    return shares.agg(*[F.max(F.when(F.col("check") == i, F.col("share"))).alias(f"v{i}") for i in range(len(checks))])
+
+
+def _key_text(field):
+    """A key as text, equal for equal values: both zeros of a float are one."""
+    if isinstance(field.dataType, (DoubleType, FloatType)):
+        return (F.col(f"`{field.name}`") + F.lit(0.0)).cast("string")
+    if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+        return F.to_json(F.col(f"`{field.name}`"))
+    return F.col(f"`{field.name}`").cast("string")
+
+
 def _result(tagged, value):
     position, label, (symbol, expected) = tagged
     passes = F.coalesce(PREDICATES[symbol](value, F.lit(float(expected))), F.lit(False))

@@ -343,8 +343,12 @@ def trade_entities(golden, flags, lookup, load_ts=None):
     )
 
 
-def trade_transactions(shipments, links, bridge, hscodes):
-    """The shipment fact with survivor parties, date keys and HS reference."""
+def trade_transactions(shipments, links, bridge, hscodes, load_ts=None):
+    """The shipment fact with survivor parties, date keys, HS reference, and load, creation and update stamps.
+
+    All three stamps are the time of the run, now by default; the shipment's own load time goes.
+    """
+    now = F.current_timestamp() if load_ts is None else F.lit(load_ts).cast("timestamp")
     parties = {"buyer": "buyer_id", "supplier": "supplier_id", "shipper": "shipper_id"}
     pointed = repoint(
         links, bridge, [f"{role}_dv_hashkey_company" for role in parties]
@@ -356,13 +360,14 @@ def trade_transactions(shipments, links, bridge, hscodes):
     ).where("buyer_id is not null and supplier_id is not null")
     codes = hscodes.select(F.col("code").alias("__code")).distinct()
     return (
-        shipments.drop("dv_loaddts")
+        shipments.drop("dv_loaddts", "created_at", "updated_at")
         .withColumns(date_keys("actual_arrival_date"))
         .join(pointed, "dv_hashkey_bol")
         .join(small_side(codes), F.col("hs_code") == F.col("__code"), "left")
         .withColumn("hs_code_ref", F.coalesce("__code", F.lit("dummy")))
         .drop("__code")
         .withColumnRenamed("dv_hashkey_bol", "id")
+        .withColumns({"dv_loaddts": now, "created_at": now, "updated_at": now})
     )
 
 
