@@ -9,8 +9,8 @@
 3. Every vector goes to its nearest list and, where it lies at a border, to up to
    ``REPLICAS`` lists: those not much further than the nearest whose centroids are not nearer to
    a list already chosen.
-4. A query visits the lists within ``RATIO`` times the distance of its nearest centroid, as many as
-   ``PROBES`` or the share ``SHARE`` of all lists, whichever is more, so they follow the number of lists. A query
+4. A query's nearest centroids are found in the graph; it visits the lists within ``RATIO`` times the distance
+   of the nearest, as many as ``PROBES`` or the share ``SHARE`` of all lists, whichever is more, so they follow the number of lists. A query
    that has found fewer than ``k`` then visits all lists. Lists are
    paged by a hash, and a task streams queries past one page of vectors at a time, so neither
    long lists nor many queries have to fit memory. Distances are exact, in double precision.
@@ -27,7 +27,9 @@ from ledgerloom.llm.common import staged
 SAMPLE, MOST_LISTS, LIST_SIZE = 65_536, 8192, 128
 NEIGHBOURS, POOL, SEEDS = 24, 96, 16
 REPLICAS, SPREAD = 8, 1.15
-RATIO, PROBES, SHARE = 1.6, 64, 0.0625
+RATIO, PROBES, SHARE = 1.6, 96, 0.0625
+#: Centroids that a query's search holds, as a multiple of those it visits, and how many it expands at a time.
+SLACK, WIDTH = 1.25, 8
 #: Vectors of a list that are compared with a query at a time.
 PAGE = 2048
 
@@ -99,8 +101,11 @@ class Graph:
                 self.links[lo + i, : len(keep)] = keep
         self.seeds = np.unique(np.linspace(0, n - 1, SEEDS).astype(int))
 
-    def search(self, x, pool=POOL):
-        """For each vector its nearest centroids as found, nearest first (-1 where none), with distances."""
+    def search(self, x, pool=POOL, width=1):
+        """For each vector its nearest centroids as found, nearest first (-1 where none), with distances.
+
+        The ``width`` nearest centroids that are not expanded yet are expanded at a time, until the pool has none.
+        """
         n = len(x)
         ids = np.tile(self.seeds, (n, 1))
         dist = squared(x, self.centroids[self.seeds])
@@ -109,18 +114,20 @@ class Graph:
         out_ids, out_dist = np.full((n, pool), -1), np.full((n, pool), np.inf)
         while len(active):
             open_ = np.where(seen | (ids < 0), np.inf, dist)
-            pick = open_.argmin(1)
-            row = np.arange(len(active))
-            done = ~np.isfinite(open_[row, pick])
+            some = min(width, open_.shape[1])
+            pick = np.argpartition(open_, some - 1, axis=1)[:, :some] if some > 1 else open_.argmin(1)[:, None]
+            row = np.arange(len(active))[:, None]
+            done = ~np.isfinite(open_[row, pick]).any(1)
             if done.any():
                 w = ids.shape[1]
                 out_ids[active[done], :w], out_dist[active[done], :w] = ids[done], dist[done]
                 active, ids, dist, seen, pick = (a[~done] for a in (active, ids, dist, seen, pick))
-                row = np.arange(len(active))
+                row = np.arange(len(active))[:, None]
                 if not len(active):
                     break
+            closed = seen[row, pick] | (ids[row, pick] < 0)
             seen[row, pick] = True
-            new = self.links[ids[row, pick]]
+            new = np.where(closed[:, :, None], -1, self.links[ids[row, pick]]).reshape(len(active), -1)
             gap = self.centroids[new] - x[active][:, None, :]
             far = np.where(new < 0, np.inf, np.einsum("ijk,ijk->ij", gap, gap))
             ids, dist = np.concatenate([ids, new], 1), np.concatenate([dist, far], 1)
@@ -152,23 +159,19 @@ class Graph:
         return who, ids[who, place]
 
     def query_lists(self, x):
-        """Pairs (vector, list) for the lists that a query visits, by the distances of all centroids.
-
-        The list that the vector itself was put in first, as the graph found it, is one of them.
-        """
+        """Pairs (vector, list) for the lists that a query visits: the nearest ones that the graph finds, pruned by distance ratio."""
         if not len(x):
             return np.zeros(0, int), np.zeros(0, int)
-        own = self.search(x, 4 * REPLICAS)[0][:, 0]
         probes = max(PROBES, int(np.ceil(SHARE * len(self.centroids))))
-        found = []
+        pool = max(POOL, int(np.ceil(SLACK * probes)))
+        who, lists = [], []
         for lo in range(0, len(x), 256):
-            dist = np.sqrt(squared(x[lo : lo + 256], self.centroids))
-            near = np.argsort(dist, axis=1, kind="stable")[:, :probes]
-            far = np.take_along_axis(dist, near, 1)
-            who, place = np.nonzero(far <= RATIO * far[:, :1] + 1e-12)
-            found.append((who + lo) * len(self.centroids) + near[who, place])
-        pairs = np.unique(np.concatenate([*found, np.arange(len(x)) * len(self.centroids) + own]))
-        return pairs // len(self.centroids), pairs % len(self.centroids)
+            ids, dist = self.search(x[lo : lo + 256], pool, WIDTH)
+            ids, dist = ids[:, :probes], dist[:, :probes]
+            row, place = np.nonzero((ids >= 0) & (dist <= RATIO * dist[:, :1] + 1e-12))
+            who.append(row + lo)
+            lists.append(ids[row, place])
+        return np.concatenate(who), np.concatenate(lists)
 
     def all_lists(self, x):
         n = len(self.centroids)
