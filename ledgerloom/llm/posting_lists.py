@@ -29,7 +29,7 @@ NEIGHBOURS, POOL, SEEDS = 24, 96, 16
 REPLICAS, SPREAD = 8, 1.15
 RATIO, PROBES, SHARE = 1.6, 96, 0.0625
 #: Centroids that a query's search holds, as a multiple of those it visits, and how many it expands at a time.
-SLACK, WIDTH = 1.25, 8
+SLACK, WIDTH = 3, 8
 #: Vectors of a list that are compared with a query at a time.
 PAGE = 2048
 
