@@ -8,6 +8,7 @@ from ledgerloom.catalogue.samples import COMPANY, companies, pure_sql, stripped_
 from ledgerloom.functions import arrays, codes, contacts, dates, fixed, text
 from ledgerloom.functions.keys import audit_columns
 from ledgerloom.operators import frames
+from ledgerloom.plans import bronze
 
 
 def _clean_sql(column):
@@ -182,11 +183,9 @@ def json_array_roundup(spark, sf_dir):
     records = F.expr(
         """concat('[{"name":"', event_type, '","status":"A"},{"name":"u', event_id % 7, '"}]')"""
     )
-    names = table(spark, sf_dir, "events").select(
-        "user_id", F.explode(F.from_json(records, contacts.NAME_RECORD_SCHEMA)).alias("r")
-    )
-    return names.groupBy("user_id").agg(
-        F.array_join(F.array_sort(F.collect_set("r.name")), "|").alias("other_names")
+    named = table(spark, sf_dir, "events").select(F.col("user_id").alias("organization_number"), records.alias("assumed_names"))
+    return bronze.kentucky_other_names(named).select(
+        F.col("organization_number").alias("user_id"), F.array_join("other_names", "|").alias("other_names")
     )
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalogue.registry import query, table
 from ledgerloom.contract import TableContract
-from ledgerloom.operators import batch, profile, quality, reconcile
+from ledgerloom.operators import batch, profile, quality, reconcile, sketches
 from ledgerloom.operators.joins import keep_values
 
 SUITE = [
@@ -357,3 +357,42 @@ def value_set_filter(spark, sf_dir):
 def cumulative_share(spark, sf_dir):
     counts = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("cnt"))
     return batch.running_total(counts)
+
+
+@query(
+    "profile_by_load",
+    """with c as (select 'o_orderstatus' as "column", count(*) as rows, count(*) - count(o_orderstatus) as nulls,
+            null::double as least, null::double as most from orders
+        union all select 'o_custkey', count(*), count(*) - count(o_custkey), min(o_custkey), max(o_custkey) from orders
+        union all select 'o_totalprice', count(*), count(*) - count(o_totalprice), min(o_totalprice), max(o_totalprice)
+            from orders)
+    select *, true as distinct_close, true as median_close, case when "column" = 'o_orderstatus' then
+        (select string_agg(s || '=' || n, ',' order by s) from (select o_orderstatus as s, count(*) as n from orders group by 1))
+        end as values_of from c""",
+)
+def profile_by_load(spark, sf_dir):
+    """Three loads, a state each, merged: exact figures, and sketches within their stated errors."""
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", "o_custkey", "o_totalprice", "o_orderkey")
+    loads = [sketches.profile_state(orders.where(F.col("o_orderkey") % 3 == i).drop("o_orderkey")) for i in range(3)]
+    merged = sketches.profile_of(sketches.merge_states(loads[0].unionByName(loads[1]).unionByName(loads[2])))
+    names = ["o_orderstatus", "o_custkey", "o_totalprice"]
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in names])
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).alias("n")) for c in names])).alias("x")).select("x.*")
+    medians = merged.where("quantiles is not null").select("column", F.get("quantiles", F.lit(1)).alias("median"))
+    numbers = orders.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in names[1:]
+    ])).alias("x")).select("x.*").join(F.broadcast(medians), "column")
+    ranks = numbers.groupBy(F.col("column").alias("of")).agg(
+        F.avg((F.col("value") < F.col("median")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("median")).cast("double")).alias("upto"),
+    )
+    both = merged.join(exact, F.col("column") == F.col("of")).drop("of").join(ranks, F.col("column") == F.col("of"), "left")
+    error = sketches.RANK_ERROR
+    return both.select(
+        "column", "rows", "nulls", "least", "most",
+        (F.abs(F.col("distinct_values") - F.col("n")) <= F.greatest(F.col("n") * sketches.DISTINCT_ERROR, F.lit(1))).alias("distinct_close"),
+        F.coalesce((F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error), F.lit(True)).alias("median_close"),
+        F.when(F.col("column") == names[0], F.array_join(F.array_sort(F.transform(
+            "top", lambda x: F.concat(x["item"], F.lit("="), x["count"].cast("string"))
+        )), ",")).alias("values_of"),
+    )

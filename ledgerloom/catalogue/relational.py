@@ -328,6 +328,26 @@ def collected_aliases(spark, sf_dir):
     )
 
 
+@query(
+    "alias_rows",
+    """select distinct o_custkey, 'o_orderpriority' as "column", o_orderpriority as value from orders
+    union all select distinct o_custkey, 'o_orderstatus', o_orderstatus from orders""",
+)
+def alias_rows(spark, sf_dir):
+    """The values of a key as rows, where a key may have more of them than a cell holds."""
+    return nesting.value_rows(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderpriority", "o_orderstatus"])
+
+
+@query(
+    "nested_children",
+    """select o_custkey, o_orderstatus, o_orderpriority, count(*) as copies from orders group by all""",
+)
+def nested_children(spark, sf_dir):
+    """A3 as a table of its own: the nested rows of a key with their numbers, none of them in one cell."""
+    rows = nesting.child_rows(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderstatus", "o_orderpriority"])
+    return rows.select("o_custkey", "item.o_orderstatus", "item.o_orderpriority", "copies")
+
+
 @query(
     "basic_aggregates",
     """select l_returnflag, count(*) as n, count(distinct l_suppkey) as suppliers,

@@ -62,3 +62,10 @@ def struct_of_firsts(df, keys, columns, order, alias):
 def joined_values(column, separator="; "):
     """A5: distinct values as one sorted text; copies merge before the shuffle."""
     return F.array_join(F.array_sort(F.collect_set(column)), separator)
+
+
+def value_rows(df, keys, columns):
+    """A5 as a table of its own: (keys, column, value), each value of a key once, in as many rows as there are."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]
+    rows = df.select(*keys, F.explode(F.array(*cells)).alias("cell")).select(*keys, "cell.*")
+    return rows.where(F.col("value").isNotNull()).distinct()

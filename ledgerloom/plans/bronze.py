@@ -406,14 +406,19 @@ def kentucky(df, load_date="20240904"):
     )
 
 
-def kentucky_other_names(df):
-    """Assumed names of each organisation."""
+def other_name_rows(df):
+    """B25 as a table of its own: each assumed name of an organisation once, in as many rows as there are."""
     names = df.select(
         "organization_number",
         F.explode(F.from_json(F.col("assumed_names").cast("string"), contacts.NAME_RECORD_SCHEMA)).alias("n"),
     )
-    return names.groupBy("organization_number").agg(
-        F.array_sort(F.collect_set("n.name")).alias("other_names")
+    return names.select("organization_number", F.col("n.name").alias("other_name")).distinct()
+
+
+def kentucky_other_names(df):
+    """Assumed names of each organisation, sorted; names are made distinct before they meet."""
+    return other_name_rows(df).groupBy("organization_number").agg(
+        F.array_sort(F.collect_list("other_name")).alias("other_names")
     )
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import batch, profile, quality
+from ledgerloom.operators import batch, profile, quality, sketches
 from ledgerloom.sources.ingest import ingest_new, stamped
 from ledgerloom.sources.staging import new_location
 
@@ -137,3 +137,31 @@ def test_ingest_of_text_formats(spark):
     assert all(r["dv_file"].endswith(".csv") for r in got.collect())
     with pytest.raises(ValueError, match="no file format"):
         ingest_new(spark, source, target, log, "s string", "jdbc")
+
+
+# --- Q7 -----------------------------------------------------------------------------------------
+
+
+def test_profiles_of_loads_merge_into_that_of_their_union(spark):
+    generator = random.Random(12)
+    rows = [(i, generator.choice([None, generator.gauss(0, 50)]), generator.choice(["a"] * 5 + ["b", "c", None])) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, x double, s string")
+    loads = [sketches.profile_state(df.where(f"id % 4 = {i}")) for i in range(4)]
+    loads.append(sketches.profile_state(df.limit(0)))  # an empty load changes nothing
+    states = loads[0]
+    for more in loads[1:]:
+        states = states.unionByName(more)
+    got = {r["column"]: r for r in sketches.profile_of(sketches.merge_states(states), (0.1, 0.5, 0.9), 3).collect()}
+    values = {"id": [r[0] for r in rows], "x": [r[1] for r in rows], "s": [r[2] for r in rows]}
+    for name, own in values.items():
+        known = [v for v in own if v is not None]
+        r = got[name]
+        assert (r["rows"], r["nulls"]) == (6000, 6000 - len(known))
+        assert abs(r["distinct_values"] - len(set(known))) <= max(1, sketches.DISTINCT_ERROR * len(set(known)))
+        if name == "s":
+            assert r["least"] is None and r["quantiles"] is None
+            assert {(t["item"], t["count"]) for t in r["top"] if t["item"] is not None} >= {("a", own.count("a"))}
+        else:
+            assert (r["least"], r["most"]) == (min(known), max(known))
+            for share, q in zip((0.1, 0.5, 0.9), r["quantiles"]):
+                assert abs(sum(v <= q for v in known) / len(known) - share) <= sketches.RANK_ERROR
