@@ -109,15 +109,7 @@ moves as (select from_key, min(to_key) as to_key from bridge where from_key <> t
     where h.dv_hashkey_company not in (select from_key from moves)""",
 )
 def entity_company_doc(spark, sf_dir):
-    keys = bridge(spark, sf_dir)
-    everyone = parties(spark, sf_dir)
-    industry, links = _industries(spark, sf_dir, everyone)
-    documents = marts.company_documents(
-        resolved_hub(spark, sf_dir), keys,
-        golden_records(spark, sf_dir).drop("category"),
-        _addresses(spark, sf_dir, everyone), _sanctions(spark, sf_dir, everyone), industry, links,
-        _lookup(spark, sf_dir),
-    )
+    documents = _company_documents(spark, sf_dir)
     line = lambda *fields: lambda x: F.concat_ws("|", *[x[f].cast("string") for f in fields])
     shown = lambda column, *fields: F.array_join(
         F.array_sort(F.transform(column, line(*fields))), ";"
@@ -132,6 +124,54 @@ def entity_company_doc(spark, sf_dir):
     )
 
 
+def _company_documents(spark, sf_dir, parts=1):
+    keys = bridge(spark, sf_dir)
+    everyone = parties(spark, sf_dir)
+    industry, links = _industries(spark, sf_dir, everyone)
+    return marts.company_documents(
+        resolved_hub(spark, sf_dir), keys,
+        golden_records(spark, sf_dir).drop("category"),
+        _addresses(spark, sf_dir, everyone), _sanctions(spark, sf_dir, everyone), industry, links,
+        _lookup(spark, sf_dir), parts,
+    )
+
+
+@query(
+    "entity_company_parts",
+    f"""with {GOLDEN},{PARTY},{ADDRESS},{MOVES},
+    alive as (select dv_hashkey_company as id, jurisdiction from hub
+        where dv_hashkey_company not in (select from_key from moves)),
+    rows as (
+        select coalesce(m.to_key, a.dv_hashkey_company) as id, jurisdiction, 'address' as kind,
+            concat_ws('|', type, full_address, city) as line
+        from address a left join moves m on m.from_key = a.dv_hashkey_company
+        union all
+        select coalesce(m.to_key, p.dv_hashkey_company), p.jurisdiction, 'industry',
+            concat_ws('|', cast(length(p_type) % 2 as integer), p_type, lower(p_type))
+        from (select distinct p.dv_hashkey_company, p.jurisdiction, p_type from lineitem
+            join part on l_partkey = p_partkey join party p on p.source = 'supplier' and p.k = l_suppkey) p
+        left join moves m on m.from_key = p.dv_hashkey_company
+    )
+    select id, jurisdiction, kind, line, count(*) as copies, true as shared from rows join alive using (id, jurisdiction)
+    group by all""",
+)
+def entity_company_parts(spark, sf_dir):
+    """G1 in four parts a company: the nested rows of all its parts, none of which holds more than its share."""
+    documents = _company_documents(spark, sf_dir, 4)
+    line = lambda x, *fields: F.concat_ws("|", *[x[f].cast("string") for f in fields])
+    rows = None
+    for kind, column, fields in (("address", "addresses", ["type", "full_address", "city"]),
+                                 ("industry", "industries", ["type", "industry_code", "desc"])):
+        own = documents.select("id", "jurisdiction", "part", F.explode(column).alias("x"))
+        own = own.select("id", "jurisdiction", "part", F.lit(kind).alias("kind"), line(F.col("x"), *fields).alias("line"))
+        rows = own if rows is None else rows.unionByName(own)
+    # copies of a row are dealt to the parts in turn, so no part has two more of them than another
+    dealt = rows.groupBy("id", "jurisdiction", "kind", "line", "part").agg(F.count(F.lit(1)).alias("n"))
+    return dealt.groupBy("id", "jurisdiction", "kind", "line").agg(
+        F.sum("n").alias("copies"), (F.max("n") <= F.ceil(F.sum("n") / 4)).alias("shared")
+    )
+
+
 def _persons(spark, sf_dir):
     """Event users as persons, living in a nation."""
     nation = table(spark, sf_dir, "nation")
