@@ -31,7 +31,7 @@ HASH, SCALE = np.uint64(0x9E3779B97F4A7C15), 10.0
 #: Bits of a hash by which most places without a piece are seen at once.
 SIEVE = 20
 #: Words whose lattices a worker keeps before it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: Bytes of text at a time, and characters from which the lattice of a word is not kept.
 SLICE, LONG = 2 << 20, 200
 WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
@@ -162,8 +162,9 @@ class Lattices:
         rank = np.arange(len(last)) - np.repeat(np.cumsum(degree) - degree, degree)
         before = np.where(place[last] - length < 0, -1, last - length)
         sums, logs, part = np.ones(len(chars)), np.zeros(len(chars)), np.zeros(len(last))
-        by_place = np.argsort(place[last], kind="stable")
-        cuts = np.searchsorted(place[last][by_place], np.arange(int(place.max(initial=0)) + 2))
+        step = place[last]
+        by_place = np.argsort(step.astype(np.uint16) if len(step) and step.max() < 1 << 16 else step, kind="stable")
+        cuts = np.searchsorted(step[by_place], np.arange(int(place.max(initial=0)) + 2))
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
             e = by_place[lo:hi]
             # sums are kept as sum * exp(log) relative to the best way into each node
