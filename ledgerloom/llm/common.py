@@ -61,6 +61,13 @@ def slices(batches, column="text", limit=SLICE_BYTES):
         cuts = np.flatnonzero(np.diff(part)) + 1
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
             yield batch.slice(lo, hi - lo)
+    release()
+
+
+def release():
+    """Give back what a task leaves in its worker, which the next stage's task may run in too."""
+    _kept_powers.cache_clear()
+    pa.default_memory_pool().release_unused()
 
 
 def text_buffers(column):
