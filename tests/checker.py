@@ -1,6 +1,7 @@
 """Compare registered queries with their SQL, value for value."""
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -56,6 +57,7 @@ def main(sf_dir, names):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerloom-check-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
