@@ -4,6 +4,7 @@ Words are the maximal runs of bytes outside the six ASCII white-space bytes,
 ``[^\\x20\\x09-\\x0D]+``; UTF-8 never has those bytes inside another character.
 """
 
+import ctypes
 import functools
 import tempfile
 import zipfile
@@ -51,8 +52,11 @@ def keyed(df):
     return documents(df).withColumn("dig", F.xxhash64("text"))
 
 
-def slices(batches, column="text", limit=SLICE_BYTES):
-    """Record batches cut so that each holds about ``limit`` bytes of ``column``, one row at least."""
+def slices(batches, column="text", limit=SLICE_BYTES, kept=()):
+    """Record batches cut so that each holds about ``limit`` bytes of ``column``, one row at least.
+
+    At the end of a task what its worker remembers goes, but for the tables named ``kept``.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -61,13 +65,32 @@ def slices(batches, column="text", limit=SLICE_BYTES):
         cuts = np.flatnonzero(np.diff(part)) + 1
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
             yield batch.slice(lo, hi - lo)
-    release()
+    release(kept)
+
+
+#: What workers remember from task to task, by name: functions whose ``cache_clear`` forgets it.
+REMEMBERED = {}
+
+
+def remembered(name):
+    """Let a cached function be forgotten by the tasks of other operators."""
+
+    def register(fn):
+        REMEMBERED[name] = fn
+        return fn
+
+    return register
 
 
-def release():
+def release(kept=()):
     """Give back what a task leaves in its worker, which the next stage's task may run in too."""
-    _kept_powers.cache_clear()
+    for name, fn in REMEMBERED.items():
+        if name not in kept:
+            fn.cache_clear()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def text_buffers(column):
@@ -116,7 +139,7 @@ def _make_powers(base, size):
     return out
 
 
-_kept_powers = functools.lru_cache(maxsize=4)(_make_powers)
+_kept_powers = remembered("powers")(functools.lru_cache(maxsize=4)(_make_powers))
 
 
 def _powers(base, size):

@@ -266,6 +266,7 @@ class Lattices:
         return raw[1:].decode()
 
 
+@common.remembered("lattices")
 @functools.lru_cache(maxsize=2)
 def lattices(path, sharpness=SHARPNESS):
     return Lattices(path, sharpness)
@@ -280,7 +281,7 @@ def encode(df, model, text="text", key="doc_id", seed=SEED, sharpness=SHARPNESS)
 
     def work(batches):
         code = lattices(model, sharpness)
-        for batch in common.slices(batches, limit=SLICE):
+        for batch in common.slices(batches, limit=SLICE, kept=("lattices",)):
             texts = batch.column("text").to_pylist()
             keys = batch.column("seed_key").to_numpy().view(np.uint64)
             ids, counts = code.sample(texts, keys, seed)

@@ -167,6 +167,7 @@ class Encoder:
         return ids, total[firsts[1:]] - total[firsts[:-1]]
 
 
+@common.remembered("encoder")
 @functools.lru_cache(maxsize=2)
 def encoder(path):
     return Encoder(path)
@@ -178,7 +179,7 @@ def encoded(batches, path, end=None):
     ``end`` is an id put after each text.
     """
     code = encoder(path)
-    for batch in common.slices(batches, limit=SLICE):
+    for batch in common.slices(batches, limit=SLICE, kept=("encoder",)):
         column = batch.column("text")
         ids, counts = code.encode(column.cast(pa.string()))
         offsets = np.append(0, np.cumsum(counts))
