@@ -582,7 +582,9 @@ def trade_transaction(spark, sf_dir):
     codes = table(spark, sf_dir, "part").where("p_size > 10").selectExpr(
         "lpad(cast(p_partkey as string), 8, '0') as code"
     )
-    links = shipment_links(spark, sf_dir).drop("dv_loaddts").distinct()
+    # the link's own hash follows from the rest; dealt by shipment, links are made distinct and joined in one shuffle
+    links = shipment_links(spark, sf_dir).drop("dv_hashkey_l_bol", "dv_recsrc", "dv_source_version", "dv_loaddts")
+    links = links.repartition("dv_hashkey_bol").distinct()
     fact = marts.trade_transactions(rows, links, bridge(spark, sf_dir), codes, LOAD_TS)
     return fact.select(
         "id", "bol", "value_usd", "yyyy", "yyyymm", "yyyymmdd", "buyer_id", "supplier_id", "shipper_id",

@@ -36,10 +36,10 @@ def shipment_link(shipments, parties, ports, record_source, load_ts=None, source
     """V7: shipments joined to their parties and ports, with shipment and link hash.
 
     ``parties`` maps role to (frame, key column of the frame, key column of the
-    shipment); ``ports`` is a frame of port_key and dv_hashkey_port.
+    shipment), or to None where the shipments have ``<role>_dv_hashkey_company`` already; ``ports`` is a frame of port_key and dv_hashkey_port.
     """
     df = shipments
-    for role, (frame, key, column) in parties.items():
+    for role, (frame, key, column) in ((r, p) for r, p in parties.items() if p is not None):
         df = role_play(df, frame, {role: column}, key, ["dv_hashkey_company"])
     df = role_play(
         df, ports, {"export": "export_port_key", "import": "import_port_key"}, "port_key",
