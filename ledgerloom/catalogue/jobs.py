@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgerloom.catalogue.cleaning import _clean_sql
 from ledgerloom.catalogue.registry import query, table
 from ledgerloom.catalogue.samples import LOAD_TS, pure_sql
+from ledgerloom.operators.joins import small_side
 from ledgerloom.plans import bronze, recipes
 from ledgerloom.plans.targets import contract_of
 
@@ -94,9 +95,8 @@ def _trades(spark, sf_dir):
     place = lambda name: nation.select(F.col("n_nationkey").alias(f"{name}_key"), F.col("n_name").alias(name))
     return (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(orders.join(customer, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(small_side(supplier.select("s_suppkey", "s_name", "s_nationkey")), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(place("import_country"), F.col("c_nationkey") == F.col("import_country_key"))
         .join(place("export_country_or_area"), F.col("s_nationkey") == F.col("export_country_or_area_key"))
         .selectExpr(

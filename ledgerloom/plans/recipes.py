@@ -659,7 +659,7 @@ def shipments_by_name(shipments, companies, local, local_side):
         ).agg(F.min("dv_hashkey_company").alias("__hash"))
         df = (
             df.join(
-                known,
+                small_side(known),
                 (F.col(f"pure_{side}") == F.col("__name")) & (F.col(f"{side}_country") == F.col("__place")),
                 "left",
             )

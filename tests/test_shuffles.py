@@ -16,6 +16,6 @@ def plan(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-@pytest.mark.parametrize("name", ["trade_transaction", "link_bol_load"])
+@pytest.mark.parametrize("name", ["trade_transaction", "job_shipments_by_name", "link_bol_load"])
 def test_line_items_do_not_travel_for_their_supplier(spark, name):
     assert "hashpartitioning(l_suppkey" not in plan(spark, name)
