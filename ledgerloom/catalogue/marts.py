@@ -7,11 +7,13 @@ from ledgerloom.catalogue.resolution import (
     BRIDGE, GOLDEN, bridge, golden_records, satellite,
 )
 from ledgerloom.catalogue.samples import (
-    COMPANY, HUB, LOAD_TS, PARTY, SHIPMENT, companies, hub, parties, resolved_hub,
+    COMPANY, HUB, LOAD_TS, PARTY, SHIPMENT, companies, parties, resolved_hub,
     shipment_links, shipments,
 )
 from ledgerloom.functions.keys import hash_key, hash_of
+from ledgerloom.operators.joins import small_side
 from ledgerloom.plans import marts
+from ledgerloom.sources.staging import staged
 
 
 def _lookup(spark, sf_dir):
@@ -229,7 +231,7 @@ def entity_person_doc(spark, sf_dir):
 
 def _entities(spark, sf_dir):
     """Slim entity rows of companies and persons."""
-    company = hub(spark, sf_dir).dropDuplicates(["dv_hashkey_company"]).selectExpr(
+    company = resolved_hub(spark, sf_dir).dropDuplicates(["dv_hashkey_company"]).selectExpr(
         "dv_hashkey_company as id", "name", "jurisdiction"
     )
     person = _persons(spark, sf_dir).selectExpr("dv_hashkey_person as id", "name", "jurisdiction")
@@ -240,25 +242,32 @@ def _entities(spark, sf_dir):
 def _company_links(spark, sf_dir):
     """A supplier's company ships to a customer's company."""
     who = parties(spark, sf_dir)
+    company = ["dv_hashkey_company", "jurisdiction"]
+    # of all line items only the numbers of two companies are shuffled
+    numbers = staged(who.select(*company).distinct().withColumn("number", F.monotonically_increasing_id()), "numbers")
+    number = lambda source, side: who.where(F.col("source") == source).join(
+        small_side(numbers), [who[c].eqNullSafe(numbers[c]) for c in company]
+    ).select(F.col("k").alias(f"{side}_k"), F.col("number").alias(side))
+    end = lambda side: numbers.select(
+        F.col("number").alias(side), F.col("dv_hashkey_company").alias(f"dv_hashkey_{side}_company"),
+        F.col("jurisdiction").alias(f"{side}_jurisdiction"),
+    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    orders = orders.join(number("customer", "to"), F.col("o_custkey") == F.col("to_k")).select("o_orderkey", "to")
     pairs = (
-        table(spark, sf_dir, "lineitem")
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+        .join(small_side(number("supplier", "from")), F.col("l_suppkey") == F.col("from_k"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select("l_suppkey", "o_custkey").distinct()
-    )
-    end = lambda source, side: who.where(F.col("source") == source).select(
-        F.col("k").alias(f"{side}_k"), F.col("dv_hashkey_company").alias(f"dv_hashkey_{side}_company"),
-        F.col("jurisdiction").alias(f"{side}_jurisdiction"),
+        .select("from", "to").distinct()
     )
     return (
-        pairs.join(end("supplier", "from"), F.col("l_suppkey") == F.col("from_k"))
-        .join(end("customer", "to"), F.col("o_custkey") == F.col("to_k"))
+        pairs.join(small_side(end("from")), "from").join(small_side(end("to")), "to")
         .withColumn("position", F.lit("Supplier"))
         .select(
             hash_key("l_company_company_position").alias("dv_hashkey_l_company_company_relationship"),
             "dv_hashkey_from_company", "dv_hashkey_to_company", "from_jurisdiction", "to_jurisdiction",
             "position",
-        ).distinct()
+        )
     )
 
 

@@ -19,3 +19,8 @@ def plan(spark, name):
 @pytest.mark.parametrize("name", ["trade_transaction", "job_shipments_by_name", "link_bol_load"])
 def test_line_items_do_not_travel_for_their_supplier(spark, name):
     assert "hashpartitioning(l_suppkey" not in plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["entity_edges", "edge_union"])
+def test_edges_are_made_distinct_by_numbers(spark, name):
+    assert "hashpartitioning(dv_hashkey_l_company_company_relationship" not in plan(spark, name)
