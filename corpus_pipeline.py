@@ -27,7 +27,10 @@ def exact(spark, docs, sf_dir):
 
 
 def near(spark, docs, sf_dir):
-    """Of documents linked by a 5-word shingle similarity of 0.8 the one with the smallest doc_id stays."""
+    """Of documents linked by a 5-word shingle similarity of 0.8 the one with the smallest doc_id stays.
+
+    SimHash fingerprints bring them together and the similarity is checked; what fingerprints miss comes from shared shingles.
+    """
     return shingle_sets.kept_rows(docs)
 
 

@@ -1,5 +1,11 @@
-"""Near copies by the exact similarity of their sets of word shingles, for the near-dedup stage of the pipeline.
+"""Near copies by SimHash and the exact similarity of their sets of word shingles, for the near-dedup stage of the pipeline.
 
+Fingerprints of the sets meet in the index of ``simhash``; a pair that it links is checked by the sets themselves (0). Near
+sets whose fingerprints differ in more bits than the index allows are found exactly by what they share (1 to 4), where
+pairs that are known already are not compared again.
+
+0. A bit of a set's fingerprint is 1 if it is set in over half of its shingles' hashes. Sets of one fingerprint meet
+   its smallest node, a fingerprint's node meets that of the smallest fingerprint the index links it to.
 1. Each text becomes the set of hashes of its ``SHINGLE``-word shingles; equal sets are one, told by two sums.
 2. In the order of the hashes, two sets with a similarity t = ``LEAST`` or more share shingles among their first ones:
    of the first n - t n + k of a set, k are common to both. So only that head of each set is kept
@@ -18,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import common
+from ledgerloom.llm import common, simhash
 from ledgerloom.llm.common import staged
 from ledgerloom.llm.components import components
 from ledgerloom.llm.simhash import lower_ascii
@@ -47,8 +53,23 @@ def shingle_hashes(data, offsets, shingle=SHINGLE):
     return doc[new], hashes[new]
 
 
+def set_prints(hashes, cuts):
+    """The fingerprint of each set: bits set in over half of its hashes, zero for an empty set."""
+    out = np.zeros(len(cuts) - 1, np.uint64)
+    some = np.flatnonzero(np.diff(cuts))
+    if len(some):
+        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        sums = np.add.reduceat(bits, cuts[some], axis=0, dtype=np.int32)
+        major = sums * 2 > np.diff(cuts)[some][:, None]
+        out[some] = np.packbits(major, axis=1, bitorder="little").view("<u8").ravel()
+    return out
+
+
 def shingle_sets(docs, shingle=SHINGLE, least=None):
-    """doc_id, sig and check (two sums over the whole set), n and shingles of each text, by hash; with ``least`` their heads alone."""
+    """doc_id, sig and check (two sums over the whole set), n and shingles of each text, by hash.
+
+    With ``least`` the shingles are the set's head alone, and ``fp`` is the fingerprint of the whole set.
+    """
 
     def work(batches):
         for batch in common.slices(batches):
@@ -59,24 +80,40 @@ def shingle_sets(docs, shingle=SHINGLE, least=None):
             for base in SET_BASES:
                 sums = np.append(np.uint64(0), np.cumsum(common.mix(hashes ^ base), dtype=np.uint64))
                 own.append(common.mix(sums[cuts[1:]] - sums[cuts[:-1]] + np.diff(cuts).astype(np.uint64)))
+            prints = []
             if least is not None:
+                prints = [pa.array(set_prints(hashes, cuts).view(np.int64))]
                 first = np.minimum(sizes, sizes - np.ceil(sizes * least - 1e-9) + np.ceil(sizes * SHARED)).astype(np.int64)
                 hashes = hashes[np.arange(len(hashes)) - cuts[doc] < first[doc]]
                 cuts = np.append(0, np.cumsum(first))
             lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *[pa.array(x.view(np.int64)) for x in own], pa.array(sizes, pa.int32()), lists],
-                names=["doc_id", "sig", "check", "n", "shingles"],
+                [batch.column("doc_id"), *[pa.array(x.view(np.int64)) for x in own], pa.array(sizes, pa.int32()), lists, *prints],
+                names=["doc_id", "sig", "check", "n", "shingles", *(["fp"] if prints else [])],
             )
 
-    return docs.mapInArrow(work, "doc_id long, sig long, check long, n int, shingles array<long>")
+    schema = "doc_id long, sig long, check long, n int, shingles array<long>"
+    return docs.mapInArrow(work, schema if least is None else f"{schema}, fp long")
+
+
+def print_pairs(prints):
+    """Pairs (a, b) of nodes whose fingerprints the SimHash index links, one at most for each node; ``prints`` has node and fp."""
+    heads = staged(prints.groupBy("fp").agg(F.min("node").alias("head")), "prints")
+    same = prints.join(heads.hint("merge"), "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    linked = simhash.links(heads.select("fp")).groupBy(F.col("a").alias("fp")).agg(F.min("b").alias("to"))
+    ends = heads.select(F.col("fp").alias("to"), F.col("head").alias("b"))
+    near = linked.join(heads.withColumnRenamed("head", "a"), "fp").join(ends, "to").select("a", "b")
+    return same.unionByName(near)
 
 
-def near_links(sets, least=LEAST):
+def near_links(sets, least=LEAST, known=None):
     """Edges (a, b) whose components are those of all pairs of sets with a similarity of ``least``.
 
-    ``sets`` has node, n and shingles, one row per distinct set.
+    ``sets`` has node, n and shingles, one row per distinct set; ``known`` has edges (a, b) that were found before.
     """
+    if known is None:
+        known = sets.sparkSession.createDataFrame([], "a long, b long")
+    both_ways = known.unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = 2 * least / (1 + least)
     as_larger, as_smaller = (F.ceil(F.col("n") * share - 1e-9) for share in (least, both))
     rows = sets.select("node", "n", F.explode("shingles").alias("shingle"))
@@ -100,18 +137,19 @@ def near_links(sets, least=LEAST):
     of = sets.join(staged(met.select("node").distinct(), "able").hint("merge"), "node", "left_semi")
     of = staged(of.select("node", "shingles"), "able-sets")
     first = at.where(near_size).select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
+    first = first.join(both_ways, ["a", "b"], "left_anti")
     linked = staged(_near(first, of, least), "linked")
-    there = linked.select(F.col("a").alias("node"), F.col("b").alias("head"))
+    there = linked.unionByName(both_ways).select(F.col("a").alias("node"), F.col("b").alias("head"))
     alone = staged(at.join(there.hint("merge"), ["node", "head"], "left_anti"), "alone")
     if alone.isEmpty():
-        return linked
+        return linked.unionByName(known)
     other = at.select("shingle", F.col("node").alias("other"), F.col("n").alias("o"), F.col("small").alias("other_small"))
     mine, its = F.struct("n", "node"), F.struct(F.col("o").alias("n"), F.col("other").alias("node"))
     apart = F.when(mine < its, F.col("small")).otherwise(F.col("other_small")) & (F.col("node") != F.col("other"))
     close = F.least("n", "o") >= F.ceil(F.greatest("n", "o") * least - 1e-9)
     pairs = alone.join(other.hint("merge"), "shingle").where(apart & close)
     pairs = pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-    return linked.unionByName(_near(pairs, of, least))
+    return linked.unionByName(known).unionByName(_near(pairs, of, least))
 
 
 def _near(pairs, of, least):
@@ -147,14 +185,17 @@ def near_groups(df, text="text", key="doc_id", shingle=SHINGLE, least=LEAST):
     named = staged(rows.select("doc_id", "sig", "check", "row").join(firsts.hint("merge"), ["sig", "check"]), "signatures")
     copies = staged(named.where("row <> node").select("row"), "copies")
     heads = rows.join(small_side(copies), "row", "left_anti").select(F.col("row").alias("node"), "n", "shingles")
+    prints = rows.join(small_side(copies), "row", "left_anti").select(F.col("row").alias("node"), "fp")
     able = staged(able_nodes(heads, least), "able")
+    met = staged(print_pairs(prints), "print-pairs")
     of = staged(named.join(able.hint("merge"), "node", "left_semi").select("doc_id", "sig", "check", "node"), "able-rows")
     wanted = small_side(staged(of.select(F.col("doc_id").alias("_key")).distinct(), "able-keys"))
     again = shingle_sets(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_key")), "left_semi"), shingle)
     nodes = of.select("sig", "check", "node").distinct()
     sets = again.join(small_side(staged(nodes, "able-nodes")), ["sig", "check"]).dropDuplicates(["node"])
     sets = staged(sets.select("node", "n", "shingles"), "shingle-sets")
-    labels = staged(components(near_links(sets, least)), "labels")
+    known = staged(_near(met, sets.select("node", "shingles"), least), "known")
+    labels = staged(components(near_links(sets, least, known)), "labels")
     out = named.join(labels.hint("merge"), "node", "left").withColumn("component", F.coalesce("root", "node"))
     return staged(out.select("doc_id", F.struct("sig", "check").alias("sig"), "component"), "groups")
 

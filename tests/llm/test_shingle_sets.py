@@ -92,3 +92,26 @@ def test_pages_of_one_template_make_few_candidates(spark, monkeypatch, own):
         df = spark.createDataFrame(rows, "doc_id long, text string")
         assert {r.doc_id for r in shingle_sets.kept_rows(df).collect()} == want
         assert sum(measured) <= 4 * n
+
+
+def test_near_stage_goes_through_the_simhash_index(spark, monkeypatch):
+    """Near copies whose fingerprints are within 3 bits are found by the index and confirmed by their sets; the rest is not lost."""
+    asked, known = [], []
+    links, near_links = simhash.links, shingle_sets.near_links
+    monkeypatch.setattr(simhash, "links", lambda prints, *more: asked.append(prints.count()) or links(prints, *more))
+
+    def kept(sets, least, found):
+        known.extend(map(tuple, found.collect()))
+        return near_links(sets, least, found)
+
+    monkeypatch.setattr(shingle_sets, "near_links", kept)
+    rows = []
+    for family in range(6):
+        words = sentence(100 + family, 400).split()
+        for copy in range(3):
+            rows.append((len(rows), " ".join([*words[:-1], f"end{copy}"])))  # near by fingerprint
+        rows.append((len(rows), " ".join([*words, *[f"more{family}x{k}" for k in range(80)]])))  # near by shingles
+    want, _ = brute_kept(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, df, None).collect()} == want
+    assert asked and asked[0] >= 12 and len(known) >= 12
