@@ -19,8 +19,8 @@ signatures that two strings within the allowed number of edits must share:
   and multi-match-aware selection of Pass-Join, Li et al., VLDB 2011).
 
 All are exact: no match is lost, and the bounded distance settles the rest.
-Names are made distinct first, so copies of a name cost nothing; so are pairs,
-before they are measured.
+Names are made distinct first, so copies of a name cost nothing. A candidate is measured once for
+each signature it meets by, and only matches are shuffled.
 """
 
 from pyspark.sql import functions as F
@@ -209,11 +209,10 @@ def similar_names(
             (F.abs(F.col("len") - F.col("m_len")) <= length_diff)
             & (F.abs(F.col("spaces") - F.col("m_spaces")) <= space_diff)
         )
-        .distinct()
-        .withColumn(
-            "distance", F.expr(f"levenshtein(name_text, m_name_text, {_edits(longest, threshold)})")
-        )
+        # a generated column: a filter on a plain one would be moved into the joins, each of its parts measuring anew
+        .withColumn("distance", F.explode(F.array(F.expr(f"levenshtein(name_text, m_name_text, {_edits(longest, threshold)})"))))
         .where("distance >= 0")
+        .distinct()
         .withColumn(
             "similarity_percentage",
             F.when(F.expr(longest) > 0, (1 - F.col("distance") / F.expr(longest)) * 100),

@@ -24,3 +24,8 @@ def test_line_items_do_not_travel_for_their_supplier(spark, name):
 @pytest.mark.parametrize("name", ["entity_edges", "edge_union"])
 def test_edges_are_made_distinct_by_numbers(spark, name):
     assert "hashpartitioning(dv_hashkey_l_company_company_relationship" not in plan(spark, name)
+
+
+@pytest.mark.parametrize("name", ["levenshtein_all", "levenshtein_top1"])
+def test_candidates_are_measured_once(spark, name):
+    assert not [line for line in plan(spark, name).splitlines() if "Join" in line and "levenshtein(" in line]
