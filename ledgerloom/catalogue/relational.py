@@ -178,8 +178,10 @@ def conditional_key_join(spark, sf_dir):
     join customer on (l_suppkey = c_custkey or o_custkey = c_custkey) and c_acctbal < 0""",
 )
 def or_join(spark, sf_dir):
+    """Line items stream past hash tables of orders and of listed customers; none is sorted."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     trade = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+        joins.build_side(orders), F.col("l_orderkey") == F.col("o_orderkey")
     ).select("l_orderkey", "l_linenumber", "l_suppkey", "o_custkey")
     listed = table(spark, sf_dir, "customer").where("c_acctbal < 0").select("c_custkey")
     return joins.on_either(trade, listed, "l_suppkey", "o_custkey", "c_custkey").select(

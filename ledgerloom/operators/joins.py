@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT = 32 * 1024 * 1024
+BUILD_LIMIT = 4 * 1024 * 1024
 ISIN_LIMIT = 10
 
 
@@ -22,6 +23,14 @@ def small_side(df, limit=BROADCAST_LIMIT):
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
+def build_side(df, limit=BUILD_LIMIT):
+    """A side with few rows per key: broadcast while small, beyond that shuffled into hash tables.
+
+    The other side streams past the tables and is never sorted, so a task holds rows of this side alone.
+    """
+    return F.broadcast(df) if plan_bytes(df) <= limit else df.hint("shuffle_hash")
+
+
 def keys_equal(left, right, keys, null_safe=True):
     """Join condition over equally named keys of two aliased frames."""
     pairs = [(F.col(f"{left}.{key}"), F.col(f"{right}.{key}")) for key in keys]
@@ -74,12 +83,12 @@ def on_prefix(df, other, code, prefix, length, how="left"):
 
 
 def on_either(df, other, first, second, key):
-    """``first = key OR second = key`` as two equi-joins, each pair once."""
-    by_first = df.join(other, F.col(first) == F.col(key))
-    by_second = df.join(other, F.col(second) == F.col(key)).where(
-        ~F.coalesce(F.col(first) == F.col(second), F.lit(False))
-    )
-    return by_first.unionByName(by_second)
+    """``first = key OR second = key`` as one equi-join, each pair once.
+
+    A row goes once with each of its different keys, so ``df`` is computed once; ``other`` has few rows per key.
+    """
+    keys = F.explode(F.array_distinct(F.array(first, second))).alias("_either")
+    return df.select("*", keys).join(build_side(other, BROADCAST_LIMIT), F.col("_either") == F.col(key)).drop("_either")
 
 
 def or_sentinel(value, sentinel="CANT MAP"):
