@@ -1,8 +1,9 @@
 """Quality classifier (2): perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
 1. The n-grams are of ``WORDS`` words or runs of signs, all that trusted text has, counted in shards by
-   gram. Discounts, continuation counts and back-off weights come from joins of those shards
-   with their contexts and their shorter n-grams, and stay tables; nothing of them is gathered.
+   context, then by their shorter n-gram. Discounts, continuation counts and back-off weights come from those
+   shards and stay tables; nothing of them is gathered. N-grams travel as ``cells``, in rounds by their middle word, and what
+   a round has shuffled and staged goes when it ends, so that the disk holds a part of them at a time.
 2. A word's probability rests on that of its spelling, so unknown words have one too. Spellings are of
    ``SYMBOLS`` character classes and ``ORDER`` symbols: at most SYMBOLS ** ORDER numbers however much
    text there is, the proven bound for which that table alone may be broadcast.
@@ -14,16 +15,20 @@
 """
 
 import math
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm import common
+from ledgerloom.llm import cells, common
 from ledgerloom.llm.common import staged
 from ledgerloom.operators.batch import in_order, running_sum
 from ledgerloom.operators.joins import small_side
+from ledgerloom.sources.staging import shuffles_removed, unstage
 
 SYMBOLS, ORDER = 40, 4
 START, UPPER, ACCENTED, OTHER, DIGIT, SPACE, LINE = 0, 27, 28, 29, 30, 31, 32
@@ -35,6 +40,12 @@ QUANTILE, MARGIN = 0.995, 1.25
 #: Length of the longest word n-grams, the models, and words that stand before and after a text.
 WORDS, MODELS = 3, 2
 BEFORE, AFTER = np.uint64(1), np.uint64(2)
+STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of text of a slice and of a shard, the least number of shards, and rounds at most.
+SLICE_BYTES, SHARD_BYTES, LEAST_SHARDS, ROUNDS = 4 << 20, 16 << 20, 8, 4
+#: Columns of cells: n-grams of text; shorter ones; those with their discounted part and weight; a key with a number; those of texts.
+RUN, PAIR, SEEN, BELOW = ["u8", "u8", "u8", "u4"], ["u8", "u8"], ["u8", "u8", "f4", "f4"], ["u8", "f4"]
+ASKED = ["u8", "u4", "u4", "f4"]
 #: Languages with fewer trusted documents take the threshold of all.
 LEAST_TRUSTED = 50
 
@@ -123,86 +134,175 @@ def spelling(table, data, starts, ends):
     return np.diff(by_class[counts]) + np.diff(by_byte[offsets])
 
 
-def word_grams(table, data, offsets, model):
+def word_grams(data, offsets, model):
     """Of texts, each with the number of its model: text and keys of all n-grams that end at each word but the first one.
 
-    Before a text stand WORDS - 1 words, one after it. ``keys[k]`` is of the n-gram of k + 1 words; ``spelled`` is
-    the -log p of the last word's spelling, zero for those that stand before and after.
+    Before a text stand WORDS - 1 words, one after it. ``keys[k]`` is of the n-gram of k + 1 words, ``inner`` and ``full``
+    tell where one of 1 or 2 and where one of WORDS words ends, and ``token`` is the number of the last word, -1 before and after a text.
     """
     starts, ends, first = split_tokens(data, offsets)
     words = common.hash_words(data, starts, ends)
-    loss = spelling(table, data, starts, ends)
     number = np.diff(first)
     size = number + WORDS
     head = np.cumsum(size) - size
     doc = np.repeat(np.arange(len(number)), size)
-    padded, spelled = np.full(size.sum(), BEFORE), np.zeros(size.sum())
+    padded, token = np.full(size.sum(), BEFORE), np.full(size.sum(), -1)
     place = np.arange(len(words)) + np.repeat(head - first[:-1] + WORDS - 1, number)
-    padded[place], spelled[place] = words, loss
+    padded[place], token[place] = words, np.arange(len(words))
     padded[head + size - 1] = AFTER
-    step = np.uint64(0x9E3779B97F4A7C15)
-    keys = [common.mix(padded * step + model[doc].astype(np.uint64) + np.uint64(1))]
+    keys = [common.mix(padded * STEP + model[doc].astype(np.uint64) + np.uint64(1))]
     for _ in range(WORDS - 1):
-        keys.append(common.mix(np.append(np.uint64(0), keys[-1][:-1]) * step + keys[0]))
+        keys.append(longer(np.append(np.uint64(0), keys[-1][:-1]), keys[0]))
     inner = np.ones(len(doc), bool)
     inner[head] = False
-    return doc, keys, spelled, inner
+    full = inner.copy()
+    full[1:] &= inner[:-1]
+    return doc, keys, inner, full, token, starts, ends
 
 
-def count_words(docs, table):
-    """Counts of all n-grams of WORDS words, with the keys of context and shorter n-grams."""
-    sent = docs.sparkSession.sparkContext.broadcast(table)
-    names = ["gram", "context", "shorter", "middle", "word"]
+def longer(gram, word):
+    """The key of an n-gram with one word more."""
+    return common.mix(gram * STEP + word)
 
-    def count(batches):
-        for batch in common.slices(batches):
-            model = batch.column("half").to_numpy()
-            doc, keys, spelled, inner = word_grams(sent.value, *common.text_buffers(batch.column("text")), model)
-            target = inner.copy()
-            target[1:] &= inner[:-1]  # with WORDS - 1 words before it
-            at = np.flatnonzero(target)
+
+def spelled(table, data, starts, ends, token):
+    """-log p of the spellings of tokens, zero for those that stand before and after a text."""
+    loss = np.zeros(len(token))
+    own = token >= 0
+    loss[own] = spelling(table, data, starts[token[own]], ends[token[own]])
+    return loss
+
+
+def shares(docs):
+    """How many shards and rounds the texts are dealt to: neither changes a result, both bound what is held at a time."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(LEAST_SHARDS, math.ceil(size / SHARD_BYTES)), int(min(ROUNDS, 1 + size // SHARD_BYTES))
+
+
+def runs(texts, model, share, r):
+    """Cells of the n-grams of WORDS words whose middle word is of round ``r``, (context, middle, word, n), dealt by context."""
+    shards, rounds = share
+
+    def emit(batches):
+        for batch in common.slices(batches, limit=SLICE_BYTES):
+            _, keys, _, full, *_ = word_grams(*common.text_buffers(batch.column("text")), np.full(batch.num_rows, model))
+            at = np.flatnonzero(full)
+            at = at[keys[0][at - 1] % np.uint64(rounds) == r]
             _, first, n = np.unique(keys[2][at], return_index=True, return_counts=True)
             at = at[first]
-            columns = [keys[2][at], keys[1][at - 1], keys[1][at], keys[0][at - 1], keys[0][at]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c.view(np.int64)) for c in columns]
-                + [pa.array(spelled[at]), pa.array(model[doc[at]].astype(np.int32)), pa.array(n, pa.int64())],
-                names=[*names, "spelled", "model", "n"],
+            yield cells.deal(shards, keys[1][at - 1], [keys[1][at - 1], keys[0][at - 1], keys[0][at], n.astype(np.uint32)])
+
+    return texts.where(F.col("half") == model).select("text").mapInArrow(emit, cells.SCHEMA)
+
+
+def counted(payload):
+    """Distinct n-grams of a shard with their counts, sorted by context, and where each context begins."""
+    context, middle, word, n = cells.together(payload, RUN)
+    order = np.lexsort((word, context))
+    context, middle, word, n = context[order], middle[order], word[order], n[order]
+    new = np.ones(len(context), bool)
+    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
+    cut = np.flatnonzero(new)
+    context, middle, word, n = context[cut], middle[cut], word[cut], np.add.reduceat(n.astype(np.int64), cut)
+    begins = np.ones(len(context), bool)
+    begins[1:] = context[1:] != context[:-1]
+    return context, middle, word, n, np.flatnonzero(begins)
+
+
+class Counts(NamedTuple):
+    """What ``count_words`` found: counts of 2-grams by model and round, their words' spellings, and discounts of 3-grams."""
+
+    texts: DataFrame
+    share: tuple
+    pairs: dict
+    words: DataFrame
+    off: list
+
+
+def count_words(docs, table):
+    """Counts of all n-grams of the texts. Those of WORDS words are dealt round by round and not kept, since they outgrow the texts."""
+    spark = docs.sparkSession
+    share = shares(docs)
+    sent = spark.sparkContext.broadcast(table)
+
+    def once(group):
+        _, middle, word, n, _ = counted(group["payload"])
+        out = cells.deal(share[0], longer(middle, word), [middle, word])
+        for k in (1, 2, 3, 4):  # on the first row of a shard
+            own = np.zeros(out.num_rows, np.int64)
+            own[0] = (n == k).sum()
+            out = out.append_column(f"n{k}", pa.array(own))
+        return pa.Table.from_batches([out])
+
+    def pair(group):
+        middle, word = cells.together(group["payload"], PAIR)
+        order = np.lexsort((word, middle))
+        middle, word = middle[order], word[order]
+        new = np.ones(len(word), bool)
+        new[1:] = (middle[1:] != middle[:-1]) | (word[1:] != word[:-1])
+        cut = np.flatnonzero(new)
+        return pa.table({"middle": middle[cut].view(np.int64), "word": word[cut].view(np.int64), "n": np.diff(np.append(cut, len(word)))})
+
+    pairs, seen = {}, np.zeros(4, np.int64)
+    for model in range(MODELS):
+        for r in range(share[1]):
+            found = staged(
+                runs(docs, model, share, r).groupBy("shard").applyInArrow(once, cells.SCHEMA + ", n1 long, n2 long, n3 long, n4 long"), "runs"
             )
+            seen += np.array([x or 0 for x in found.agg(*[F.sum(f"n{k}") for k in (1, 2, 3, 4)]).first()])
+            pairs[model, r] = staged(
+                found.select("shard", "payload").groupBy("shard").applyInArrow(pair, "middle long, word long, n long"), "words2"
+            )
+            unstage(found)
+
+    def vocabulary(batches):
+        for batch in common.slices(batches, limit=SLICE_BYTES):
+            data, offsets = common.text_buffers(batch.column("text"))
+            _, keys, inner, _, token, starts, ends = word_grams(data, offsets, batch.column("half").to_numpy())
+            at = np.flatnonzero(inner)
+            own, first = np.unique(keys[0][at], return_index=True)
+            loss = spelled(sent.value, data, starts, ends, token[at[first]])
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(loss)], names=["word", "spelled"])
 
-    rows = docs.mapInArrow(count, ", ".join(f"{n} long" for n in names) + ", spelled double, model int, n long")
-    return rows.groupBy("gram").agg(F.sum("n").alias("n"), *[F.first(c).alias(c) for c in [*names[1:], "spelled", "model"]])
+    words = docs.select("text", "half").mapInArrow(vocabulary, "word long, spelled double").groupBy("word").agg(F.first("spelled").alias("spelled"))
+    return Counts(docs, share, pairs, staged(words, "vocabulary"), discount_of(*seen.tolist()))
 
 
-def discounts(table):
-    """What modified Kneser-Ney takes off a count of ``n``."""
-    n1, n2, n3, n4 = table.agg(*[F.coalesce(F.sum((F.col("n") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4)]).first()
+def discount_of(n1, n2, n3, n4):
+    """What modified Kneser-Ney takes off counts of 1, of 2, and of more, from how many n-grams have counts of 1 to 4."""
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
-    discount = [min(max(d, 0.1), k - 0.1) for k, d in (
+    return [min(max(d, 0.1), k - 0.1) for k, d in (
         (1, 1 - 2 * y * n2 / n1 if n1 else 0.5), (2, 2 - 3 * y * n3 / n2 if n2 else 1), (3, 3 - 4 * y * n4 / n3 if n3 else 1.5)
     )]
-    return F.when(F.col("n") == 1, discount[0]).when(F.col("n") == 2, discount[1]).otherwise(discount[2])
+
+
+def discounts(table):
+    """What modified Kneser-Ney takes off a count of ``n``."""
+    off = discount_of(*table.agg(*[F.coalesce(F.sum((F.col("n") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4)]).first())
+    return F.when(F.col("n") == 1, off[0]).when(F.col("n") == 2, off[1]).otherwise(off[2])
+
+
+class Weights(NamedTuple):
+    """Log weight of spellings by model, and the rounds that values are in."""
+
+    of: dict
+    rounds: int
 
 
 def values(counts):
-    """(gram, value), whose sum over all n-grams of a text is its log-probability, and each model's log weight of spellings.
+    """(gram, value, model, round), whose values' sum over all n-grams of a text is its log-probability, and each model's log weight of spellings.
 
     With p(w | uv) = p3 where uvw is seen, else weight(uv) p(w | v), the logarithm is the sum of log p1(w), log weight(v)
     and log weight(uv), of log p2 - log weight(v) - log p1 where vw is seen, and of log p3 - log weight(uv) - log p2
-    where uvw is seen. A context without a row has weight 1, a word without one weight times spelling.
+    where uvw is seen. A context without a row has weight 1, a word without one weight times spelling. An n-gram may have two
+    rows, as one that is seen and as a context; single words are of model -1 and round 0.
     """
-    three = staged(counts, "words3")
-    two = staged(
-        three.groupBy(F.col("shorter").alias("gram"))
-        .agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("middle", "word", "spelled", "model")])
-        .withColumnRenamed("middle", "context"),
-        "words2",
-    )
-    one = staged(
-        two.groupBy(F.col("word").alias("gram"))
-        .agg(F.count(F.lit(1)).alias("n"), F.first("spelled").alias("spelled"), F.first("model").alias("model")),
-        "words1",
-    )
+    spark = counts.texts.sparkSession
+    shards, rounds = counts.share
+    off = np.array(counts.off)
+    two = reduce(DataFrame.unionByName, [t.withColumn("model", F.lit(m)) for (m, _), t in counts.pairs.items()])
+    one = staged(two.groupBy("word", "model").agg(F.count(F.lit(1)).alias("n")).join(counts.words, "word"), "words1")
+    unstage(counts.words)
     one = one.withColumn("off", discounts(one))
     whole = {r["model"]: (r["total"], r["left"] / r["total"]) for r in
              one.groupBy("model").agg(F.sum("n").alias("total"), F.sum("off").alias("left")).collect()}
@@ -211,24 +311,75 @@ def values(counts):
         total = F.when(F.col("model") == m, float(t)).otherwise(total)
         weight = F.when(F.col("model") == m, float(w)).otherwise(weight)
     p1 = (F.col("n") - F.col("off")) / total + weight * F.exp(-F.col("spelled"))
-    shorter = one.select(F.col("gram").alias("word"), F.log(p1).alias("below"))
-    out = [shorter.select(F.col("word").alias("gram"), F.col("below").alias("value"))]
-    for table, last in ((two, "word"), (three, "shorter")):
-        table = table.withColumn("off", discounts(table))
-        contexts = table.groupBy("context").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("weight"))
+    first, one = one, staged(one.select("word", F.log(p1).alias("below")), "below")
+    unstage(first)
+    two_off = discounts(two)
+    heads = staged(
+        two.withColumn("off", two_off).groupBy("middle").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("weight")), "contexts"
+    )
+    row = ("gram long", "value float")
+    single = [
+        staged(one.select(F.col("word").alias("gram"), F.col("below").cast("float").alias("value")), "values"),
+        staged(heads.select(F.col("middle").alias("gram"), F.log("weight").cast("float").alias("value")), "values"),
+    ]
+    out = [t.withColumns({"model": F.lit(-1), "round": F.lit(0)}) for t in single]
+
+    def key_pairs(batches):
+        for batch in batches:
+            middle, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("middle", "word"))
+            columns = [pa.array(longer(middle, word).view(np.int64)), batch.column("value"), batch.column("p")]
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "value", "p"])
+
+    def deal_pairs(batches):
+        for batch in cells.gathered(batches):
+            gram = batch.column("gram").to_numpy().view(np.uint64)
+            yield cells.deal(shards, gram, [gram, batch.column("p").to_numpy()])
+
+    def weigh(group):
+        context, middle, word, n, begins = counted(group["payload"])
+        own = off[np.minimum(n, 3) - 1]
+        total, left = np.add.reduceat(n, begins), np.add.reduceat(own, begins)
+        whose = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(n))))
+        weight = left / total
+        shorter = longer(middle, word)
+        kind = [longer(context, word), shorter, ((n - own) / total[whose]).astype(np.float32), weight[whose].astype(np.float32)]
+        dealt = cells.deal(shards, shorter, kind)
+        none = len(begins)
+        return pa.table({
+            "shard": pa.concat_arrays([dealt["shard"], pa.nulls(none, pa.int32())]),
+            "payload": pa.concat_arrays([dealt["payload"], pa.nulls(none, pa.binary())]),
+            "gram": pa.concat_arrays([pa.nulls(dealt.num_rows, pa.int64()), pa.array(context[begins].view(np.int64))]),
+            "value": pa.concat_arrays([pa.nulls(dealt.num_rows, pa.float32()), pa.array(np.log(weight).astype(np.float32))]),
+        })
+
+    def back_off(left, right):
+        gram, shorter, p, weight = cells.together(left["payload"], SEEN)
+        known, below = cells.together(right["payload"], BELOW)
+        order = np.argsort(known)
+        p2 = below[order[np.searchsorted(known[order], shorter)]].astype(np.float64) if len(gram) else np.zeros(0)
+        value = np.log(p + weight * p2) - np.log(weight.astype(np.float64)) - np.log(p2)
+        return pa.table({"gram": gram.view(np.int64), "value": value.astype(np.float32)})
+
+    for (model, r), table in counts.pairs.items():
         p = (F.col("n") - F.col("off")) / F.col("total") + F.col("weight") * F.exp("below")
-        seen = staged(
-            table.select("gram", "context", last, "n", "off").join(contexts, "context").join(shorter, last)
-            .select("gram", F.log(p).alias("p"), (F.log(p) - F.log("weight") - F.col("below")).alias("value")),
-            "seen",
+        joined = table.withColumn("off", two_off).join(heads, "middle").join(one, "word").select(
+            "middle", "word", p.cast("float").alias("p"), (F.log(p) - F.log("weight") - F.col("below")).cast("float").alias("value")
         )
-        out += [seen.select("gram", "value"), contexts.select(F.col("context").alias("gram"), F.log("weight").alias("value"))]
-        shorter = seen.select(F.col("gram").alias("shorter"), F.col("p").alias("below"))
-    union = out[0]
-    for more in out[1:]:
-        union = union.unionByName(more)
-    table = staged(union.groupBy("gram").agg(F.sum("value").alias("value")), "values")
-    return table, {m: math.log(w) for m, (_, w) in whole.items()}
+        seen = staged(joined.mapInArrow(key_pairs, "gram long, value float, p float"), "seen")
+        unstage(table)
+        found = staged(
+            runs(counts.texts, model, counts.share, r).groupBy("shard").applyInArrow(weigh, ", ".join([cells.SCHEMA, *row])), "weights"
+        )
+        dealt = found.where("payload is not null").select("shard", "payload").groupBy("shard")
+        pairs = seen.mapInArrow(deal_pairs, cells.SCHEMA).groupBy("shard")
+        longest = staged(dealt.cogroup(pairs).applyInArrow(back_off, ", ".join(row)), "values")
+        others = staged(found.where("payload is null").select("gram", "value").unionByName(seen.select("gram", "value")), "values")
+        out += [t.withColumns({"model": F.lit(model), "round": F.lit(r)}) for t in (longest, others)]
+        unstage(found)
+        unstage(seen)
+    unstage(heads)
+    unstage(one)
+    return reduce(DataFrame.unionByName, out), Weights({m: math.log(w) for m, (_, w) in whole.items()}, rounds)
 
 
 def half(text="text"):
@@ -236,40 +387,87 @@ def half(text="text"):
 
 
 def text_losses(docs, spellings, table, weights):
-    """(dig, loss) of each distinct text; ``docs`` has text, dig and half."""
-    sent = docs.sparkSession.sparkContext.broadcast(spellings)
-
-    def emit(batches):
-        for batch in common.slices(batches):
-            dig = batch.column("dig").to_numpy()
-            _, own, copies = np.unique(dig, return_index=True, return_counts=True)
-            part = batch.take(pa.array(own))
-            model = MODELS - 1 - part.column("half").to_numpy()
-            doc, keys, spelled, inner = word_grams(sent.value, *common.text_buffers(part.column("text")), model)
-            base = np.array([weights.get(m, 0.0) for m in range(MODELS)])[model]
-            full = inner.copy()
-            full[1:] &= inner[:-1]
-            for k, (key, valid) in enumerate(zip(keys, (inner, inner, full))):
-                at = np.flatnonzero(valid)
-                at = at[np.lexsort([key[at], doc[at]])]
-                new = np.ones(len(at), bool)
-                new[1:] = (key[at[1:]] != key[at[:-1]]) | (doc[at[1:]] != doc[at[:-1]])
+    """(dig, loss) of each distinct text; ``docs`` has text, dig and half. N-grams meet the values of a model and round at a time."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(spellings)
+    shards, _ = shares(docs)
+    rounds = weights.rounds
+
+    def asked(model, r):
+        base = weights.of.get(model, 0.0)
+
+        def emit(batches):
+            for batch in common.slices(batches, limit=SLICE_BYTES):
+                dig = batch.column("dig").to_numpy()
+                _, own, copies = np.unique(dig, return_index=True, return_counts=True)
+                data, offsets = common.text_buffers(batch.column("text").take(pa.array(own)))
+                doc, keys, inner, full, token, starts, ends = word_grams(data, offsets, np.full(len(own), model))
+                now = keys[0] % np.uint64(rounds) == r
+                before = np.append(False, now[:-1])
+                # 2-grams are seen in the round of their first word and contexts in that of their second one
+                at = [np.flatnonzero(v) for v in (inner & (r == 0), inner & (before | now), full & before)]
+                key = np.concatenate([k[x] for k, x in zip(keys, at)])
+                single, at = len(at[0]), np.concatenate(at)
+                order = np.argsort(key, kind="stable")  # texts stay in order within a key
+                key, whose = key[order], doc[at[order]]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (whose[1:] != whose[:-1])
                 cut = np.flatnonzero(new)
-                n, at = np.diff(np.append(cut, len(at))), at[cut]
-                whose = doc[at]
-                for lo in range(0, len(at), 100_000):
-                    some = slice(lo, lo + 100_000)
-                    a, d = at[some], whose[some]
-                    missed = base[d] - spelled[a] if k == 0 else np.zeros(len(a))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[a].view(np.int64)), pa.array(dig[own][d]), pa.array((n[some] * copies[d]).astype(np.int32)),
-                         pa.array(missed.astype(np.float32))],
-                        names=["gram", "dig", "n", "missed"],
-                    )
-
-    found = docs.mapInArrow(emit, "gram long, dig long, n int, missed float").join(table.hint("merge"), "gram", "left")
-    loss = -F.sum(F.col("n") * F.coalesce("value", F.col("missed").cast("double")))
-    return found.groupBy("dig").agg(loss.alias("loss"))
+                n = np.diff(np.append(cut, len(key)))
+                key, whose, order = key[cut], whose[cut], order[cut]
+                missed = np.zeros(len(cut), np.float32)
+                words = np.flatnonzero(order < single)
+                if len(words):
+                    first = np.append(True, key[words[1:]] != key[words[:-1]])
+                    loss = spelled(sent.value, data, starts, ends, token[at[order[words[first]]]])
+                    missed[words] = (base - loss)[np.cumsum(first) - 1]
+                digs = dig[own]
+
+                def numbered(columns):
+                    """The number of a cell's rows, the rows with texts numbered within the cell, and those texts."""
+                    mine, place = np.unique(columns[1], return_inverse=True)
+                    return [np.array([len(place)]), columns[0], place.astype(np.uint32), *columns[2:], digs[mine]]
+
+                columns = [key, whose.astype(np.uint32), (n * copies[whose]).astype(np.uint32), missed]
+                yield cells.deal(shards, key, columns, numbered, ordered=True)
+
+        return docs.where(F.col("half") == MODELS - 1 - model).select("text", "dig").mapInArrow(emit, cells.SCHEMA)
+
+    def known(model, r):
+        def emit(batches):
+            for batch in cells.gathered(batches):
+                gram = batch.column("gram").to_numpy().view(np.uint64)
+                yield cells.deal(shards, gram, [gram, batch.column("value").to_numpy()])
+
+        own = table.where(F.col("model").isin(model, -1) & (F.col("round") == r))
+        return own.select("gram", "value").mapInArrow(emit, cells.SCHEMA)
+
+    def meet(left, right):
+        gram, value = cells.together(right["payload"], BELOW)
+        order = np.argsort(gram)
+        gram, value = gram[order], value[order].astype(np.float64)
+        cut = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, np.int64)
+        gram, value = gram[cut], np.add.reduceat(value, cut) if len(cut) else value
+        dig, loss = [], []
+        for cell in left["payload"]:
+            cell = cell.as_buffer()
+            (n,), start = cells.read(cell, [np.int64], n=1)
+            (key, place, times, missed), start = cells.read(cell, ASKED, start, int(n[0]))
+            (digs,), _ = cells.read(cell, [np.int64], start)
+            worth = missed.astype(np.float64)
+            if len(gram):
+                at = np.minimum(np.searchsorted(gram, key), len(gram) - 1)
+                worth = np.where(gram[at] == key, value[at], worth)
+            dig.append(digs)
+            loss.append(-np.bincount(place, worth * times, len(digs)))
+        return pa.table({"dig": np.concatenate(dig or [np.zeros(0, np.int64)]), "loss": np.concatenate(loss or [np.zeros(0)])})
+
+    parts = []
+    for model in range(MODELS):
+        for r in range(rounds):
+            met = asked(model, r).groupBy("shard").cogroup(known(model, r).groupBy("shard")).applyInArrow(meet, "dig long, loss double")
+            parts.append(staged(met.groupBy("dig").agg(F.sum("loss").alias("loss")), "part-losses"))
+    return reduce(DataFrame.unionByName, parts).groupBy("dig").agg(F.sum("loss").alias("loss"))
 
 
 def quantiles(placed, within, quantile):
@@ -382,17 +580,23 @@ class Classifier:
     def __init__(self, df, labels, text="text", key="doc_id", lang="lang", quantile=QUANTILE, margin=MARGIN):
         common.ship(df.sparkSession)
         self.columns = text, key, lang
+        with shuffles_removed(df.sparkSession):
+            self._train(df, labels, quantile, margin)
+
+    def _train(self, df, labels, quantile, margin):
         docs = self._documents(df)
         # how much is trusted has no bound: its keys are broadcast only while they are few
-        good = small_side(staged(trusted_ids(labels, key), "trusted"))
+        good = small_side(staged(trusted_ids(labels, self.columns[1]), "trusted"))
         trusted = staged(docs.join(good, docs["doc_id"] == F.col("trusted_id"), "left_semi").select("text", half().alias("half")), "texts")
         spellings = fit(text_of_tokens(trusted))
         table, weights = values(count_words(trusted, spellings))
+        unstage(trusted)
         texts = docs.select("text", "dig", half().alias("half"))
         rows = docs.select("doc_id", "lang", "dig", F.length("text").cast("long").alias("n_symbols"))
         copies = rows.groupBy("dig").agg(F.count(F.lit(1)).alias("copies"))
         losses = text_losses(texts, spellings, table, weights)
         self.losses = staged(losses.join(copies, "dig").select("dig", (F.col("loss") / F.col("copies")).alias("loss")), "losses")
+        unstage(table)
         self.scores = staged(rows.join(self.losses.hint("merge"), "dig").drop("dig"), "scores")
         trusted = self.scores.join(good, self.scores["doc_id"] == F.col("trusted_id"), "left_semi").where("n_symbols > 0")
         mean = trusted.agg(F.sum("loss") / F.sum("n_symbols")).first()[0]

@@ -4,7 +4,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _OWN_FOLDER = []
 _WRITTEN = {}
 _SHARED = {}
@@ -55,6 +57,25 @@ def staged_once(spark, key, build, name="shared"):
     return spark.read.schema(schema).parquet(location)
 
 
+def unstage(df):
+    """Remove what ``staged`` wrote for ``df``, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_removed(spark):
+    """Within, a query's shuffle files go when it ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
 def release(spark):
     """Remove all that this application has staged; call it when its results have been written."""
     application = spark.sparkContext.applicationId

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import common, kneser_ney
+from ledgerloom.sources import staging
 
 TEXTS = [f"the cat sat on the mat {i}, a dog and the cat ran. The {w} sat!" for i, w in enumerate("one two three four five six seven".split())]
 ASKED = ["the cat sat on the mat", "mat the on sat cat the", "the the the the the the", "unseen wörds, cat!", ""]
@@ -100,3 +101,27 @@ def test_quantiles_are_exact(spark):
             want[lang] = own[max(math.ceil(len(own) * q), 1) - 1], len(own)
         got = {r["lang"]: (r["own"], r["n"]) for r in kneser_ney.quantiles(placed, ["lang"], q).collect()}
         assert got == want
+
+
+def test_rounds_and_shards_change_no_loss(spark, monkeypatch):
+    common.ship(spark)
+    docs = spark.createDataFrame([(t,) for t in TEXTS], "text string").withColumn("half", kneser_ney.half()).repartition(3)
+    table = kneser_ney.fit(kneser_ney.text_of_tokens(docs))
+    asked = [(t, i, half) for i, t in enumerate(ASKED + TEXTS) for half in [i % 2]]
+    rows = spark.createDataFrame(asked, "text string, dig long, half int")
+    got = []
+    for size in (kneser_ney.SHARD_BYTES, 30):
+        monkeypatch.setattr(kneser_ney, "SHARD_BYTES", size)
+        found, weights = kneser_ney.values(kneser_ney.count_words(docs, table))
+        got.append({r.dig: r.loss for r in kneser_ney.text_losses(rows, table, found, weights).collect()})
+    assert weights.rounds == kneser_ney.ROUNDS > 1
+    assert got[1] == pytest.approx(got[0], rel=1e-6)
+
+
+def test_training_removes_its_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda spark: str(tmp_path))
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(TEXTS))], "doc_id long, quality int, toxic int")
+    assert len(kneser_ney.classify(docs, labels).collect()) == len(TEXTS)
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert left and not left & {"texts", "runs", "vocabulary", "words2", "words1", "seen", "weights", "values", "below", "contexts"}
