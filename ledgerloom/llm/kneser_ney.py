@@ -295,7 +295,7 @@ def values(counts):
     With p(w | uv) = p3 where uvw is seen, else weight(uv) p(w | v), the logarithm is the sum of log p1(w), log weight(v)
     and log weight(uv), of log p2 - log weight(v) - log p1 where vw is seen, and of log p3 - log weight(uv) - log p2
     where uvw is seen. A context without a row has weight 1, a word without one weight times spelling. An n-gram may have two
-    rows, as one that is seen and as a context; single words are of model -1 and round 0.
+    rows, as one that is seen and as a context; single words are of model and round -1.
     """
     spark = counts.texts.sparkSession
     shards, rounds = counts.share
@@ -322,7 +322,7 @@ def values(counts):
         staged(one.select(F.col("word").alias("gram"), F.col("below").cast("float").alias("value")), "values"),
         staged(heads.select(F.col("middle").alias("gram"), F.log("weight").cast("float").alias("value")), "values"),
     ]
-    out = [t.withColumns({"model": F.lit(-1), "round": F.lit(0)}) for t in single]
+    out = [t.withColumns({"model": F.lit(-1), "round": F.lit(-1)}) for t in single]
 
     def key_pairs(batches):
         for batch in batches:
@@ -404,8 +404,8 @@ def text_losses(docs, spellings, table, weights):
                 doc, keys, inner, full, token, starts, ends = word_grams(data, offsets, np.full(len(own), model))
                 now = keys[0] % np.uint64(rounds) == r
                 before = np.append(False, now[:-1])
-                # 2-grams are seen in the round of their first word and contexts in that of their second one
-                at = [np.flatnonzero(v) for v in (inner & (r == 0), inner & (before | now), full & before)]
+                # words are of their own round; 2-grams are seen in the round of their first word and contexts in that of their second
+                at = [np.flatnonzero(v) for v in (inner & now, inner & (before | now), full & before)]
                 key = np.concatenate([k[x] for k, x in zip(keys, at)])
                 single, at = len(at[0]), np.concatenate(at)
                 order = np.argsort(key, kind="stable")  # texts stay in order within a key
@@ -437,10 +437,11 @@ def text_losses(docs, spellings, table, weights):
         def emit(batches):
             for batch in cells.gathered(batches):
                 gram = batch.column("gram").to_numpy().view(np.uint64)
-                yield cells.deal(shards, gram, [gram, batch.column("value").to_numpy()])
+                own = (batch.column("round").to_numpy() == r) | (gram % np.uint64(rounds) == r)  # single words of this round
+                yield cells.deal(shards, gram[own], [gram[own], batch.column("value").to_numpy()[own]])
 
-        own = table.where(F.col("model").isin(model, -1) & (F.col("round") == r))
-        return own.select("gram", "value").mapInArrow(emit, cells.SCHEMA)
+        own = table.where(((F.col("model") == model) & (F.col("round") == r)) | (F.col("round") == -1))
+        return own.select("gram", "value", "round").mapInArrow(emit, cells.SCHEMA)
 
     def meet(left, right):
         gram, value = cells.together(right["payload"], BELOW)
