@@ -35,20 +35,24 @@ def read(cell, kinds, start=0, n=None):
     return out, start
 
 
+def planes(column):
+    """The bytes of a column of numbers, all first ones, then all second ones and so on: what numbers have in common is then packed well."""
+    return np.ascontiguousarray(column.view(np.uint8).reshape(len(column), column.itemsize).T).tobytes()
+
+
+def from_planes(cell, kind, n, start):
+    """A column that ``planes`` wrote, and the byte after it."""
+    size = np.dtype(kind).itemsize
+    raw = np.frombuffer(cell, np.uint8, n * size, start).reshape(size, n)
+    return np.ascontiguousarray(raw.T).view(kind).ravel(), start + n * size
+
+
+def steps(column):
+    """The differences of a sorted column, the first one from zero; sums give it back."""
+    return np.diff(column, prepend=column.dtype.type(0))
+
+
 def together(payload, kinds):
     """The columns of all cells of an Arrow column, one after another."""
     parts = [read(cell.as_buffer(), kinds)[0] for cell in payload]
     return [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, k) for k in kinds]
-
-
-def gathered(batches, rows=1 << 18):
-    """Arrow batches put together to ``rows`` or more, so that their cells are not tiny."""
-    held, n = [], 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n >= rows:
-            yield pa.concat_batches(held)
-            held, n = [], 0
-    if n:
-        yield pa.concat_batches(held)

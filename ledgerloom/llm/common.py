@@ -60,14 +60,17 @@ def slices(batches, column="text", limit=SLICE_BYTES, kept=()):
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.diff(text_buffers(batch.column(column))[1])
-        part = np.cumsum(sizes) // limit
-        cuts = np.flatnonzero(np.diff(part)) + 1
-        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        for lo, hi in spans(text_buffers(batch.column(column))[1], limit):
             yield batch.slice(lo, hi - lo)
     release(kept)
 
 
+def spans(offsets, limit):
+    """First and last row (exclusive) of runs of texts that hold about ``limit`` bytes each."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(np.diff(offsets)) // limit)) + 1
+    return zip([0, *cuts.tolist()], [*cuts.tolist(), len(offsets) - 1])
+
+
 #: What workers remember from task to task, by name: functions whose ``cache_clear`` forgets it.
 REMEMBERED = {}
 

@@ -20,6 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,11 +42,14 @@ QUANTILE, MARGIN = 0.995, 1.25
 WORDS, MODELS = 3, 2
 BEFORE, AFTER = np.uint64(1), np.uint64(2)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-#: Bytes of text of a slice and of a shard, the least number of shards, and rounds at most.
-SLICE_BYTES, SHARD_BYTES, LEAST_SHARDS, ROUNDS = 4 << 20, 16 << 20, 8, 4
-#: Columns of cells: n-grams of text; shorter ones; those with their discounted part and weight; a key with a number; those of texts.
-RUN, PAIR, SEEN, BELOW = ["u8", "u8", "u8", "u4"], ["u8", "u8"], ["u8", "u8", "f4", "f4"], ["u8", "f4"]
-ASKED = ["u8", "u4", "u4", "f4"]
+#: Bytes of text of a slice, of what is split at once, and of a round and shard at least; the least number of shards, rounds at most.
+SLICE_BYTES, PART_BYTES, SHARD_BYTES, LEAST_SHARDS, ROUNDS = 4 << 20, 1 << 18, 16 << 20, 8, 8
+#: Bytes from which a word is hashed byte by byte.
+LONG = 64
+#: Columns of cells: n-grams of text; 2-grams; those with their discounted part and weight; a key with a number or two.
+RUN, PAIR, HEADED, SEEN = ["u8", "u8", "u8", "u4"], ["u8", "u8"], ["u8", "u8", "f4", "f4"], ["u8", "u8", "f4", "f4"]
+NUMBER, BELOW, BELOW2 = ["u8", "u4"], ["u8", "f4"], ["u8", "f4", "f4"]
+SPELLED, WORD = ["u8", "f8"], ["u8", "u4", "f8"]
 #: Languages with fewer trusted documents take the threshold of all.
 LEAST_TRUSTED = 50
 
@@ -104,14 +108,12 @@ WITHIN = np.log(np.bincount(CLASSES)[CLASSES])
 
 def split_tokens(data, offsets):
     """Start and end byte of each word or run of signs, and the index of each text's first one (one more at the end)."""
-    kind = KINDS[data]
+    kind = np.frombuffer(data.tobytes().translate(KINDS.tobytes()), np.uint8)
     edge = np.ones(len(data) + 1, bool)
-    edge[1:-1] = kind[1:] != kind[:-1]
+    np.not_equal(kind[1:], kind[:-1], out=edge[1:-1])
     edge[offsets] = True
-    cuts = np.flatnonzero(edge)
-    starts, ends = cuts[:-1], cuts[1:]
-    own = kind[starts] > 0
-    starts, ends = starts[own], ends[own]
+    own = kind > 0
+    starts, ends = np.flatnonzero(edge[:-1] & own), np.flatnonzero(edge[1:] & own) + 1
     return starts, ends, np.searchsorted(starts, offsets)
 
 
@@ -134,30 +136,73 @@ def spelling(table, data, starts, ends):
     return np.diff(by_class[counts]) + np.diff(by_byte[offsets])
 
 
-def word_grams(data, offsets, model):
-    """Of texts, each with the number of its model: text and keys of all n-grams that end at each word but the first one.
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
-    Before a text stand WORDS - 1 words, one after it. ``keys[k]`` is of the n-gram of k + 1 words, ``inner`` and ``full``
-    tell where one of 1 or 2 and where one of WORDS words ends, and ``token`` is the number of the last word, -1 before and after a text.
+
+def hash_tokens(data, starts, ends):
+    """A 64-bit hash of each token, from eight bytes at a time; that of a long one is of its bytes."""
+    size = ends - starts
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+    out = common.mix((eight[starts] & MASKS[np.minimum(size, 8)]) ^ size.astype(np.uint64) * STEP)
+    more, k = np.flatnonzero(size > 8), 8
+    while len(more) and k < LONG:
+        out[more] = longer(out[more], eight[starts[more] + k] & MASKS[np.minimum(size[more] - k, 8)])
+        k += 8
+        more = more[size[more] > k]
+    if len(more):
+        out[more] = common.hash_words(data, starts[more], ends[more])
+    return out
+
+
+class Words(NamedTuple):
+    """Texts with WORDS - 1 words before each and one after it: text and key of each word, whether it is not a text's first
+    one, and not one of its first two, the number of its token, -1 before and after a text, and where tokens start and end.
     """
+
+    doc: np.ndarray
+    key: np.ndarray
+    inner: np.ndarray
+    full: np.ndarray
+    token: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def pair(self, at):
+        """The keys of the 2-grams that end at ``at``."""
+        return longer(self.key[at - 1], self.key[at])
+
+    def after(self, own):
+        """Whether the word before is one of ``own``."""
+        return np.append(False, own[:-1])
+
+
+def words_of(data, offsets, model):
+    """The ``Words`` of texts, each with the number of its model."""
     starts, ends, first = split_tokens(data, offsets)
-    words = common.hash_words(data, starts, ends)
     number = np.diff(first)
     size = number + WORDS
     head = np.cumsum(size) - size
     doc = np.repeat(np.arange(len(number)), size)
-    padded, token = np.full(size.sum(), BEFORE), np.full(size.sum(), -1)
-    place = np.arange(len(words)) + np.repeat(head - first[:-1] + WORDS - 1, number)
-    padded[place], token[place] = words, np.arange(len(words))
+    padded, token = np.full(len(doc), BEFORE), np.full(len(doc), -1)
+    place = np.arange(len(starts)) + np.repeat(head - first[:-1] + WORDS - 1, number)
+    padded[place], token[place] = hash_tokens(data, starts, ends), np.arange(len(starts))
     padded[head + size - 1] = AFTER
-    keys = [common.mix(padded * STEP + model[doc].astype(np.uint64) + np.uint64(1))]
-    for _ in range(WORDS - 1):
-        keys.append(longer(np.append(np.uint64(0), keys[-1][:-1]), keys[0]))
     inner = np.ones(len(doc), bool)
     inner[head] = False
     full = inner.copy()
-    full[1:] &= inner[:-1]
-    return doc, keys, inner, full, token, starts, ends
+    full[head + 1] = False
+    return Words(doc, common.mix(padded * STEP + np.repeat(model.astype(np.uint64) + np.uint64(1), size)), inner, full, token, starts, ends)
+
+
+def parts_of(data, offsets, model):
+    """Texts a part at a time, so that arrays stay small: the first text, the first byte and the ``Words`` of each."""
+    for lo, hi in common.spans(offsets, PART_BYTES):
+        yield lo, offsets[lo], words_of(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], model[lo:hi])
+
+
+def round_of(key, rounds):
+    """The round of a word, from bits that do not choose its shard."""
+    return ((key & np.uint64(0xFFFFFFFF)) * np.uint64(rounds)) >> np.uint64(32)
 
 
 def longer(gram, word):
@@ -165,18 +210,32 @@ def longer(gram, word):
     return common.mix(gram * STEP + word)
 
 
-def spelled(table, data, starts, ends, token):
-    """-log p of the spellings of tokens, zero for those that stand before and after a text."""
-    loss = np.zeros(len(token))
-    own = token >= 0
-    loss[own] = spelling(table, data, starts[token[own]], ends[token[own]])
+def spelled(table, data, starts, ends):
+    """-log p of the spellings of tokens, zero for those that stand before and after a text, which are empty here."""
+    loss = np.zeros(len(starts))
+    own = ends > starts
+    loss[own] = spelling(table, data, starts[own], ends[own])
     return loss
 
 
 def shares(docs):
     """How many shards and rounds the texts are dealt to: neither changes a result, both bound what is held at a time."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return max(LEAST_SHARDS, math.ceil(size / SHARD_BYTES)), int(min(ROUNDS, 1 + size // SHARD_BYTES))
+    rounds = int(min(ROUNDS, 1 + size // SHARD_BYTES))
+    return max(LEAST_SHARDS, math.ceil(2 * size / SHARD_BYTES / rounds)), rounds
+
+
+def distinct(key):
+    """An order of ``key`` and where each distinct one begins in it."""
+    order = np.argsort(key)
+    own = key[order]
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    return order, np.flatnonzero(new)
+
+
+def sums(values, begins):
+    return np.add.reduceat(values, begins) if len(begins) else np.zeros(0, values.dtype)
 
 
 def runs(texts, model, share, r):
@@ -185,12 +244,14 @@ def runs(texts, model, share, r):
 
     def emit(batches):
         for batch in common.slices(batches, limit=SLICE_BYTES):
-            _, keys, _, full, *_ = word_grams(*common.text_buffers(batch.column("text")), np.full(batch.num_rows, model))
-            at = np.flatnonzero(full)
-            at = at[keys[0][at - 1] % np.uint64(rounds) == r]
-            _, first, n = np.unique(keys[2][at], return_index=True, return_counts=True)
-            at = at[first]
-            yield cells.deal(shards, keys[1][at - 1], [keys[1][at - 1], keys[0][at - 1], keys[0][at], n.astype(np.uint32)])
+            found = []
+            for _, _, w in parts_of(*common.text_buffers(batch.column("text")), np.full(batch.num_rows, model)):
+                at = np.flatnonzero(w.full & w.after(round_of(w.key, rounds) == r))
+                found.append([w.pair(at - 1), w.key[at - 1], w.key[at]])
+            context, middle, word = (np.concatenate(c) for c in zip(*found))
+            order, begins = distinct(longer(context, word))
+            at, n = order[begins], np.diff(np.append(begins, len(order))).astype(np.uint32)
+            yield cells.deal(shards, context[at], [context[at], middle[at], word[at], n])
 
     return texts.where(F.col("half") == model).select("text").mapInArrow(emit, cells.SCHEMA)
 
@@ -198,74 +259,150 @@ def runs(texts, model, share, r):
 def counted(payload):
     """Distinct n-grams of a shard with their counts, sorted by context, and where each context begins."""
     context, middle, word, n = cells.together(payload, RUN)
-    order = np.lexsort((word, context))
-    context, middle, word, n = context[order], middle[order], word[order], n[order]
-    new = np.ones(len(context), bool)
-    new[1:] = (context[1:] != context[:-1]) | (word[1:] != word[:-1])
-    cut = np.flatnonzero(new)
-    context, middle, word, n = context[cut], middle[cut], word[cut], np.add.reduceat(n.astype(np.int64), cut)
-    begins = np.ones(len(context), bool)
-    begins[1:] = context[1:] != context[:-1]
-    return context, middle, word, n, np.flatnonzero(begins)
+    order, begins = distinct(longer(context, word))
+    n, at = sums(n[order].astype(np.int64), begins), order[begins]
+    context, middle, word = context[at], middle[at], word[at]
+    order, begins = distinct(context)
+    return context[order], middle[order], word[order], n[order], begins
+
+
+def how_many(n):
+    """How many of the counts are 1, 2, 3 and 4."""
+    return [int((n == k).sum()) for k in (1, 2, 3, 4)]
+
+
+#: How many n-grams of 3 (c), and of 2 words (d) or of one (d) have counts of 1 to 4.
+OFTEN3, OFTEN = ", ".join(f"c{k} long" for k in (1, 2, 3, 4)), ", ".join(f"d{k} long" for k in (1, 2, 3, 4))
+
+
+def with_numbers(batch, names, numbers):
+    """A batch with columns of numbers that stand in its first row, zero in others."""
+    for name, number in zip(names, numbers):
+        column = np.zeros(batch.num_rows, type(number))
+        if len(column):
+            column[0] = number
+        batch = batch.append_column(name, pa.array(column))
+    return batch
+
+
+def totals(tables, names):
+    """The sums of columns of numbers over tables."""
+    both = reduce(DataFrame.unionByName, [t.select(*names) for t in tables])
+    return [x or 0 for x in both.agg(*[F.sum(c) for c in names]).first()]
+
+
+def names_of(schema):
+    return [f.split()[0] for f in schema.split(", ")]
+
+
+def packed_pairs(middle, word, n):
+    """A cell of 2-grams, sorted by their first word."""
+    return cells.planes(cells.steps(middle)) + cells.planes(word) + cells.planes(n.astype(np.uint32))
+
+
+def pairs_in(batches):
+    """The 2-grams of each cell, (first word, second word, count), and where each first word begins."""
+    for batch in batches:
+        for cell in batch.column("payload"):
+            cell = cell.as_buffer()
+            n = len(cell) // 20
+            middle, at = cells.from_planes(cell, np.uint64, n, 0)
+            word, at = cells.from_planes(cell, np.uint64, n, at)
+            n, _ = cells.from_planes(cell, np.uint32, n, at)
+            middle = np.cumsum(middle, dtype=np.uint64)
+            yield middle, word, n, np.flatnonzero(np.append(True, middle[1:] != middle[:-1]))
 
 
 class Counts(NamedTuple):
-    """What ``count_words`` found: counts of 2-grams by model and round, their words' spellings, and discounts of 3-grams."""
+    """What ``count_words`` found: cells of 2-grams by model and round, cells of words by model, and discounts by length."""
 
     texts: DataFrame
     share: tuple
     pairs: dict
-    words: DataFrame
-    off: list
+    words: dict
+    off: dict
+    whole: dict
 
 
-def count_words(docs, table):
+def count_words(docs, table, share=None):
     """Counts of all n-grams of the texts. Those of WORDS words are dealt round by round and not kept, since they outgrow the texts."""
     spark = docs.sparkSession
-    share = shares(docs)
+    shards, rounds = share = share or shares(docs)
     sent = spark.sparkContext.broadcast(table)
 
     def once(group):
         _, middle, word, n, _ = counted(group["payload"])
-        out = cells.deal(share[0], longer(middle, word), [middle, word])
-        for k in (1, 2, 3, 4):  # on the first row of a shard
-            own = np.zeros(out.num_rows, np.int64)
-            own[0] = (n == k).sum()
-            out = out.append_column(f"n{k}", pa.array(own))
-        return pa.Table.from_batches([out])
+        return pa.Table.from_batches([with_numbers(cells.deal(shards, middle, [middle, word]), names_of(OFTEN3), how_many(n))])
 
     def pair(group):
         middle, word = cells.together(group["payload"], PAIR)
-        order = np.lexsort((word, middle))
-        middle, word = middle[order], word[order]
-        new = np.ones(len(word), bool)
-        new[1:] = (middle[1:] != middle[:-1]) | (word[1:] != word[:-1])
-        cut = np.flatnonzero(new)
-        return pa.table({"middle": middle[cut].view(np.int64), "word": word[cut].view(np.int64), "n": np.diff(np.append(cut, len(word)))})
-
-    pairs, seen = {}, np.zeros(4, np.int64)
+        order, begins = distinct(longer(middle, word))
+        at, n = order[begins], np.diff(np.append(begins, len(order)))
+        order = np.argsort(middle[at])
+        at, n = at[order], n[order]
+        numbers = [pa.compute.sum(group[c]).as_py() for c in names_of(OFTEN3)] + how_many(n)
+        cell = pa.RecordBatch.from_arrays([pa.array([packed_pairs(middle[at], word[at], n)], pa.binary())], names=["payload"])
+        return pa.Table.from_batches([with_numbers(cell, names_of(f"{OFTEN3}, {OFTEN}"), numbers)])
+
+    pairs = {}
     for model in range(MODELS):
-        for r in range(share[1]):
-            found = staged(
-                runs(docs, model, share, r).groupBy("shard").applyInArrow(once, cells.SCHEMA + ", n1 long, n2 long, n3 long, n4 long"), "runs"
-            )
-            seen += np.array([x or 0 for x in found.agg(*[F.sum(f"n{k}") for k in (1, 2, 3, 4)]).first()])
-            pairs[model, r] = staged(
-                found.select("shard", "payload").groupBy("shard").applyInArrow(pair, "middle long, word long, n long"), "words2"
-            )
-            unstage(found)
+        for r in range(rounds):
+            found = runs(docs, model, share, r).groupBy("shard").applyInArrow(once, f"{cells.SCHEMA}, {OFTEN3}")
+            pairs[model, r] = staged(found.groupBy("shard").applyInArrow(pair, f"payload binary, {OFTEN3}, {OFTEN}"), "words2")
 
     def vocabulary(batches):
         for batch in common.slices(batches, limit=SLICE_BYTES):
             data, offsets = common.text_buffers(batch.column("text"))
-            _, keys, inner, _, token, starts, ends = word_grams(data, offsets, batch.column("half").to_numpy())
-            at = np.flatnonzero(inner)
-            own, first = np.unique(keys[0][at], return_index=True)
-            loss = spelled(sent.value, data, starts, ends, token[at[first]])
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(loss)], names=["word", "spelled"])
+            found = []
+            for _, start, w in parts_of(data, offsets, batch.column("half").to_numpy()):
+                at = np.flatnonzero(w.inner)
+                own, first = np.unique(w.key[at], return_index=True)
+                token = w.token[at[first]]
+                known = token >= 0
+                begin, end = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
+                begin[known], end[known] = w.starts[token[known]] + start, w.ends[token[known]] + start
+                found.append([own, begin, end])
+            key, begin, end = (np.concatenate(c) for c in zip(*found))
+            order, begins = distinct(key)
+            at = order[begins]
+            yield cells.deal(shards, key[at], [key[at], spelled(sent.value, data, begin[at], end[at])])
+
+    def second_words(batches):
+        for _, word, _, _ in pairs_in(batches):
+            order, begins = distinct(word)
+            own = word[order[begins]]
+            yield cells.deal(shards, own, [own, np.diff(np.append(begins, len(order))).astype(np.uint32)], ordered=True)
+
+    def one(left, right):
+        word, n = cells.together(left["payload"], NUMBER)
+        key, loss = cells.together(right["payload"], SPELLED)
+        order, begins = distinct(word)
+        word, n = word[order[begins]], sums(n[order].astype(np.int64), begins)
+        order = np.argsort(key)
+        loss = loss[order[np.searchsorted(key[order], word)]] if len(word) else np.zeros(0)
+        cell = b"".join(c.tobytes() for c in (word, n.astype(np.uint32), loss))
+        shard = (left if left.num_rows else right)["shard"][:1].combine_chunks()
+        batch = pa.RecordBatch.from_arrays([shard, pa.array([cell], pa.binary())], names=["shard", "payload"])
+        return pa.Table.from_batches([with_numbers(batch, names_of(f"{OFTEN}, {SIZES}"), [*how_many(n), len(n), int(n.sum())])])
+
+    words = {}
+    for model in range(MODELS):
+        own = reduce(DataFrame.unionByName, [t.select("payload") for (m, _), t in pairs.items() if m == model])
+        left = own.mapInArrow(second_words, cells.SCHEMA).groupBy("shard")
+        right = docs.where(F.col("half") == model).select("text", "half").mapInArrow(vocabulary, cells.SCHEMA).groupBy("shard")
+        words[model] = staged(left.cogroup(right).applyInArrow(one, f"{cells.SCHEMA}, {OFTEN}, {SIZES}"), "words1")
+    often = totals(pairs.values(), names_of(f"{OFTEN3}, {OFTEN}"))
+    off = {3: discount_of(*often[:4]), 2: discount_of(*often[4:]), 1: discount_of(*totals(words.values(), names_of(OFTEN)))}
+    whole = {}
+    for model, t in words.items():
+        n1, n2, _, _, n, total = totals([t], names_of(f"{OFTEN}, {SIZES}"))
+        if n:
+            whole[model] = total, (off[1][0] * n1 + off[1][1] * n2 + off[1][2] * (n - n1 - n2)) / total
+    return Counts(docs, share, pairs, words, {k: np.array(v) for k, v in off.items()}, whole)
+
 
-    words = docs.select("text", "half").mapInArrow(vocabulary, "word long, spelled double").groupBy("word").agg(F.first("spelled").alias("spelled"))
-    return Counts(docs, share, pairs, staged(words, "vocabulary"), discount_of(*seen.tolist()))
+#: How many words there are and the sum of their counts.
+SIZES = "n long, total long"
 
 
 def discount_of(n1, n2, n3, n4):
@@ -276,12 +413,6 @@ def discount_of(n1, n2, n3, n4):
     )]
 
 
-def discounts(table):
-    """What modified Kneser-Ney takes off a count of ``n``."""
-    off = discount_of(*table.agg(*[F.coalesce(F.sum((F.col("n") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4)]).first())
-    return F.when(F.col("n") == 1, off[0]).when(F.col("n") == 2, off[1]).otherwise(off[2])
-
-
 class Weights(NamedTuple):
     """Log weight of spellings by model, and the rounds that values are in."""
 
@@ -289,108 +420,120 @@ class Weights(NamedTuple):
     rounds: int
 
 
-def values(counts):
-    """(gram, value, model, round), whose values' sum over all n-grams of a text is its log-probability, and each model's log weight of spellings.
+class Values:
+    """Values of n-grams whose sum over all n-grams of a text is its log-probability, made a model and a round at a time.
 
     With p(w | uv) = p3 where uvw is seen, else weight(uv) p(w | v), the logarithm is the sum of log p1(w), log weight(v)
     and log weight(uv), of log p2 - log weight(v) - log p1 where vw is seen, and of log p3 - log weight(uv) - log p2
     where uvw is seen. A context without a row has weight 1, a word without one weight times spelling. An n-gram may have two
-    rows, as one that is seen and as a context; single words are of model and round -1.
+    rows, as one that is seen and as a context. A round has the n-grams of WORDS words and their contexts by the middle word, 2-grams by their
+    first word, and single words by themselves. What it needs goes with it, so values can be gone through once.
     """
-    spark = counts.texts.sparkSession
-    shards, rounds = counts.share
-    off = np.array(counts.off)
-    two = reduce(DataFrame.unionByName, [t.withColumn("model", F.lit(m)) for (m, _), t in counts.pairs.items()])
-    one = staged(two.groupBy("word", "model").agg(F.count(F.lit(1)).alias("n")).join(counts.words, "word"), "words1")
-    unstage(counts.words)
-    one = one.withColumn("off", discounts(one))
-    whole = {r["model"]: (r["total"], r["left"] / r["total"]) for r in
-             one.groupBy("model").agg(F.sum("n").alias("total"), F.sum("off").alias("left")).collect()}
-    total, weight = F.lit(1.0), F.lit(1.0)
-    for m, (t, w) in whole.items():
-        total = F.when(F.col("model") == m, float(t)).otherwise(total)
-        weight = F.when(F.col("model") == m, float(w)).otherwise(weight)
-    p1 = (F.col("n") - F.col("off")) / total + weight * F.exp(-F.col("spelled"))
-    first, one = one, staged(one.select("word", F.log(p1).alias("below")), "below")
-    unstage(first)
-    two_off = discounts(two)
-    heads = staged(
-        two.withColumn("off", two_off).groupBy("middle").agg(F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("weight")), "contexts"
-    )
-    row = ("gram long", "value float")
-    single = [
-        staged(one.select(F.col("word").alias("gram"), F.col("below").cast("float").alias("value")), "values"),
-        staged(heads.select(F.col("middle").alias("gram"), F.log("weight").cast("float").alias("value")), "values"),
-    ]
-    out = [t.withColumns({"model": F.lit(-1), "round": F.lit(-1)}) for t in single]
-
-    def key_pairs(batches):
-        for batch in batches:
-            middle, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("middle", "word"))
-            columns = [pa.array(longer(middle, word).view(np.int64)), batch.column("value"), batch.column("p")]
-            yield pa.RecordBatch.from_arrays(columns, names=["gram", "value", "p"])
-
-    def deal_pairs(batches):
-        for batch in cells.gathered(batches):
-            gram = batch.column("gram").to_numpy().view(np.uint64)
-            yield cells.deal(shards, gram, [gram, batch.column("p").to_numpy()])
-
-    def weigh(group):
-        context, middle, word, n, begins = counted(group["payload"])
-        own = off[np.minimum(n, 3) - 1]
-        total, left = np.add.reduceat(n, begins), np.add.reduceat(own, begins)
-        whose = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(n))))
-        weight = left / total
-        shorter = longer(middle, word)
-        kind = [longer(context, word), shorter, ((n - own) / total[whose]).astype(np.float32), weight[whose].astype(np.float32)]
-        dealt = cells.deal(shards, shorter, kind)
-        none = len(begins)
-        return pa.table({
-            "shard": pa.concat_arrays([dealt["shard"], pa.nulls(none, pa.int32())]),
-            "payload": pa.concat_arrays([dealt["payload"], pa.nulls(none, pa.binary())]),
-            "gram": pa.concat_arrays([pa.nulls(dealt.num_rows, pa.int64()), pa.array(context[begins].view(np.int64))]),
-            "value": pa.concat_arrays([pa.nulls(dealt.num_rows, pa.float32()), pa.array(np.log(weight).astype(np.float32))]),
-        })
 
-    def back_off(left, right):
-        gram, shorter, p, weight = cells.together(left["payload"], SEEN)
-        known, below = cells.together(right["payload"], BELOW)
-        order = np.argsort(known)
-        p2 = below[order[np.searchsorted(known[order], shorter)]].astype(np.float64) if len(gram) else np.zeros(0)
-        value = np.log(p + weight * p2) - np.log(weight.astype(np.float64)) - np.log(p2)
-        return pa.table({"gram": gram.view(np.int64), "value": value.astype(np.float32)})
-
-    for (model, r), table in counts.pairs.items():
-        p = (F.col("n") - F.col("off")) / F.col("total") + F.col("weight") * F.exp("below")
-        joined = table.withColumn("off", two_off).join(heads, "middle").join(one, "word").select(
-            "middle", "word", p.cast("float").alias("p"), (F.log(p) - F.log("weight") - F.col("below")).cast("float").alias("value")
-        )
-        seen = staged(joined.mapInArrow(key_pairs, "gram long, value float, p float"), "seen")
-        unstage(table)
+    def __init__(self, counts):
+        self.counts = counts
+
+    def rounds(self, shards):
+        """(model, round, cells of gram and value dealt to ``shards``) of all rounds; a round's cells go when the next one is asked for."""
+        for model, r in self.counts.pairs:
+            found = self._round(model, r, shards)
+            unstage(self.counts.pairs[model, r])
+            yield model, r, found
+            unstage(found)
+            if r == self.counts.share[1] - 1:
+                unstage(self.counts.words[model])
+
+    def count(self):
+        """How many values there are."""
+        size = F.sum(F.octet_length("payload")) / sum(np.dtype(k).itemsize for k in BELOW)
+        return sum(int(found.agg(size).first()[0] or 0) for _, _, found in self.rounds(LEAST_SHARDS))
+
+    def _round(self, model, r, to):
+        counts = self.counts
+        shards, rounds = counts.share
+        off = counts.off
+        total, least = counts.whole.get(model, (1, 1.0))
+        pairs, words = counts.pairs[model, r].select("payload"), counts.words[model].select("shard", "payload")
+
+        def parts(n, begins, length):
+            """Of n-grams of contexts that begin at ``begins``: the discounted part, and the weight of each context."""
+            own = off[length][np.minimum(n, 3) - 1]
+            size = np.diff(np.append(begins, len(n)))
+            all_, left = sums(n.astype(np.int64), begins), sums(own, begins)
+            return (n - own) / np.repeat(all_, size), left / all_, size
+
+        def below(n, loss):
+            """log p1 of words."""
+            return np.log((n - off[1][np.minimum(n, 3) - 1]) / total + least * np.exp(-loss))
+
+        def logs(gram, value, ordered=False):
+            return cells.deal(to, gram, [gram, value.astype(np.float32)], ordered=ordered)
+
+        def weigh(group):
+            context, middle, word, n, begins = counted(group["payload"])
+            p, weight, size = parts(n, begins, 3)
+            shorter = longer(middle, word)
+            seen = [longer(context, word), shorter, p.astype(np.float32), np.repeat(weight, size).astype(np.float32)]
+            out = cells.deal(shards, shorter, seen), logs(context[begins], np.log(weight), ordered=True)
+            return pa.Table.from_batches([b.append_column("kind", pa.array(np.full(b.num_rows, k, np.int32))) for k, b in enumerate(out)])
+
+        def by_second(batches):
+            for middle, word, n, begins in pairs_in(batches):
+                p, weight, size = parts(n, begins, 2)
+                yield cells.deal(shards, word, [middle, word, p.astype(np.float32), np.repeat(weight, size).astype(np.float32)])
+
+        def contexts(batches):
+            for middle, _, n, begins in pairs_in(batches):
+                yield logs(middle[begins], np.log(parts(n, begins, 2)[1]), ordered=True)
+
+        def single(batches):
+            for batch in batches:
+                word, n, loss = cells.together(batch.column("payload"), WORD)
+                own = round_of(word, rounds) == r
+                yield logs(word[own], below(n[own], loss[own]))
+
+        def second(left, right):
+            middle, word, p, weight = cells.together(left["payload"], HEADED)
+            known, n, loss = cells.together(right["payload"], WORD)
+            order = np.argsort(known)
+            shorter = below(n, loss)[order[np.searchsorted(known[order], word)]] if len(word) else np.zeros(0)
+            p2 = p + weight * np.exp(shorter)
+            gram, value = longer(middle, word), np.log(p2) - np.log(weight.astype(np.float64)) - shorter
+            return pa.Table.from_batches([cells.deal(shards, gram, [gram, p2.astype(np.float32), value.astype(np.float32)])])
+
+        def back_off(left, right):
+            gram, shorter, p, weight = cells.together(left["payload"], SEEN)
+            known, below2, value2 = cells.together(right["payload"], BELOW2)
+            order = np.argsort(known)
+            p2 = below2[order[np.searchsorted(known[order], shorter)]].astype(np.float64) if len(gram) else np.zeros(0)
+            value = np.log(p + weight * p2) - np.log(weight.astype(np.float64)) - np.log(p2)
+            return pa.Table.from_batches([logs(np.concatenate([gram, known]), np.concatenate([value, value2]))])
+
         found = staged(
-            runs(counts.texts, model, counts.share, r).groupBy("shard").applyInArrow(weigh, ", ".join([cells.SCHEMA, *row])), "weights"
+            runs(counts.texts, model, counts.share, r).groupBy("shard").applyInArrow(weigh, f"{cells.SCHEMA}, kind int"), "weights"
         )
-        dealt = found.where("payload is not null").select("shard", "payload").groupBy("shard")
-        pairs = seen.mapInArrow(deal_pairs, cells.SCHEMA).groupBy("shard")
-        longest = staged(dealt.cogroup(pairs).applyInArrow(back_off, ", ".join(row)), "values")
-        others = staged(found.where("payload is null").select("gram", "value").unionByName(seen.select("gram", "value")), "values")
-        out += [t.withColumns({"model": F.lit(model), "round": F.lit(r)}) for t in (longest, others)]
+        two = pairs.mapInArrow(by_second, cells.SCHEMA).groupBy("shard").cogroup(words.groupBy("shard")).applyInArrow(second, cells.SCHEMA)
+        three = found.where("kind = 0").select("shard", "payload").groupBy("shard").cogroup(two.groupBy("shard")).applyInArrow(back_off, cells.SCHEMA)
+        rest = [found.where("kind = 1").select("shard", "payload"), pairs.mapInArrow(contexts, cells.SCHEMA), words.mapInArrow(single, cells.SCHEMA)]
+        out = staged(reduce(DataFrame.unionByName, rest, three), "values")
         unstage(found)
-        unstage(seen)
-    unstage(heads)
-    unstage(one)
-    return reduce(DataFrame.unionByName, out), Weights({m: math.log(w) for m, (_, w) in whole.items()}, rounds)
+        return out
+
+
+def values(counts):
+    """The ``Values`` of n-grams, and each model's log weight of spellings."""
+    return Values(counts), Weights({m: math.log(w) for m, (_, w) in counts.whole.items()}, counts.share[1])
 
 
 def half(text="text"):
     return F.pmod(F.xxhash64(text), F.lit(MODELS)).cast("int")
 
 
-def text_losses(docs, spellings, table, weights):
+def text_losses(docs, spellings, table, weights, share=None):
     """(dig, loss) of each distinct text; ``docs`` has text, dig and half. N-grams meet the values of a model and round at a time."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(spellings)
-    shards, _ = shares(docs)
+    shards, _ = share or shares(docs)
     rounds = weights.rounds
 
     def asked(model, r):
@@ -400,77 +543,88 @@ def text_losses(docs, spellings, table, weights):
             for batch in common.slices(batches, limit=SLICE_BYTES):
                 dig = batch.column("dig").to_numpy()
                 _, own, copies = np.unique(dig, return_index=True, return_counts=True)
-                data, offsets = common.text_buffers(batch.column("text").take(pa.array(own)))
-                doc, keys, inner, full, token, starts, ends = word_grams(data, offsets, np.full(len(own), model))
-                now = keys[0] % np.uint64(rounds) == r
-                before = np.append(False, now[:-1])
-                # words are of their own round; 2-grams are seen in the round of their first word and contexts in that of their second
-                at = [np.flatnonzero(v) for v in (inner & now, inner & (before | now), full & before)]
-                key = np.concatenate([k[x] for k, x in zip(keys, at)])
-                single, at = len(at[0]), np.concatenate(at)
-                order = np.argsort(key, kind="stable")  # texts stay in order within a key
-                key, whose = key[order], doc[at[order]]
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]) | (whose[1:] != whose[:-1])
-                cut = np.flatnonzero(new)
-                n = np.diff(np.append(cut, len(key)))
-                key, whose, order = key[cut], whose[cut], order[cut]
-                missed = np.zeros(len(cut), np.float32)
-                words = np.flatnonzero(order < single)
-                if len(words):
-                    first = np.append(True, key[words[1:]] != key[words[:-1]])
-                    loss = spelled(sent.value, data, starts, ends, token[at[order[words[first]]]])
-                    missed[words] = (base - loss)[np.cumsum(first) - 1]
-                digs = dig[own]
-
-                def numbered(columns):
-                    """The number of a cell's rows, the rows with texts numbered within the cell, and those texts."""
-                    mine, place = np.unique(columns[1], return_inverse=True)
-                    return [np.array([len(place)]), columns[0], place.astype(np.uint32), *columns[2:], digs[mine]]
-
-                columns = [key, whose.astype(np.uint32), (n * copies[whose]).astype(np.uint32), missed]
-                yield cells.deal(shards, key, columns, numbered, ordered=True)
+                texts = batch.column("text") if len(own) == len(dig) else batch.column("text").take(pa.array(own))
+                if len(own) == len(dig):
+                    own, copies = np.arange(len(dig)), np.ones(len(dig), np.int64)
+                data, offsets = common.text_buffers(texts)
+                found, singles = [], []
+                for lo, start, w in parts_of(data, offsets, np.full(len(own), model)):
+                    now = round_of(w.key, rounds) == r
+                    before = w.after(now)
+                    # words are of their own round; 2-grams are seen in the round of their first word and contexts in that of their second
+                    one, two, three = (np.flatnonzero(v) for v in (w.inner & now, w.inner & (before | now), w.full & before))
+                    key = [w.key[one], w.pair(two), longer(w.pair(three - 1), w.key[three])]
+                    token = w.token[one]
+                    begin = np.where(token >= 0, np.append(w.starts, 0)[token] + start, 0)
+                    end = np.where(token >= 0, np.append(w.ends, 0)[token] + start, 0)
+                    word = np.zeros(sum(map(len, key)), bool)
+                    word[: len(one)] = True
+                    found.append([np.concatenate(key), (np.concatenate([w.doc[x] for x in (one, two, three)]) + lo).astype(np.uint32), word])
+                    singles.append([begin, end])
+                key, whose, word = (np.concatenate(c) for c in zip(*found))
+                begin, end = (np.concatenate(c) for c in zip(*singles))
+                number = np.cumsum(word) - 1  # of each single word
+                order, begins = distinct(key)
+                first = order[begins]
+                missed = np.zeros(len(first), np.float32)
+                own_words = np.flatnonzero(word[first])
+                at = number[first[own_words]]
+                missed[own_words] = base - spelled(sent.value, data, begin[at], end[at])
+                yield dealt_questions(shards, key[first], missed, np.diff(np.append(begins, len(order))), whose[order], dig[own], copies)
 
         return docs.where(F.col("half") == MODELS - 1 - model).select("text", "dig").mapInArrow(emit, cells.SCHEMA)
 
-    def known(model, r):
-        def emit(batches):
-            for batch in cells.gathered(batches):
-                gram = batch.column("gram").to_numpy().view(np.uint64)
-                own = (batch.column("round").to_numpy() == r) | (gram % np.uint64(rounds) == r)  # single words of this round
-                yield cells.deal(shards, gram[own], [gram[own], batch.column("value").to_numpy()[own]])
-
-        own = table.where(((F.col("model") == model) & (F.col("round") == r)) | (F.col("round") == -1))
-        return own.select("gram", "value", "round").mapInArrow(emit, cells.SCHEMA)
-
     def meet(left, right):
         gram, value = cells.together(right["payload"], BELOW)
-        order = np.argsort(gram)
-        gram, value = gram[order], value[order].astype(np.float64)
-        cut = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, np.int64)
-        gram, value = gram[cut], np.add.reduceat(value, cut) if len(cut) else value
-        dig, loss = [], []
+        order, begins = distinct(gram)
+        gram, value = gram[order[begins]], sums(value[order].astype(np.float64), begins)
+        dig, loss = [np.zeros(0, np.int64)], [np.zeros(0)]
         for cell in left["payload"]:
-            cell = cell.as_buffer()
-            (n,), start = cells.read(cell, [np.int64], n=1)
-            (key, place, times, missed), start = cells.read(cell, ASKED, start, int(n[0]))
-            (digs,), _ = cells.read(cell, [np.int64], start)
+            key, missed, n, place, digs, copies = questions_in(cell.as_buffer())
             worth = missed.astype(np.float64)
             if len(gram):
                 at = np.minimum(np.searchsorted(gram, key), len(gram) - 1)
                 worth = np.where(gram[at] == key, value[at], worth)
             dig.append(digs)
-            loss.append(-np.bincount(place, worth * times, len(digs)))
-        return pa.table({"dig": np.concatenate(dig or [np.zeros(0, np.int64)]), "loss": np.concatenate(loss or [np.zeros(0)])})
+            loss.append(-np.bincount(place, np.repeat(worth, n), len(digs)) * copies)
+        return pa.table({"dig": np.concatenate(dig), "loss": np.concatenate(loss)})
 
     parts = []
-    for model in range(MODELS):
-        for r in range(rounds):
-            met = asked(model, r).groupBy("shard").cogroup(known(model, r).groupBy("shard")).applyInArrow(meet, "dig long, loss double")
-            parts.append(staged(met.groupBy("dig").agg(F.sum("loss").alias("loss")), "part-losses"))
+    for model, r, known in table.rounds(shards):
+        met = asked(model, r).groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(meet, "dig long, loss double")
+        parts.append(staged(met.groupBy("dig").agg(F.sum("loss").alias("loss")), "part-losses"))
     return reduce(DataFrame.unionByName, parts).groupBy("dig").agg(F.sum("loss").alias("loss"))
 
 
+def dealt_questions(shards, key, missed, n, whose, dig, copies):
+    """Cells of sorted n-grams: what each is worth if it is not known, how often it is asked for, and by which texts."""
+    begins = np.append(0, np.cumsum(n))
+    rows = np.arange(len(key))
+
+    def cell(part):
+        a, b = part[0][0], part[0][-1] + 1
+        asking = whose[begins[a] : begins[b]]
+        own = np.zeros(len(dig), bool)
+        own[asking] = True
+        place = (np.cumsum(own) - 1)[asking].astype(np.uint32)
+        head = np.array([b - a, len(place), own.sum()], np.int64)
+        packed = [cells.steps(key[a:b]), missed[a:b], n[a:b].astype(np.uint32), place]
+        return [head, *[np.frombuffer(cells.planes(c), np.uint8) for c in packed], dig[own], copies[own]]
+
+    return cells.deal(shards, key, [rows], cell, ordered=True)
+
+
+def questions_in(cell):
+    """What ``dealt_questions`` packed: keys, their worth if not known, how often each is asked for, texts, their digests and copies."""
+    (head,), at = cells.read(cell, [np.int64], n=3)
+    out = []
+    for kind, n in zip((np.uint64, np.float32, np.uint32, np.uint32), head[[0, 0, 0, 1]].tolist()):
+        column, at = cells.from_planes(cell, kind, n, at)
+        out.append(column)
+    (digs, copies), _ = cells.read(cell, [np.int64, np.int64], at)
+    return np.cumsum(out[0], dtype=np.uint64), *out[1:], digs, copies
+
+
 def quantiles(placed, within, quantile):
     """The smallest value ``own`` of each group that ``quantile`` of its rows do not exceed, exactly, and their number n.
 
@@ -497,17 +651,18 @@ def trusted_ids(labels, key="doc_id"):
 
 
 def count_grams(docs):
-    """Counts of all n-grams of the texts, (gram, n): summed in each task, then in shards by gram."""
+    """Counts of all n-grams of the texts, (gram, n), each text ``n`` times if there is such a column: summed in each task, then in shards by gram."""
 
     def count(batches):
-        total = np.zeros(SYMBOLS**ORDER, np.int64)
+        total = np.zeros(SYMBOLS**ORDER)
         for batch in common.slices(batches):
-            code, _ = grams(*common.text_buffers(batch.column("text")))
-            total += np.bincount(code, minlength=len(total))
+            code, counts = grams(*common.text_buffers(batch.column("text")))
+            times = np.repeat(batch.column("n").to_numpy(), np.diff(counts)) if "n" in batch.schema.names else None
+            total += np.bincount(code, times, minlength=len(total))
         seen = np.flatnonzero(total)
         for lo in range(0, len(seen), 50_000):
             part = seen[lo : lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part])], names=["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(total[part].astype(np.int64))], names=["gram", "n"])
 
     return docs.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -558,21 +713,23 @@ def fit(docs):
 
 
 def text_of_tokens(docs):
-    """The tokens of texts, each a text of its own with a blank at its end."""
+    """The distinct tokens of a slice of texts, each a text of its own with a blank at its end, and how often each occurs, ``n``."""
 
     def split(batches):
-        for batch in common.slices(batches):
+        for batch in common.slices(batches, limit=SLICE_BYTES):
             data, offsets = common.text_buffers(batch.column("text"))
-            joined, cuts = apart(data, *split_tokens(data, offsets)[:2])
-            for lo in range(0, len(cuts) - 1, 100_000):
-                own = cuts[lo : lo + 100_001]
-                part = joined[own[0] : own[-1]]
+            starts, ends, _ = split_tokens(data, offsets)
+            order, begins = distinct(hash_tokens(data, starts, ends))
+            own, n = order[begins], np.diff(np.append(begins, len(order)))
+            joined, cuts = apart(data, starts[own], ends[own])
+            for lo in range(0, len(own), 100_000):
+                at = cuts[lo : lo + 100_001]
                 column = pa.StringArray.from_buffers(
-                    len(own) - 1, pa.py_buffer((own - own[0]).astype(np.int32)), pa.py_buffer(part.tobytes())
+                    len(at) - 1, pa.py_buffer((at - at[0]).astype(np.int32)), pa.py_buffer(joined[at[0] : at[-1]].tobytes())
                 )
-                yield pa.RecordBatch.from_arrays([column], names=["text"])
+                yield pa.RecordBatch.from_arrays([column, pa.array(n[lo : lo + 100_000])], names=["text", "n"])
 
-    return docs.mapInArrow(split, "text string")
+    return docs.select("text").mapInArrow(split, "text string, n long")
 
 
 class Classifier:
@@ -590,14 +747,14 @@ class Classifier:
         good = small_side(staged(trusted_ids(labels, self.columns[1]), "trusted"))
         trusted = staged(docs.join(good, docs["doc_id"] == F.col("trusted_id"), "left_semi").select("text", half().alias("half")), "texts")
         spellings = fit(text_of_tokens(trusted))
-        table, weights = values(count_words(trusted, spellings))
-        unstage(trusted)
         texts = docs.select("text", "dig", half().alias("half"))
+        share = shares(texts)
+        table, weights = values(count_words(trusted, spellings, share))
         rows = docs.select("doc_id", "lang", "dig", F.length("text").cast("long").alias("n_symbols"))
         copies = rows.groupBy("dig").agg(F.count(F.lit(1)).alias("copies"))
-        losses = text_losses(texts, spellings, table, weights)
+        losses = text_losses(texts, spellings, table, weights, share)
+        unstage(trusted)
         self.losses = staged(losses.join(copies, "dig").select("dig", (F.col("loss") / F.col("copies")).alias("loss")), "losses")
-        unstage(table)
         self.scores = staged(rows.join(self.losses.hint("merge"), "dig").drop("dig"), "scores")
         trusted = self.scores.join(good, self.scores["doc_id"] == F.col("trusted_id"), "left_semi").where("n_symbols > 0")
         mean = trusted.agg(F.sum("loss") / F.sum("n_symbols")).first()[0]

@@ -125,3 +125,44 @@ def test_training_removes_its_tables(spark, tmp_path, monkeypatch):
     assert len(kneser_ney.classify(docs, labels).collect()) == len(TEXTS)
     left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
     assert left and not left & {"texts", "runs", "vocabulary", "words2", "words1", "seen", "weights", "values", "below", "contexts"}
+
+
+def test_one_round_of_values_stands_at_a_time(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_folder", lambda spark: str(tmp_path))
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 30)
+    monkeypatch.setattr(kneser_ney, "ROUNDS", 2)
+    standing = []
+
+    def watched(df, name="stage", **options):
+        out = staging.staged(df, name, **options)
+        if name == "part-losses":
+            standing.append(sum(p.name.startswith("values-") and p.is_dir() and any(p.iterdir()) for p in tmp_path.iterdir()))
+        return out
+
+    monkeypatch.setattr(kneser_ney, "staged", watched)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(TEXTS)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(TEXTS))], "doc_id long, quality int, toxic int")
+    kneser_ney.classify(docs, labels)
+    assert standing == [1] * 4  # of 2 models and 2 rounds
+
+
+def test_tokens_of_all_lengths_have_hashes_of_their_own():
+    words = [b"a" * n + end for n in range(140) for end in (b"x", b"y")] * 2
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    keys = kneser_ney.hash_tokens(data, ends - [len(w) for w in words], ends)
+    half = len(words) // 2
+    assert (keys[:half] == keys[half:]).all() and len(set(keys.tolist())) == half
+
+
+def test_questions_are_read_as_they_were_packed():
+    rng = np.random.default_rng(3)
+    key = np.unique(rng.integers(0, 2**64, 500, np.uint64))
+    n = rng.integers(1, 4, len(key))
+    missed, whose = rng.random(len(key)).astype(np.float32), rng.integers(0, 30, n.sum()).astype(np.uint32)
+    dig, copies = np.arange(30, dtype=np.int64) * -7, np.arange(30, dtype=np.int64) + 1
+    batch = kneser_ney.dealt_questions(5, key, missed, n, whose, dig, copies)
+    read = [kneser_ney.questions_in(cell.as_buffer()) for cell in batch.column("payload")]
+    assert batch.column("shard").to_pylist() == [0, 1, 2, 3, 4]
+    assert (np.concatenate([r[0] for r in read]) == key).all() and (np.concatenate([r[1] for r in read]) == missed).all()
+    assert (np.concatenate([r[4][r[3]] for r in read]) == dig[whose]).all() and (np.concatenate([r[5][r[3]] for r in read]) == copies[whose]).all()
