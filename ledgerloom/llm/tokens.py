@@ -20,8 +20,10 @@ from ledgerloom.llm import common
 LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words that a worker remembers before it starts anew.
 REMEMBERED = 1_000_000
-#: Bytes of text at a time; the more, the fewer words are looked up again.
-SLICE = 4 << 20
+#: Bytes of text that are given out together, and that are split and looked up at a time.
+SLICE, PART = 4 << 20, 1 << 20
+#: New words that the library encodes at a time: it holds some kilobytes of each until they are done.
+AT_ONCE = 8192
 SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 MARKS, WORD_END = (".", ","), "</w>"
 
@@ -73,6 +75,15 @@ class Encoder:
             return self._ids(words)
         return [ids[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
 
+    def _in_turn(self, encode, words):
+        """The ids of all words as (all ids, how many each has), ``AT_ONCE`` words at a time."""
+        ids, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(words), AT_ONCE):
+            found = encode(words[lo : lo + AT_ONCE])
+            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(lengths[-1].sum())))
+        return np.concatenate(ids), np.concatenate(lengths)
+
     def _keep(self, words, ids):
         """Add words with their ids, given as lists or as (all ids, how many each has); their rows."""
         if isinstance(ids, list):
@@ -123,7 +134,7 @@ class Encoder:
         found = [SIMPLE.fullmatch(w) for w in words]
         other = [i for i, m in enumerate(found) if not m]
         if other:
-            rows[other] = self._keep(column.take(pa.array(other)), self._ids([words[i] for i in other]))
+            rows[other] = self._keep(column.take(pa.array(other)), self._in_turn(self._ids, [words[i] for i in other]))
         simple = [i for i, m in enumerate(found) if m]
         if simple:
             lower = [found[i][1].lower() for i in simple]
@@ -132,7 +143,7 @@ class Encoder:
             fresh = np.flatnonzero(at < 0).tolist()
             if fresh:
                 new = [bases[i] for i in fresh]
-                at[fresh] = self._keep(pa.array(new), self._letters(new))
+                at[fresh] = self._keep(pa.array(new), self._in_turn(self._letters, new))
             row_of = dict(zip(bases, at.tolist()))
             base = np.fromiter(map(row_of.__getitem__, lower), np.int64, len(lower))
             mark = np.fromiter((1 + MARKS.index(m[2]) if m[2] else 0 for m in map(found.__getitem__, simple)), np.int64, len(simple))
@@ -180,8 +191,9 @@ def encoded(batches, path, end=None):
     """
     code = encoder(path)
     for batch in common.slices(batches, limit=SLICE, kept=("encoder",)):
-        column = batch.column("text")
-        ids, counts = code.encode(column.cast(pa.string()))
+        column = batch.column("text").cast(pa.string())
+        parts = [code.encode(column.slice(lo, hi - lo)) for lo, hi in common.spans(common.text_buffers(column)[1], PART)]
+        ids, counts = (np.concatenate(c) for c in zip(*parts))
         offsets = np.append(0, np.cumsum(counts))
         if end is not None:
             ids = np.insert(ids, offsets[1:], end)
